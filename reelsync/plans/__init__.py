@@ -5,7 +5,7 @@ from .registry import ORACLE_SQL, QUERIES
 
 def load_all() -> None:
     """Import every query module so the registry is complete."""
-    from . import document_queries  # noqa: F401
+    from . import change_queries, document_queries  # noqa: F401
 
 
 load_all()
