@@ -5,7 +5,8 @@ from .registry import ORACLE_SQL, QUERIES
 
 def load_all() -> None:
     """Import every query module so the registry is complete."""
-    from . import change_queries, document_queries, sink_queries  # noqa: F401
+    from . import (change_queries, document_queries, sink_queries,  # noqa: F401
+                   stream_queries, text_queries)
 
 
 load_all()
