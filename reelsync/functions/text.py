@@ -46,8 +46,10 @@ def tokens(text: Column) -> Column:
 
 
 def normalise_token(tok: Column) -> Column:
-    """T-4: edge apostrophes trimmed, then a trailing possessive removed."""
-    return F.regexp_replace(F.regexp_replace(tok, EDGE_APOSTROPHES, ""), POSSESSIVE, "")
+    """T-4: edge apostrophes trimmed, then a trailing possessive removed.
+    Most tokens have no apostrophe and skip both regular expressions."""
+    fixed = F.regexp_replace(F.regexp_replace(tok, EDGE_APOSTROPHES, ""), POSSESSIVE, "")
+    return F.when(F.instr(tok, "'") > 0, fixed).otherwise(tok)
 
 
 def is_term(tok: Column) -> Column:

@@ -1,8 +1,8 @@
 """A-8 / D-17: keep-first de-duplication on one or more unique keys.
 
 "First" needs an explicit sequence: Spark input has no row order. The
-sequence is the given order columns, then every column, then a row id, so it
-is total and exact duplicate rows still conflict with each other.
+sequence is the given order columns, then every column (and, with several
+keys, a row number, so exact duplicate rows still conflict with each other).
 
 One key: the first row per key is ``min(struct(sequence, row))`` per key, an
 aggregate Spark combines map-side before the shuffle, so a key holding a third
@@ -13,9 +13,11 @@ already taken by an accepted row. De-duplicating by one key and then the
 other is wrong ((1,a), (2,a), (2,b) keeps the 1st and 3rd, the shortcut drops
 the 3rd). Rounds instead: accept every remaining row that is first in *all*
 its key groups, then drop every remaining row sharing a key with an accepted
-one. The first remaining row is always accepted, so this ends; each round's
-result is checkpointed (reliable, in the shared checkpoint folder) to cut
-lineage. A NULL key part never conflicts, as in a relational unique index.
+one. The first remaining row is always accepted, so this ends. Rows are
+ranked once by a global sort (a long row number), the rounds shuffle only
+that rank and the key columns, and each round's sets are written to the
+shared checkpoint folder to cut lineage. A NULL key part never conflicts, as
+in a relational unique index.
 """
 
 from __future__ import annotations
@@ -27,7 +29,6 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-SEQ = "__seq"
 RID = "__rid"
 
 
@@ -61,32 +62,39 @@ def drop_conflicts(df: DataFrame, target: DataFrame | None, keys: list[list[str]
 def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = None) -> DataFrame:
     """First row per key in sequence order; rows with a NULL key part all stay."""
     cols = df.columns
-    seq = sequence(cols, order_cols)
+    # The sequence struct holds every column, so its minimum is the row.
     firsts = (df.where(~_has_null(key))
               .groupBy(*key)
-              .agg(F.min(F.struct(seq.alias("s"), F.struct(*cols).alias("row"))).alias("m"))
-              .select("m.row.*"))
+              .agg(F.min(sequence(cols, order_cols)).alias("m"))
+              .select(*[F.col("m")[c].alias(c) for c in cols]))
     return firsts.unionByName(df.where(_has_null(key)))
 
 
-def keep_first_keys(df: DataFrame, keys: list[list[str]],
-                    order_cols: list[str] | None = None,
-                    max_rounds: int | None = None) -> DataFrame:
-    """Greedy keep-first over several unique keys, by rounds (see module doc).
+def has_duplicates(df: DataFrame, key: list[str]) -> bool:
+    """Whether two rows share a non-NULL ``key`` (key columns only are read
+    and shuffled, after a map-side partial count)."""
+    groups = df.where(~_has_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    return not groups.where(F.col("__n") > 1).isEmpty()
 
-    ``max_rounds`` (default: no limit) raises instead of returning a partial
-    answer when a pathological chain of conflicts needs more rounds.
+
+def rank_rows(df: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
+    """Rows with ``__rid``, their position in sequence order (a long).
+
+    A global sort range-partitions the rows (parallel, no single task sees
+    them all); ids taken right after it grow in sort order. The result is
+    checkpointed so the ids never change on recomputation; identical rows
+    get distinct ids in arbitrary order, which cannot change the outcome.
     """
-    if len(keys) == 1:
-        return keep_first(df, keys[0], order_cols)
-    ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
-    # Fix row ids once: they break ties between identical rows.
-    rows = (df.withColumn(RID, F.monotonically_increasing_id())
-            .withColumn(SEQ, F.struct(sequence(cols, order_cols).alias("s"), F.col(RID)))
-            .checkpoint())
+    order = list(order_cols or []) + [c for c in cols if c not in (order_cols or [])]
+    ranked = df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return ranked.withColumn(RID, F.monotonically_increasing_id()).checkpoint()
+
+
+def accepted_ids(slim: DataFrame, keys: list[list[str]], max_rounds: int | None = None) -> DataFrame:
+    """The greedy rounds on ``(__rid, key columns)`` only; returns accepted ``__rid``s."""
     accepted: list[DataFrame] = []
-    remaining = rows
+    remaining = slim
     rounds = 0
     while not remaining.isEmpty():
         rounds += 1
@@ -97,18 +105,39 @@ def keep_first_keys(df: DataFrame, keys: list[list[str]],
         firsts = []
         for i, key in enumerate(keys):
             prefix = f"__k{i}_"
-            mins = (remaining.groupBy(*key).agg(F.min(SEQ).alias(f"{prefix}min"))
+            mins = (remaining.groupBy(*key).agg(F.min(RID).alias(f"{prefix}min"))
                     .select(*[F.col(k).alias(f"{prefix}{k}") for k in key], f"{prefix}min"))
             cand = cand.join(mins, _key_eq(cand, mins, key, prefix), "left")
-            firsts.append(F.col(f"{prefix}min").isNull() | (F.col(SEQ) == F.col(f"{prefix}min")))
-        won = cand.where(reduce(lambda a, b: a & b, firsts)).select(*cols, RID, SEQ).checkpoint()
-        accepted.append(won)
+            firsts.append(F.col(f"{prefix}min").isNull() | (F.col(RID) == F.col(f"{prefix}min")))
+        won = cand.where(reduce(lambda a, b: a & b, firsts)).select(*slim.columns).checkpoint()
+        accepted.append(won.select(RID))
         left = remaining.join(won.select(RID), RID, "left_anti")
-        left = drop_conflicts(left, won, keys)
-        remaining = left.checkpoint()
+        remaining = drop_conflicts(left, won, keys).checkpoint()
     if not accepted:
-        return df.where(F.lit(False))
-    return reduce(lambda a, b: a.unionByName(b), accepted).select(*cols)
+        return slim.select(RID).where(F.lit(False))
+    return reduce(lambda a, b: a.unionByName(b), accepted)
+
+
+def keep_first_keys(df: DataFrame, keys: list[list[str]],
+                    order_cols: list[str] | None = None,
+                    max_rounds: int | None = None) -> DataFrame:
+    """Greedy keep-first over several unique keys, by rounds (see module doc).
+
+    Rows are ranked once; the rounds shuffle only the rank and the key
+    columns, and the accepted rows are joined back by rank at the end.
+    ``max_rounds`` (default: no limit) raises instead of returning a partial
+    answer when a pathological chain of conflicts needs more rounds.
+    """
+    if len(keys) == 1:
+        return keep_first(df, keys[0], order_cols)
+    if not any(has_duplicates(df, key) for key in keys):
+        return df       # no two rows share a key: nothing can conflict
+    ensure_checkpoint_dir(df.sparkSession)
+    cols = df.columns
+    ranked = rank_rows(df, order_cols)
+    key_cols = list(dict.fromkeys(c for key in keys for c in key))
+    ids = accepted_ids(ranked.select(RID, *key_cols), keys, max_rounds)
+    return ranked.join(ids, RID, "left_semi").select(*cols)
 
 
 def insert_if_absent(df: DataFrame, target: DataFrame | None, keys: list[list[str]],
