@@ -128,10 +128,10 @@ def keep_first_keys(df: DataFrame, keys: list[list[str]],
     ``max_rounds`` (default: no limit) raises instead of returning a partial
     answer when a pathological chain of conflicts needs more rounds.
     """
-    if len(keys) == 1:
-        return keep_first(df, keys[0], order_cols)
     if not any(has_duplicates(df, key) for key in keys):
         return df       # no two rows share a key: nothing can conflict
+    if len(keys) == 1:
+        return keep_first(df, keys[0], order_cols)
     ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
     ranked = rank_rows(df, order_cols)

@@ -50,6 +50,24 @@ def save_positions(df: DataFrame, path: str) -> None:
     df.select(*HIGH_WATER.fieldNames()).coalesce(1).write.mode("append").parquet(path)
 
 
+STATE_JSON_SCHEMA = "map<string, string>"
+
+
+def state_json(current: DataFrame) -> DataFrame:
+    """F-5 / F-6: the current positions as one JSON object of ISO-8601 texts
+    (``{"genre": "2024-01-30T20:00:00.000000", ...}``), NULL for never run.
+    One row per entity goes in, so the list is bounded by the entity count."""
+    entry = F.struct(F.col("entity"), F.date_format("position", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    return current.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("state"))
+
+
+def positions_from_json(state: DataFrame, pass_id: int = 0) -> DataFrame:
+    """F-6: the inverse of :func:`state_json`, as position rows."""
+    parsed = state.select(F.explode(F.from_json("state", STATE_JSON_SCHEMA)).alias("entity", "iso"))
+    return parsed.select("entity", F.to_timestamp_ntz("iso").alias("position"),
+                         F.lit(pass_id).cast("long").alias("pass_id"))
+
+
 def as_dict(current: DataFrame) -> dict[str, dt.datetime | None]:
     """The current positions on the driver: one row per entity (bounded)."""
     return {r["entity"]: r["position"] for r in current.collect()}

@@ -37,6 +37,20 @@ def ntz(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+SCAN_PROJECT_FILM_SQL = """
+SELECT o_orderkey AS id, o_orderpriority AS title, o_orderstatus AS description,
+       CAST(o_orderdate AS DATE) AS creation_date, o_totalprice AS rating,
+       o_orderstatus AS type, o_orderdate AS created, o_orderdate AS modified
+FROM orders"""
+
+
+@register("scan_project_film", SCAN_PROJECT_FILM_SQL)
+def scan_project_film(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-1 / P-1 / P-2: the film source scanned, projected to its declared
+    columns (the extra one dropped) and renamed to the target names."""
+    return project_source(source_tables(spark, sf_dir)["film_work"], "film_work")
+
+
 COPY_FILM_SQL = """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS title, o_orderstatus AS description,
        CAST(o_orderdate AS DATE) AS creation_date, o_totalprice AS rating,
