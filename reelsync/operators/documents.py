@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.docs import (names_text, or_empty_list, or_empty_text, person_ref,
                               refs_as_string_ids, sorted_refs, when_role)
 from ..schemas import ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
+from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import FilmTables
 
 
@@ -39,12 +40,15 @@ def first_film_ids(film: DataFrame, n: int) -> DataFrame:
 
 def _restricted(tables: FilmTables, ids: DataFrame | None, limit: int | None) -> FilmTables:
     if limit is not None:
-        first = first_film_ids(restrict_to(tables.film_work, ids, "id"), limit)
-        ids = first
+        ids = first_film_ids(restrict_to(tables.film_work, ids, "id"), limit)
     if ids is None:
         return tables
-    # The id filter is pushed to the film scan *and* to both link scans, so
-    # links of untouched films never reach the person / genre joins.
+    # The id set restricts the film scan *and* both link scans, so links of
+    # untouched films never reach the person / genre joins. It is computed
+    # once and checkpointed (into the shared checkpoint folder): it is used
+    # three times, and a pass should work on one fixed set.
+    ensure_checkpoint_dir(tables.film_work.sparkSession)
+    ids = ids.select("id").checkpoint()
     return tables.replace(
         film_work=restrict_to(tables.film_work, ids, "id"),
         person_film_work=restrict_to(tables.person_film_work, ids, "film_work_id"),
