@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ENTITIES
+from ..session import ensure_checkpoint_dir
+from .joins import broadcast_if_small
 from ..sources.fixtures import FilmTables
 
 Position = dt.datetime | None
@@ -69,7 +71,9 @@ def accumulate_processed(processed: DataFrame | None, batch: DataFrame) -> DataF
 
 def linked_film_ids(changed: DataFrame, links: DataFrame, entity_col: str) -> DataFrame:
     """Film ids of link rows whose entity changed, as column ``id`` (may repeat)."""
-    keys = changed.select(F.col("id").alias("__changed"))
+    # Changed ids are usually few: broadcast them (if provably small) so the
+    # link table is filtered where it is read instead of being shuffled.
+    keys = broadcast_if_small(changed.select(F.col("id").alias("__changed")))
     hit = links.join(keys, links[entity_col] == keys["__changed"], "left_semi")
     return hit.select(F.col("film_work_id").alias("id"))
 
@@ -82,10 +86,18 @@ def films_by_entity(tables: FilmTables, changed: DataFrame, entity: str) -> Data
     reference's SQL amounts to.
     """
     table, col = LINKS[entity]
-    candidates = linked_film_ids(changed, tables.as_dict()[table], col)
+    return _existing_films(tables, linked_film_ids(changed, tables.as_dict()[table], col))
+
+
+def _existing_films(tables: FilmTables, candidates: DataFrame) -> DataFrame:
+    """Film rows among ``candidates`` (column ``id``, may repeat). The
+    candidates are materialised once (checkpoint into the shared folder) and
+    broadcast when provably small, so the film table is filtered as it is
+    scanned; a large candidate set falls back to a shuffle semi join."""
+    ensure_checkpoint_dir(tables.film_work.sparkSession)
+    cand = broadcast_if_small(candidates.select(F.col("id").alias("__cand")).checkpoint())
     films = tables.film_work.select("id")
-    return films.join(candidates.withColumnRenamed("id", "__cand"),
-                      films["id"] == F.col("__cand"), "left_semi")
+    return films.join(cand, films["id"] == cand["__cand"], "left_semi")
 
 
 def affected_films(tables: FilmTables, changed: dict[str, DataFrame]) -> DataFrame:
@@ -102,14 +114,12 @@ def affected_films(tables: FilmTables, changed: dict[str, DataFrame]) -> DataFra
         if changed.get(entity) is not None:
             table, col = LINKS[entity]
             parts.append(linked_film_ids(changed[entity], tables.as_dict()[table], col))
-    films = tables.film_work.select("id")
     if not parts:
-        return films.where(F.lit(False))
+        return tables.film_work.select("id").where(F.lit(False))
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
-    cand = cand.withColumnRenamed("id", "__cand")
-    return films.join(cand, films["id"] == cand["__cand"], "left_semi")
+    return _existing_films(tables, cand)
 
 
 def entity_table(tables: FilmTables, entity: str) -> DataFrame:

@@ -21,6 +21,7 @@ from ..functions.docs import (names_text, or_empty_list, or_empty_text, person_r
                               refs_as_string_ids, sorted_refs, when_role)
 from ..schemas import ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
 from ..session import ensure_checkpoint_dir
+from .joins import broadcast_if_small
 from ..sources.fixtures import FilmTables
 
 
@@ -48,7 +49,7 @@ def _restricted(tables: FilmTables, ids: DataFrame | None, limit: int | None) ->
     # once and checkpointed (into the shared checkpoint folder): it is used
     # three times, and a pass should work on one fixed set.
     ensure_checkpoint_dir(tables.film_work.sparkSession)
-    ids = ids.select("id").checkpoint()
+    ids = broadcast_if_small(ids.select("id").checkpoint())
     return tables.replace(
         film_work=restrict_to(tables.film_work, ids, "id"),
         person_film_work=restrict_to(tables.person_film_work, ids, "film_work_id"),
@@ -62,9 +63,9 @@ def enrich_fanout(tables: FilmTables, ids: DataFrame | None = None,
     t = _restricted(tables, ids, limit)
     fw = t.film_work.alias("fw")
     pfw = t.person_film_work.alias("pfw")
-    p = t.person.alias("p")
+    p = broadcast_if_small(t.person.select("id", "full_name")).alias("p")
     gfw = t.genre_film_work.alias("gfw")
-    g = t.genre.alias("g")
+    g = broadcast_if_small(t.genre.select("id", "name")).alias("g")
     return (fw
             .join(pfw, F.col("pfw.film_work_id") == F.col("fw.id"), "left")
             .join(p, F.col("p.id") == F.col("pfw.person_id"), "left")
@@ -90,7 +91,8 @@ def person_branch(person_film_work: DataFrame, person: DataFrame) -> DataFrame:
     film with very many links is combined map-side first.
     """
     links = person_film_work.select("film_work_id", "person_id", "role")
-    people = person.select(F.col("id").alias("pid"), F.col("full_name").alias("pname"))
+    people = broadcast_if_small(
+        person.select(F.col("id").alias("pid"), F.col("full_name").alias("pname")))
     joined = links.join(people, links.person_id == people.pid, "left")
     ref = person_ref(F.col("pid"), F.col("pname"))
     return (joined.groupBy("film_work_id").agg(
@@ -105,7 +107,9 @@ def person_branch(person_film_work: DataFrame, person: DataFrame) -> DataFrame:
 def genre_branch(genre_film_work: DataFrame, genre: DataFrame) -> DataFrame:
     """A-6 per film: one genre, deterministically the least name (D-3)."""
     links = genre_film_work.select("film_work_id", "genre_id")
-    names = genre.select(F.col("id").alias("gid"), F.col("name").alias("gname"))
+    # Few genres: a shuffle join on genre id would put all links in a few
+    # tasks, so the (checked) small dimension is broadcast.
+    names = broadcast_if_small(genre.select(F.col("id").alias("gid"), F.col("name").alias("gname")))
     return (links.join(names, links.genre_id == names.gid, "left")
             .groupBy("film_work_id").agg(F.min("gname").alias("genre")))
 
