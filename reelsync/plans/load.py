@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from ..operators import changes as C
 from ..operators import state as S
 from ..operators.documents import build_documents
-from ..operators.sinks import upsert
+from ..operators.sinks import current_version, upsert
 from ..schemas import DOCUMENT, ENTITIES
 from ..sources.fixtures import FilmTables
 
@@ -83,8 +83,14 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     high = _highs(tables)
     # An entity whose table is empty keeps its old position.
     high = {e: (high.get(e) if high.get(e) is not None else low.get(e)) for e in ENTITIES}
-    changed = changed_sets(tables, low, high, look_back)
-    ids = C.affected_films(tables, changed)
-    version = upsert(build_documents(tables, ids), paths.documents, ["id"], schema=DOCUMENT)
+    # Most polls find nothing: an entity without changes (a filter pushed to
+    # its scan finds no row) does not touch its link table at all.
+    changed = {e: df for e, df in changed_sets(tables, low, high, look_back).items()
+               if not df.isEmpty()}
+    if changed:
+        ids = C.affected_films(tables, changed)
+        version = upsert(build_documents(tables, ids), paths.documents, ["id"], schema=DOCUMENT)
+    else:
+        version = current_version(spark, paths.documents)
     _save(tables, paths, high, pass_id)
     return PassResult(pass_id, version, high)

@@ -74,9 +74,14 @@ def affected_documents_stream(changes: dict[str, DataFrame], tables: FilmTables,
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         ids = batch.dropDuplicates(["entity", "id"])    # R-4: each id once per batch
+        # Entities present in this batch (at most three names on the driver);
+        # the others do not touch their link tables.
+        present = [r["entity"] for r in ids.select("entity").distinct().collect()]
+        if not present:
+            return
         changed = {e: ids.where(F.col("entity") == e)
                    .select(F.col("id").cast(key_types[e]).alias("id"))
-                   for e in changes}
+                   for e in present}
         films = affected_films(tables, changed)
         docs = build_documents(tables, films)
         upsert(docs, path, ["id"], schema=DOCUMENT)
