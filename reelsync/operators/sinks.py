@@ -22,6 +22,9 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import check_strict
+from ..session import ensure_checkpoint_dir
+from .dedupe import has_duplicates
+from .joins import broadcast_if_small
 
 VERSION_LOG = "_versions"
 LOG_SCHEMA = T.StructType([
@@ -41,6 +44,16 @@ def latest_per_key(df: DataFrame, key: list[str], version_cols: list[str] | None
     return df.groupBy(*key).agg(best.alias("m")).select("m.row.*")
 
 
+def dedupe_updates(updates: DataFrame, key: list[str],
+                   version_cols: list[str] | None = None) -> DataFrame:
+    """R-4: one update per key. Updates already unique by key (a check that
+    reads and shuffles only the key columns) pass through untouched; the
+    latest-per-key aggregate runs only when a key repeats."""
+    if not has_duplicates(updates, key):
+        return updates
+    return latest_per_key(updates, key, version_cols)
+
+
 def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
                  version_cols: list[str] | None = None) -> DataFrame:
     """S-5: the target with ``updates`` applied by key.
@@ -50,11 +63,14 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
     Only target rows whose key is updated take part in the contest; the rest
     pass through an anti join.
     """
-    upd = latest_per_key(updates, key, version_cols)
+    upd = dedupe_updates(updates, key, version_cols)
     if target is None:
         return upd
     target = target.select(*upd.columns)
-    keys = upd.select(*[F.col(k).alias(f"__u_{k}") for k in key])
+    # An incremental batch updates few keys of a large table: broadcast them
+    # (when provably small) so the table is filtered as it is read, never
+    # shuffled; a large update falls back to shuffle joins.
+    keys = broadcast_if_small(upd.select(*[F.col(k).alias(f"__u_{k}") for k in key]))
     cond = [target[k] == keys[f"__u_{k}"] for k in key]
     untouched = target.join(keys, cond, "left_anti")
     if not version_cols:
@@ -123,11 +139,10 @@ def upsert(updates: DataFrame, path: str, key: list[str],
     current = read_current(spark, path, schema)
     version = current_version(spark, path)
     if current is None:
-        _commit(spark, path, version + 1, latest_per_key(updates, key, version_cols))
+        _commit(spark, path, version + 1, dedupe_updates(updates, key, version_cols))
         return version + 1
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    upd = latest_per_key(updates, key, version_cols).checkpoint()
+    upd = dedupe_updates(updates, key, version_cols).checkpoint()
     if upd.isEmpty():
         return version
     _commit(spark, path, version + 1, merge_latest(current, upd, key, version_cols))

@@ -1,6 +1,5 @@
-"""Structured Streaming queries (R-1..R-6): each runs its stream to the end
-(``availableNow``) in a fresh folder under the shared checkpoint root, then
-returns what the stream's sink holds."""
+"""Queries that run a stream or a load pass to the end in a fresh folder under
+the shared checkpoint root (R-1..R-6, R-2), then return what the sink holds."""
 
 from __future__ import annotations
 
@@ -13,7 +12,11 @@ from ..session import shared_path
 from ..sources.fixtures import film_tables, person_changes
 from ..sources.tables import stream_table
 from ..streaming.streams import after_position, affected_documents_stream, run_to_end, upsert_stream
-from .change_queries import FILMS_BY_PERSON_SQL, PERSON_POSITION
+from ..operators.state import save_positions
+from ..schemas import HIGH_WATER
+from .change_queries import FILM_POSITION, FILMS_BY_PERSON_SQL, GENRE_POSITION, PERSON_POSITION
+from .document_queries import FILM_DOCUMENTS_SQL, documents_as_text
+from .load import SyncPaths, full_load, incremental_pass
 from .registry import register
 from .sink_queries import DOCUMENT_UPSERT_SQL, PERSON_VERSION
 
@@ -50,3 +53,20 @@ def stream_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
     if docs is None:
         return spark.createDataFrame([], "id string")
     return docs.select("id")
+
+
+@register("incremental_documents", FILM_DOCUMENTS_SQL)
+def incremental_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R-2 / D-8..D-10 end to end: a full load, positions then set back to
+    the fixed per-entity positions (pass 1), and an incremental pass over
+    everything changed since. The stored documents must equal a full rebuild,
+    i.e. ``film_documents``."""
+    base = shared_path(spark, "incremental_documents", unique=True)
+    tables = film_tables(spark, sf_dir)
+    paths = SyncPaths(f"{base}/documents", f"{base}/positions")
+    full_load(tables, paths, pass_id=0)
+    rows = [("film_work", FILM_POSITION, 1), ("person", PERSON_POSITION, 1),
+            ("genre", GENRE_POSITION, 1)]
+    save_positions(spark.createDataFrame(rows, HIGH_WATER), paths.positions)
+    incremental_pass(tables, paths)
+    return documents_as_text(read_current(spark, paths.documents, DOCUMENT))
