@@ -39,8 +39,25 @@ def build_session(
     return spark
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - some keys are not readable on every session
+        return None
+
+
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, ``None`` where there is none."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else (_conf(spark, "spark.master") or "")
+    return master.startswith("local")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -49,14 +66,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only a local session without one gets a fresh
     folder of its own (a cluster must configure a shared one).
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - conf lookups may be restricted
-            root = None
-    if not root:
+    sc = _context(spark)
+    root = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
+    root = root or _conf(spark, "spark.checkpoint.dir")
+    if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
         if not _is_local(spark):
@@ -65,7 +78,7 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "executors (HDFS, object store) before running reelsync jobs"
             )
         root = tempfile.mkdtemp(prefix="reelsync-ck-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -19,10 +19,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     at once (a table written as one row group is a single task), so the
     CPU-heavy work after it runs in parallel. A scan of many files already has
     enough splits and is returned unchanged: no shuffle at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
