@@ -70,11 +70,16 @@ def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = Non
     return firsts.unionByName(df.where(_has_null(key)))
 
 
-def has_duplicates(df: DataFrame, key: list[str]) -> bool:
-    """Whether two rows share a non-NULL ``key`` (key columns only are read
-    and shuffled, after a map-side partial count)."""
-    groups = df.where(~_has_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
-    return not groups.where(F.col("__n") > 1).isEmpty()
+def has_duplicates(df: DataFrame, key: list[str], *more_keys: list[str]) -> bool:
+    """Whether two rows share a non-NULL value of any of the keys.
+
+    Only key columns are read and shuffled, after a map-side partial count;
+    all keys are checked in one job, so the input is computed once."""
+    flags = []
+    for k in (key, *more_keys):
+        groups = df.where(~_has_null(k)).groupBy(*k).agg(F.count(F.lit(1)).alias("__n"))
+        flags.append(groups.where(F.col("__n") > 1).select(F.lit(1).alias("__dup")))
+    return not reduce(lambda a, b: a.unionByName(b), flags).isEmpty()
 
 
 def rank_rows(df: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
@@ -128,7 +133,7 @@ def keep_first_keys(df: DataFrame, keys: list[list[str]],
     ``max_rounds`` (default: no limit) raises instead of returning a partial
     answer when a pathological chain of conflicts needs more rounds.
     """
-    if not any(has_duplicates(df, key) for key in keys):
+    if not has_duplicates(*([df] + keys)):
         return df       # no two rows share a key: nothing can conflict
     if len(keys) == 1:
         return keep_first(df, keys[0], order_cols)

@@ -45,17 +45,20 @@ def latest_per_key(df: DataFrame, key: list[str], version_cols: list[str] | None
 
 
 def dedupe_updates(updates: DataFrame, key: list[str],
-                   version_cols: list[str] | None = None) -> DataFrame:
+                   version_cols: list[str] | None = None,
+                   assume_unique: bool = False) -> DataFrame:
     """R-4: one update per key. Updates already unique by key (a check that
-    reads and shuffles only the key columns) pass through untouched; the
-    latest-per-key aggregate runs only when a key repeats."""
-    if not has_duplicates(updates, key):
+    reads and shuffles only the key columns, or the caller's guarantee) pass
+    through untouched; the latest-per-key aggregate runs only when a key
+    repeats."""
+    if assume_unique or not has_duplicates(updates, key):
         return updates
     return latest_per_key(updates, key, version_cols)
 
 
 def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
-                 version_cols: list[str] | None = None) -> DataFrame:
+                 version_cols: list[str] | None = None,
+                 assume_unique: bool = False) -> DataFrame:
     """S-5: the target with ``updates`` applied by key.
 
     Without ``version_cols`` an update replaces the stored row (a keyed index
@@ -63,7 +66,7 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
     Only target rows whose key is updated take part in the contest; the rest
     pass through an anti join.
     """
-    upd = dedupe_updates(updates, key, version_cols)
+    upd = dedupe_updates(updates, key, version_cols, assume_unique)
     if target is None:
         return upd
     target = target.select(*upd.columns)
@@ -126,12 +129,15 @@ def _commit(spark: SparkSession, path: str, version: int, df: DataFrame) -> None
 
 def upsert(updates: DataFrame, path: str, key: list[str],
            version_cols: list[str] | None = None,
-           schema: T.StructType | None = None) -> int:
+           schema: T.StructType | None = None,
+           assume_unique: bool = False) -> int:
     """Apply ``updates`` to the table at ``path``; returns the new version.
 
     The de-duplicated updates are checkpointed once: they feed both the anti
     join and the union, and the enrichment behind them must not run twice.
-    An empty update is a no-op (no new version).
+    An empty update is a no-op (no new version). ``assume_unique`` is the
+    caller's guarantee that ``updates`` has one row per key (documents built
+    from a table keyed by film id), which skips the uniqueness check.
     """
     spark = updates.sparkSession
     if schema is not None:
@@ -139,13 +145,14 @@ def upsert(updates: DataFrame, path: str, key: list[str],
     current = read_current(spark, path, schema)
     version = current_version(spark, path)
     if current is None:
-        _commit(spark, path, version + 1, dedupe_updates(updates, key, version_cols))
+        _commit(spark, path, version + 1,
+                dedupe_updates(updates, key, version_cols, assume_unique))
         return version + 1
     ensure_checkpoint_dir(spark)
-    upd = dedupe_updates(updates, key, version_cols).checkpoint()
+    upd = dedupe_updates(updates, key, version_cols, assume_unique).checkpoint()
     if upd.isEmpty():
         return version
-    _commit(spark, path, version + 1, merge_latest(current, upd, key, version_cols))
+    _commit(spark, path, version + 1, merge_latest(current, upd, key, version_cols, True))
     return version + 1
 
 

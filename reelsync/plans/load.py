@@ -49,7 +49,8 @@ def full_load(tables: FilmTables, paths: SyncPaths, pass_id: int = 1) -> PassRes
     Bounds are read *before* the snapshot, so changes committed during the
     load are seen again by the next pass rather than missed."""
     highs = _highs(tables)
-    version = upsert(build_documents(tables), paths.documents, ["id"], schema=DOCUMENT)
+    version = upsert(build_documents(tables), paths.documents, ["id"], schema=DOCUMENT,
+                     assume_unique=True)
     _save(tables, paths, highs, pass_id)
     return PassResult(pass_id, version, highs)
 
@@ -89,7 +90,8 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
                if not df.isEmpty()}
     if changed:
         ids = C.affected_films(tables, changed)
-        version = upsert(build_documents(tables, ids), paths.documents, ["id"], schema=DOCUMENT)
+        version = upsert(build_documents(tables, ids), paths.documents, ["id"],
+                         schema=DOCUMENT, assume_unique=True)
     else:
         version = current_version(spark, paths.documents)
     _save(tables, paths, high, pass_id)

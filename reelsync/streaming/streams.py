@@ -84,7 +84,7 @@ def affected_documents_stream(changes: dict[str, DataFrame], tables: FilmTables,
                    for e in present}
         films = affected_films(tables, changed)
         docs = build_documents(tables, films)
-        upsert(docs, path, ["id"], schema=DOCUMENT)
+        upsert(docs, path, ["id"], schema=DOCUMENT, assume_unique=True)
         if on_batch is not None:
             on_batch(epoch_id, films)
 
