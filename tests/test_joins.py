@@ -1,0 +1,32 @@
+"""Bounded broadcasts give the same results on both sides of the bound."""
+
+from __future__ import annotations
+
+from reelsync.operators import joins
+from reelsync.operators.changes import changed_since, films_by_entity
+from reelsync.operators.documents import build_documents
+from reelsync.sources.fixtures import film_tables
+
+from .conftest import SF_SMALL
+
+
+def test_broadcast_hint_only_within_bound(spark):
+    df = spark.range(10)
+    small = joins.broadcast_if_small(df, 10)
+    large = joins.broadcast_if_small(df, 9)
+    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()
+
+
+def test_results_do_not_depend_on_the_bound(spark, monkeypatch):
+    t = film_tables(spark, SF_SMALL)
+
+    def run():
+        docs = build_documents(t)
+        films = films_by_entity(t, changed_since(t.person, None), "person")
+        return sorted(tuple(map(str, r)) for r in docs.collect()), \
+            sorted(r["id"] for r in films.collect())
+
+    with_broadcast = run()
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    assert run() == with_broadcast
