@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import (PRIMARY_KEY, RENAMES, SOURCE_COLUMNS, TARGETS, UNIQUE_KEYS,
-                       SchemaMismatch, check_strict)
+from ..schemas import (COPY_ORDER, FOREIGN_KEYS, PRIMARY_KEY, RENAMES, SOURCE_COLUMNS,
+                       TARGETS, UNIQUE_KEYS, SchemaMismatch, check_strict)
 from .dedupe import insert_if_absent
 
 
@@ -94,3 +94,57 @@ def key_parity(source: DataFrame, target: DataFrame, key: list[str]) -> DataFram
     extra = t.join(s, key, "left_anti").agg(F.count(F.lit(1)).alias("n"))
     return (missing.select(F.lit("missing_in_target").alias("check"), "n")
             .unionByName(extra.select(F.lit("only_in_target").alias("check"), "n")))
+
+
+class OrphanLinks(ValueError):
+    """Link rows whose non-NULL foreign key has no parent (D-18)."""
+
+
+def _orphans(df: DataFrame, col: str, parents: DataFrame) -> DataFrame:
+    ids = parents.select(F.col("id").alias("__pid"))
+    return df.where(F.col(col).isNotNull()).join(ids, F.col(col) == ids["__pid"], "left_anti")
+
+
+def copy_tables(sources: dict[str, DataFrame], target_root: str,
+                tables: list[str] | None = None, on_orphans: str = "fail",
+                order_cols: dict[str, list[str]] | None = None) -> DataFrame:
+    """S-3: the whole copy job, parents before links; returns the parity
+    report of every copied table (D-19: none is skipped).
+
+    Each table's target is the parquet folder ``<target_root>/<table>``
+    (absent = empty). Link rows pointing at a parent that is in neither the
+    target nor this copy abort the job by default, as the relational insert
+    would (D-18); ``on_orphans="drop"`` leaves them out instead.
+    """
+    if on_orphans not in ("fail", "drop"):
+        raise ValueError("on_orphans is 'fail' or 'drop'")
+    spark = next(iter(sources.values())).sparkSession
+    wanted = [t for t in COPY_ORDER if t in (tables or sources) and t]
+    copied: dict[str, DataFrame] = {}
+    for table in wanted:
+        path = f"{target_root.rstrip('/')}/{table}"
+        target = _read_target(spark, path, table)
+        rows = copy_table(table, sources[table], target, (order_cols or {}).get(table))
+        for link, col, parent in FOREIGN_KEYS:
+            if link != table:
+                continue
+            parents = _read_target(spark, f"{target_root.rstrip('/')}/{parent}", parent)
+            if parents is None:
+                parents = spark.createDataFrame([], TARGETS[parent])
+            bad = _orphans(rows, col, parents)
+            if on_orphans == "drop":
+                rows = rows.join(bad.select("id").withColumnRenamed("id", "__bad"),
+                                 rows["id"] == F.col("__bad"), "left_anti")
+            elif not bad.isEmpty():
+                raise OrphanLinks(f"{table}.{col}: rows point at missing {parent} rows")
+        append_rows(rows, table, path)
+        copied[table] = _read_target(spark, path, table)
+    return count_parity({t: sources[t] for t in wanted}, copied)
+
+
+def _read_target(spark, path: str, table: str) -> DataFrame | None:
+    from pyspark.sql.utils import AnalysisException
+    try:
+        return spark.read.schema(TARGETS[table]).parquet(path)
+    except AnalysisException:
+        return None
