@@ -51,8 +51,3 @@ def refs_text(refs: Column) -> Column:
         F.transform(refs, lambda p: F.concat(p["id"].cast("string"), F.lit(":"),
                                              F.coalesce(p["name"], F.lit("")))),
         ";")
-
-
-def iso_text(ts: Column) -> Column:
-    """F-5: an instant as ISO-8601 text in the session zone (UTC)."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")

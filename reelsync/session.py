@@ -7,7 +7,6 @@ and the local bench need somewhere to write, a cluster must name a shared one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -94,8 +93,3 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable (reliable, never local)."""
     checkpoint_root(spark)
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
