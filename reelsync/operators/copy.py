@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..schemas import (COPY_ORDER, FOREIGN_KEYS, PRIMARY_KEY, RENAMES, SOURCE_COLUMNS,
                        TARGETS, UNIQUE_KEYS, SchemaMismatch, check_strict)
 from .dedupe import insert_if_absent
+from .joins import broadcast_if_small
 
 
 def project_source(df: DataFrame, table: str) -> DataFrame:
@@ -101,7 +102,7 @@ class OrphanLinks(ValueError):
 
 
 def _orphans(df: DataFrame, col: str, parents: DataFrame) -> DataFrame:
-    ids = parents.select(F.col("id").alias("__pid"))
+    ids = broadcast_if_small(parents.select(F.col("id").alias("__pid")))
     return df.where(F.col(col).isNotNull()).join(ids, F.col(col) == ids["__pid"], "left_anti")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FOREIGN_KEYS, MAX_LENGTH, NOT_NULL
+from .joins import broadcast_if_small
 
 
 def _count_if(cond: F.Column) -> F.Column:
@@ -38,7 +39,8 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _parents(parent: DataFrame, tag: str) -> DataFrame:
-    return parent.select(F.col("id").alias(f"__{tag}_id"), F.lit(True).alias(f"__{tag}_hit"))
+    return broadcast_if_small(
+        parent.select(F.col("id").alias(f"__{tag}_id"), F.lit(True).alias(f"__{tag}_hit")))
 
 
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -47,7 +49,8 @@ def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for link, col, parent in FOREIGN_KEYS:
         links = tables[link].where(F.col(col).isNotNull()).select(col)
-        ids = tables[parent].select(F.col("id").alias("__pid"))
+        # Parents with few ids (genres) must not become a shuffle key.
+        ids = broadcast_if_small(tables[parent].select(F.col("id").alias("__pid")))
         orphans = links.join(ids, links[col] == ids["__pid"], "left_anti")
         parts.append(orphans.agg(F.count(F.lit(1)).alias("orphans"))
                      .select(F.lit(link).alias("table_name"), F.lit(col).alias("column_name"),
