@@ -3,7 +3,10 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_REPEAT (default 2; the best run of each query counts).
 Each query is run to completion through the ``noop`` sink, so nothing is
-collected to the driver and the time is the whole job's.
+collected to the driver and the time is the whole job's. ``value`` is the
+sum over the product workloads; ``documents_from_fanout`` (the reference's
+nest-the-fan-out shape, for comparison with ``film_documents``) is reported
+but not counted.
 """
 
 from __future__ import annotations
@@ -99,7 +102,7 @@ def main() -> None:
     times["incremental_pass"] = timed(lambda: incremental_pass(tables, paths), 1)
 
     spark.stop()
-    total = round(sum(times.values()), 3)
+    total = round(sum(v for k, v in times.items() if k != "documents_from_fanout"), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec",
                       "queries": times, "sf": float(sf) if sf else sf_dir}))
