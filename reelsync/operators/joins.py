@@ -5,9 +5,9 @@ derived frame says little (a filter keeps its input's size; a dimension
 derived by aggregation looks as big as its source). A shuffle join on a key
 with few values (a handful of genres) sends all rows to a handful of tasks.
 So where a side is expected to be small, its row count is checked with a
-bounded count (``limit(n + 1).count()``: at most ``n + 1`` rows are kept
-per task) and it is broadcast only when within the bound; otherwise the
-join stays a shuffle join and AQE handles its skew.
+bounded count (over ``limit(n + 1)``: at most ``n + 1`` rows are kept) and
+it is broadcast only when within the bound; otherwise the join stays a
+shuffle join and AQE handles its skew.
 """
 
 from __future__ import annotations
@@ -17,14 +17,25 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Rows a broadcast side may have: a few tens of MB of hashed keys and names
 # per executor. Override with REELSYNC_BROADCAST_MAX_ROWS.
 BROADCAST_MAX_ROWS = int(os.environ.get("REELSYNC_BROADCAST_MAX_ROWS", "500000"))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
+    """``broadcast`` of ``df``'s rows if it has at most ``max_rows``, else ``df``.
+
+    The first ``max_rows + 1`` rows are checkpointed (a bounded write into
+    the shared checkpoint folder) and counted. Within the bound that head
+    *is* the whole frame and is what gets broadcast, so a derived side (an
+    aggregate, a filtered change set) is computed once, not once to count
+    and again to join.
+    """
     bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    if df.limit(bound + 1).count() <= bound:
-        return F.broadcast(df)
+    ensure_checkpoint_dir(df.sparkSession)
+    head = df.limit(bound + 1).checkpoint()
+    if head.count() <= bound:
+        return F.broadcast(head)
     return df
