@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
     session = build_session("local[*]", conf={
         "spark.sql.shuffle.partitions": "8",
         "spark.checkpoint.dir": str(ck),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     })
     yield session
     session.stop()
