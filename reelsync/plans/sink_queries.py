@@ -19,6 +19,7 @@ from . import oracle_views as V
 from .registry import register
 
 ALL_VIEWS = ("film_work", "person", "person_film_work", "genre", "genre_film_work")
+# Fixed value: the name of the document index.
 INDEX = "movies"
 
 # Fixed parameters: the two unique keys of the insert-if-absent queries.
