@@ -11,6 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import changes as C
 from ..operators import state as S
@@ -68,12 +69,31 @@ def changed_sets(tables: FilmTables, low: dict, high: dict,
     return out
 
 
+def bounded_highs(tables: FilmTables, low: dict, high: dict, max_changes: int) -> dict:
+    """O-1 for a whole pass: per entity, lower the bound to the time of its
+    ``max_changes``-th oldest change in ``(low, high]``. Every change at that
+    time stays in (ties are never split), so the interval remains exact and
+    the next pass starts right after it."""
+    out = dict(high)
+    for e in ENTITIES:
+        oldest = C.changed_since(C.entity_table(tables, e), low.get(e), high.get(e),
+                                 limit=max_changes)
+        cut = oldest.agg(F.max("modified").alias("m")).collect()[0]["m"]
+        if cut is not None:
+            out[e] = cut
+    return out
+
+
 def incremental_pass(tables: FilmTables, paths: SyncPaths,
-                     look_back: dt.timedelta | None = None) -> PassResult:
+                     look_back: dt.timedelta | None = None,
+                     max_changes: int | None = None) -> PassResult:
     """One set-based pass over every change since the saved positions.
 
     The first run (no saved positions) is a full load (R-2), done once
     (D-11 fixed). Films affected by any entity are enriched once (U-1).
+    ``max_changes`` bounds the work of one pass for a large backlog: each
+    entity then advances by about that many changes per pass (see
+    :func:`bounded_highs`); repeated passes catch up.
     """
     spark = tables.film_work.sparkSession
     saved = S.merge_positions(S.empty_positions(spark), S.read_positions(spark, paths.positions))
@@ -84,6 +104,8 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     high = _highs(tables)
     # An entity whose table is empty keeps its old position.
     high = {e: (high.get(e) if high.get(e) is not None else low.get(e)) for e in ENTITIES}
+    if max_changes is not None:
+        high = bounded_highs(tables, low, high, max_changes)
     # Most polls find nothing: an entity without changes (a filter pushed to
     # its scan finds no row) does not touch its link table at all.
     changed = {e: df for e, df in changed_sets(tables, low, high, look_back).items()

@@ -73,3 +73,18 @@ def test_crash_between_sink_and_positions_repeats_harmlessly(spark, tmp_path):
     sinks.upsert(build_documents(t2), paths.documents, ["id"])     # crash right after this
     incremental_pass(t2, paths)                                     # rerun
     assert snapshot(spark, paths.documents) == expected(t2)
+
+
+def test_bounded_passes_catch_up(spark, tmp_path):
+    """O-1: passes of at most two changes per entity reach the same state."""
+    paths = SyncPaths(str(tmp_path / "docs"), str(tmp_path / "pos"))
+    full_load(world(spark), paths)
+    t2 = world(spark, titles={"f1": "Uno", "f2": "Dos", "f3": "Tres"},
+               fmod={"f1": ts(2), "f2": ts(3), "f3": ts(3)},
+               names={"p1": "Anna", "p2": "Rob"}, pmod={"p1": ts(2), "p2": ts(4)})
+    r = incremental_pass(t2, paths, max_changes=1)
+    assert r.positions["film_work"] == ts(2) and r.positions["person"] == ts(2)
+    r = incremental_pass(t2, paths, max_changes=1)
+    # f2 and f3 share ts(3): both are taken, ties are not split
+    assert r.positions["film_work"] == ts(3) and r.positions["person"] == ts(4)
+    assert snapshot(spark, paths.documents) == expected(t2)
