@@ -91,11 +91,16 @@ def films_by_entity(tables: FilmTables, changed: DataFrame, entity: str) -> Data
 
 def _existing_films(tables: FilmTables, candidates: DataFrame) -> DataFrame:
     """Film rows among ``candidates`` (column ``id``, may repeat). The
-    candidates are materialised once (checkpoint into the shared folder) and
-    broadcast when provably small, so the film table is filtered as it is
-    scanned; a large candidate set falls back to a shuffle semi join."""
+    distinct candidates are materialised once (checkpoint into the shared
+    folder) and broadcast when provably small, so the film table is filtered
+    as it is scanned; a large candidate set falls back to a shuffle semi
+    join."""
     ensure_checkpoint_dir(tables.film_work.sparkSession)
-    cand = broadcast_if_small(candidates.select(F.col("id").alias("__cand")).checkpoint())
+    # distinct() first: a film linked to very many changed rows repeats in
+    # the candidates; the partial aggregate collapses it in every task, so
+    # neither the broadcast nor a shuffle join's build side carries it.
+    cand = candidates.select(F.col("id").alias("__cand")).distinct()
+    cand = broadcast_if_small(cand.checkpoint())
     films = tables.film_work.select("id")
     return films.join(cand, films["id"] == cand["__cand"], "left_semi")
 
