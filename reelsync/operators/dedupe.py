@@ -92,7 +92,10 @@ def rank_rows(df: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
     """
     cols = df.columns
     order = list(order_cols or []) + [c for c in cols if c not in (order_cols or [])]
-    ranked = df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    # The last key only orders identical rows: it lets the range partitioner
+    # split a large group of exact copies across tasks instead of sending it
+    # to one.
+    ranked = df.orderBy(*[F.col(c).asc_nulls_first() for c in order], F.rand(17))
     return ranked.withColumn(RID, F.monotonically_increasing_id()).checkpoint()
 
 

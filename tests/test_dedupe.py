@@ -85,3 +85,8 @@ def test_copy_twice_is_copy_once(spark):
     assert sorted(r["id"] for r in first.collect()) == ["l1", "l3"]
     second = copy_table("genre_film_work", src, target=first)
     assert second.count() == 0
+
+
+def test_many_exact_copies_keep_one(spark):
+    rows = [(1, "a", "x")] * 200 + [(2, "a", "y"), (3, "b", "x"), (4, "b", "z")]
+    assert run(spark, rows, [["k"], ["n"]]) == [1, 4]
