@@ -70,3 +70,19 @@ def test_timed_trigger_polls_new_files(spark, tmp_path):
     finally:
         q.stop()
     assert [r["event_id"] for r in sinks.read_current(spark, out).collect()] == [2]
+
+
+def test_affected_stream_with_several_feeds(spark, tmp_path):
+    """R-6 with film and person feeds in one query (one writer)."""
+    t = make_tables(spark, films=[film("f1"), film("f2"), film("f3")],
+                    persons=[("p1", "Ann", ts(1))],
+                    person_links=[("p1", "f1", "actor")])
+    films_src, persons_src = str(tmp_path / "films"), str(tmp_path / "persons")
+    spark.createDataFrame([("f3", ts(2), 1, 0.0)], FEED).write.parquet(films_src)
+    spark.createDataFrame([("p1", ts(2), 2, 0.0), ("nobody", ts(2), 3, 0.0)], FEED) \
+        .write.parquet(persons_src)
+    out = str(tmp_path / "docs")
+    run_to_end(affected_documents_stream(
+        {"film_work": feed_stream(spark, films_src), "person": feed_stream(spark, persons_src)},
+        t, out, str(tmp_path / "ck")))
+    assert sorted(r["id"] for r in sinks.read_current(spark, out).collect()) == ["f1", "f3"]
