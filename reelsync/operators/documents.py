@@ -61,25 +61,46 @@ def enrich_fanout(tables: FilmTables, ids: DataFrame | None = None,
                   limit: int | None = None) -> DataFrame:
     """J-1..J-4, P-8, P-10: the enrichment rows, 11 columns."""
     t = _restricted(tables, ids, limit)
-    fw = t.film_work.alias("fw")
-    pfw = t.person_film_work.alias("pfw")
-    p = broadcast_if_small(t.person.select("id", "full_name")).alias("p")
-    gfw = t.genre_film_work.alias("gfw")
-    g = broadcast_if_small(t.genre.select("id", "name")).alias("g")
-    return (fw
-            .join(pfw, F.col("pfw.film_work_id") == F.col("fw.id"), "left")
-            .join(p, F.col("p.id") == F.col("pfw.person_id"), "left")
-            .join(gfw, F.col("gfw.film_work_id") == F.col("fw.id"), "left")
-            .join(g, F.col("g.id") == F.col("gfw.genre_id"), "left")
-            .select(F.col("fw.id").alias("id"), F.col("fw.title").alias("title"),
-                    F.col("fw.description").alias("description"),
-                    F.col("fw.rating").alias("rating"), F.col("fw.type").alias("type"),
-                    F.col("fw.created").alias("created"),
-                    F.col("fw.modified").alias("modified"),
-                    F.col("pfw.role").alias("person_role"),
-                    F.col("p.id").alias("person_id"),
-                    F.col("p.full_name").alias("person_name"),
-                    F.col("g.name").alias("genre_name")))
+    rows = _left_join_links(t.film_work, t.person_film_work)
+    p = broadcast_if_small(t.person.select(F.col("id").alias("p_id"),
+                                           F.col("full_name").alias("p_name")))
+    gfw = t.genre_film_work.select(F.col("film_work_id").alias("gfw_film_work_id"),
+                                   F.col("genre_id").alias("gfw_genre_id"))
+    g = broadcast_if_small(t.genre.select(F.col("id").alias("g_id"),
+                                          F.col("name").alias("g_name")))
+    return (rows
+            .join(p, rows["pfw_person_id"] == p["p_id"], "left")
+            .join(gfw, rows["fw_id"] == gfw["gfw_film_work_id"], "left")
+            .join(g, gfw["gfw_genre_id"] == g["g_id"], "left")
+            .select(F.col("fw_id").alias("id"), F.col("fw_title").alias("title"),
+                    F.col("fw_description").alias("description"),
+                    F.col("fw_rating").alias("rating"), F.col("fw_type").alias("type"),
+                    F.col("fw_created").alias("created"),
+                    F.col("fw_modified").alias("modified"),
+                    F.col("pfw_role").alias("person_role"),
+                    F.col("p_id").alias("person_id"),
+                    F.col("p_name").alias("person_name"),
+                    F.col("g_name").alias("genre_name")))
+
+
+def _left_join_links(fw: DataFrame, pfw: DataFrame) -> DataFrame:
+    """``fw LEFT JOIN pfw ON pfw.film_work_id = fw.id`` with columns prefixed
+    ``fw_`` / ``pfw_``, written so that a film with very many links cannot
+    pin one task: AQE splits a skewed partition only on the preserved side of
+    an outer join, but on either side of an inner join. So: the inner join,
+    plus the films without any link (found against link film ids
+    de-duplicated map-side, so no hot key reaches that join), padded with
+    NULLs.
+    """
+    f = fw.select(*[F.col(c).alias(f"fw_{c}") for c in fw.columns])
+    links = pfw.select(*[F.col(c).alias(f"pfw_{c}") for c in pfw.columns])
+    linked = f.join(links, f["fw_id"] == links["pfw_film_work_id"], "inner")
+    link_films = links.select(F.col("pfw_film_work_id").alias("__lf")).distinct()
+    unlinked = (f.join(link_films, f["fw_id"] == link_films["__lf"], "left_anti")
+                .select(*f.columns,
+                        *[F.lit(None).cast(fld.dataType).alias(f"pfw_{fld.name}")
+                          for fld in pfw.schema.fields]))
+    return linked.unionByName(unlinked)
 
 
 def person_branch(person_film_work: DataFrame, person: DataFrame) -> DataFrame:
