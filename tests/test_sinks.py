@@ -79,3 +79,15 @@ def test_write_documents_skips_empty(spark):
     calls = []
     assert sinks.write_documents(spark.createDataFrame([], DOCUMENT), calls.append) is None
     assert calls == []
+
+
+def test_write_documents_through_sinks(spark, tmp_path):
+    """S-8: the same writer feeds the versioned table and the bulk files."""
+    docs = spark.createDataFrame(
+        [("1", 7.0, "Drama", "T", None, "D", "A", "", [("p", "A")], [])], DOCUMENT)
+    table = str(tmp_path / "docs")
+    assert sinks.write_documents(docs, sinks.parquet_upsert_sink(table, schema=DOCUMENT)) == 1
+    assert sinks.read_current(spark, table).count() == 1
+    bulk = str(tmp_path / "bulk")
+    sinks.write_documents(docs, sinks.bulk_file_sink(bulk, "movies"))
+    assert spark.read.text(bulk).count() == 2
