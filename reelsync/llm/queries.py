@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, langid, quality, secrets, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,3 +42,45 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+def fold(modulus: int) -> F.Column:
+    """The remainder that decides a document's fold; a NULL id is in none."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, spans="s", drop=("text",))
+    base = F.filter("s", lambda x: x.kind != "guess")
+    listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(
+        ":", x.kind, x.start.cast("string"), x.end.cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("s", lambda x: x.kind == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
+                        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("s")).alias("spans"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(5) == 0, F.lit(False))
+    learn = docs.select("doc_id", "text", "lang").where(~held_out)
+    found = langid.identify(docs.select("doc_id", "text"), learn, drop=("text",))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    learn = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    scored = quality.score(docs, quality.fit(docs, learn), drop=("text",))
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
