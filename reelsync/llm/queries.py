@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality, secrets, simhash, token_counts
+from . import bpe, fingerprints, html_text, langid, mixing, neighbours, quality, secrets, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,12 +28,37 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compared(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", F.char_length("text").cast("long").alias("n_chars"),
+                        F.sha2("edited", 256).alias("edited_sha256"),
+                        fingerprints.text_form(F.col("fp")).alias("fingerprint"),
+                        fingerprints.text_form(F.col("edited_fp")).alias("edited_fingerprint"),
+                        "near_edited", "near_next")
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target",
+                                   (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLE_SQL["op2_mixing"] = mixing.MIX_SQL
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
                                      tokenizer("byte_bpe_50k.json"), limit=1024)
 
 
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("word_bpe_49k.json")
@@ -61,6 +86,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("s")).alias("spans"))
 
 
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_path
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def ranged(df: DataFrame, *order: str) -> DataFrame:
+def ranged(df: DataFrame, *order) -> DataFrame:
     """``df`` written in order, with ``_part``: all rows of a part come before
     those of the next. Tasks sort their own part only."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -52,20 +52,48 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
     return members.join(smallest, "root").select("fp", "component_id")
 
 
-def following(ids: DataFrame, id: str, out: str) -> DataFrame:
-    """``ids`` (one row per id, any further columns) with ``out``, the next
-    greater id; the greatest one gets the smallest.
+def following(ids: DataFrame, id: str, out: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``ids`` (one row per id, any further columns) with the struct ``out`` of
+    the next greater id (``id``) and its columns ``carry``; the greatest id gets
+    the smallest.
 
     NULL comes first, as one id. Only the first id of each part, a row per
     shuffle partition, is brought together.
     """
     parts = ranged(ids, id)
-    wrapped = F.struct(F.col(id).isNotNull().alias("known"), F.col(id).alias("id"))
+    whole = F.struct(F.col(id).isNotNull().alias("known"), F.col(id).alias("id"), *carry)
     inside = Window.partitionBy("_part").orderBy(F.col(id).asc_nulls_first())
     across = Window.orderBy("_part")
-    heads = parts.groupBy("_part").agg(F.min(wrapped).alias("head"))
+    heads = parts.groupBy("_part").agg(F.min(whole).alias("head"))
     heads = heads.select("_part", F.coalesce(
         F.lead("head").over(across),
         F.first("head").over(across.rowsBetween(Window.unboundedPreceding, 0))).alias("after"))
-    return (parts.withColumn("_next", F.lead(wrapped).over(inside)).join(F.broadcast(heads), "_part")
-            .withColumn(out, F.coalesce("_next", "after")["id"]).drop("_part", "_next", "after"))
+    return (parts.withColumn("_next", F.lead(whole).over(inside)).join(F.broadcast(heads), "_part")
+            .withColumn(out, F.coalesce("_next", "after")).drop("_part", "_next", "after"))
+
+
+def running(df: DataFrame, order: list[str], sums: dict[str, F.Column]) -> DataFrame:
+    """``df`` with each ``sums`` column added up over the rows before it in
+    ``order`` (ascending, NULLs last; it must tell all rows apart).
+
+    Each task adds up its own range; only a row of totals per shuffle
+    partition is brought together.
+    """
+    by = [F.col(c).asc_nulls_last() for c in order]
+    valued = df.select("*", *[v.alias(f"_{k}") for k, v in sums.items()])
+    parts = ranged(valued, *by)
+    inside = Window.partitionBy("_part").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy("_part").agg(*[F.sum(f"_{k}").alias(f"_t_{k}") for k in sums])
+    offsets = totals.select("_part", *[F.sum(f"_t_{k}").over(across).alias(f"_o_{k}") for k in sums])
+    added = {k: F.coalesce(F.sum(f"_{k}").over(inside), F.lit(0)) for k in sums}
+    out = parts.select("*", *[v.alias(f"_s_{k}") for k, v in added.items()]).join(F.broadcast(offsets), "_part")
+    return out.select(*df.columns, *[(F.col(f"_s_{k}") + F.coalesce(f"_o_{k}", F.lit(0))).alias(k) for k in sums])
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table below ``spark.checkpoint.dir`` and read again,
+    so that Spark knows its size and chooses joins by it."""
+    path = shared_path(df.sparkSession, "tables", unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
