@@ -1,0 +1,95 @@
+"""Operator 9: recall and exact scores against brute force, edge rows."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reelsync.llm import neighbours as N
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, asked, k):
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], float)
+    out = {}
+    for q in asked:
+        near = np.sqrt(((x - x[np.flatnonzero(ids == q)[0]]) ** 2).sum(axis=1))
+        order = [i for i in np.lexsort((ids, near)) if ids[i] != q][:k]
+        out[q] = [(int(ids[i]), float(near[i])) for i in order]
+    return out
+
+
+def test_recall_and_scores(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
+    asked = [i for i, _ in rows if i % 100 == 0]
+    want, got = brute(rows, asked, 10), {}
+    for r in N.nearest(vectors, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    x = {i: np.array(v, float) for i, v in rows}
+    hits = 0
+    for q in asked:
+        found = sorted(got[q])
+        assert [r for r, _, _ in found] == list(range(1, 11))
+        assert all(abs(np.linalg.norm(x[q] - x[i]) - s) < 1e-12 for _, i, s in found)
+        assert [(s, i) for _, i, s in found] == sorted((s, i) for _, i, s in found)
+        hits += len({i for _, i, _ in found} & {i for i, _ in want[q]})
+    assert hits / (10 * len(asked)) >= 0.9
+
+
+def test_every_code_within_the_radius_is_found():
+    draw = np.random.default_rng(2)
+    codes = draw.integers(0, 1 << 16, size=(500, 4)).astype(np.uint16)
+    codes[:200] = codes[0] ^ (1 << draw.integers(0, 16, size=(200, 4))).astype(np.uint16)
+    index, query = N.BlockIndex(codes), codes[0]
+    apart = np.bitwise_count(codes ^ query).sum(axis=1)
+    for distance in range(6):
+        rows = set(index.near(query, distance).tolist())
+        assert rows == set(np.flatnonzero((np.bitwise_count(codes ^ query) <= distance).any(axis=1)).tolist())
+        assert rows >= set(np.flatnonzero(apart <= 4 * (distance + 1) - 1).tolist())
+    for enough in (1, 50, 300, 500):
+        found = set(index.within(query, enough).tolist())
+        assert len(found) >= enough
+        rest = [apart[i] for i in range(500) if i not in found]
+        assert not rest or min(rest) > max(apart[list(found)])
+
+
+def test_ties_and_frequent_vectors(spark):
+    rows = [(i, [1.0, 2.0, 3.0], 0) for i in range(300)] + [(1_000 + i, [1.0, 2.0, 3.0 + i], 1) for i in range(1, 30)]
+    got = N.nearest(spark.createDataFrame(rows, SCHEMA).repartition(7), F.col("vec_id").isin(0, 5, 1_001), k=10).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert by[0] == list(range(1, 11))
+    assert by[5] == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10]
+    assert by[1_001] == list(range(10))  # 1002 is as near, with a greater id
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0], 0), (1, [0.9, 0.1], 0), (2, None, 0), (3, [0.0, 0.0], 0), (4, [nan, 1.0], 0),
+            (5, [1.0, inf], 0), (6, [1.0, None], 0), (None, [1.0, 0.0], 0), (7, [1.0], 0), (8, [1.0, 0.2], None),
+            (1, [0.9, 0.1], 0), (9, [], 0)]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    clash = vectors.withColumns({"id": F.lit("x"), "v": F.lit(0), "rank": F.lit(1), "score": F.lit("y")})
+    for frame in (vectors, clash):
+        got = N.nearest(frame, F.col("vec_id") % 2 == 0, k=5).orderBy("query_id", "rank").collect()
+        assert [(r.query_id, r["rank"], r.vec_id) for r in got] == \
+            [(0, 1, 1), (0, 2, 8), (8, 1, 1), (8, 2, 0)]
+    assert got[0].score == pytest.approx(np.sqrt(0.02), rel=1e-6)
+    assert N.nearest(spark.createDataFrame([], SCHEMA), F.lit(True)).collect() == []
+    alone = spark.createDataFrame([(1, [1.0, 0.0], 0)], SCHEMA)
+    assert N.nearest(alone, F.lit(True)).collect() == []
+
+
+def test_blocks_and_groups_do_not_change_exact_results(spark):
+    draw = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(draw.normal(size=(300, 8)))]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    want = brute([(i, np.array(v, np.float32)) for i, v, _ in rows], range(0, 300, 30), 4)
+    got = N.nearest(vectors, F.col("vec_id") % 30 == 0, k=4, block=64, group=3, least=64).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert by == {q: [i for i, _ in near] for q, near in want.items()}
