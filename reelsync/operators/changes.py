@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ENTITIES
-from ..session import ensure_checkpoint_dir
-from .joins import broadcast_if_small
-from ..sources.fixtures import FilmTables
+from ..sources.film import FilmTables
 
 Position = dt.datetime | None
 
@@ -30,8 +28,28 @@ LINKS = {
 
 def position_literal(pos: dt.datetime, ts_type: T.DataType) -> F.Column:
     """A position typed like the column it bounds, so the comparison needs no
-    cast of the column and is pushed to the scan as is."""
-    return F.lit(pos).cast(ts_type)
+    cast of the column and is pushed to the scan as is.
+
+    Positions are wall-clock values without a zone; for a column that marks
+    instants they are in UTC. Neither the driver's zone nor the session's takes
+    part: a Python datetime literal would be read in the driver's."""
+    if isinstance(ts_type, T.TimestampType):
+        return F.timestamp_micros(F.lit(epoch_micros(pos)))
+    return F.lit(pos.isoformat(sep=" ")).cast(T.TimestampNTZType()).cast(ts_type)
+
+
+def epoch_micros(pos: dt.datetime) -> int:
+    return (pos - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
+def without_zone(col: F.Column, ts_type: T.DataType) -> F.Column:
+    """An instant as its UTC wall-clock value; other types just cast."""
+    if not isinstance(ts_type, T.TimestampType):
+        return col.cast(T.TimestampNTZType())
+    seconds = (F.unix_micros(col).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return (F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+            + F.make_dt_interval(zero, zero, zero, seconds))
 
 
 def changed_since(df: DataFrame, low: Position = None, high: Position = None,
@@ -40,7 +58,7 @@ def changed_since(df: DataFrame, low: Position = None, high: Position = None,
     """P-4 / P-5 / O-1: rows with ``low < modified <= high`` as ``(id, modified)``.
 
     ``low=None`` is the first load (no lower bound); a NULL ``modified`` never
-    satisfies a bound. ``limit`` keeps the oldest ``limit`` changes, ties
+    satisfies a bound, so with ``high`` only dated rows remain. ``limit`` keeps the oldest ``limit`` changes, ties
     broken by id, for a bounded catch-up pass.
     """
     out = df.select(F.col(id_col).alias("id"), F.col(ts_col).alias("modified"))
@@ -71,9 +89,9 @@ def accumulate_processed(processed: DataFrame | None, batch: DataFrame) -> DataF
 
 def linked_film_ids(changed: DataFrame, links: DataFrame, entity_col: str) -> DataFrame:
     """Film ids of link rows whose entity changed, as column ``id`` (may repeat)."""
-    # Changed ids are usually few: broadcast them (if provably small) so the
-    # link table is filtered where it is read instead of being shuffled.
-    keys = broadcast_if_small(changed.select(F.col("id").alias("__changed")))
+    # Changed ids are usually few: where their measured size allows it,
+    # adaptive execution broadcasts them and the links are not shuffled.
+    keys = changed.select(F.col("id").alias("__changed"))
     hit = links.join(keys, links[entity_col] == keys["__changed"], "left_semi")
     return hit.select(F.col("film_work_id").alias("id"))
 
@@ -90,17 +108,11 @@ def films_by_entity(tables: FilmTables, changed: DataFrame, entity: str) -> Data
 
 
 def _existing_films(tables: FilmTables, candidates: DataFrame) -> DataFrame:
-    """Film rows among ``candidates`` (column ``id``, may repeat). The
-    distinct candidates are materialised once (checkpoint into the shared
-    folder) and broadcast when provably small, so the film table is filtered
-    as it is scanned; a large candidate set falls back to a shuffle semi
-    join."""
-    ensure_checkpoint_dir(tables.film_work.sparkSession)
+    """Film rows among ``candidates`` (column ``id``, may repeat)."""
     # distinct() first: a film linked to very many changed rows repeats in
     # the candidates; the partial aggregate collapses it in every task, so
-    # neither the broadcast nor a shuffle join's build side carries it.
+    # the join's build side does not carry it.
     cand = candidates.select(F.col("id").alias("__cand")).distinct()
-    cand = broadcast_if_small(cand.checkpoint())
     films = tables.film_work.select("id")
     return films.join(cand, films["id"] == cand["__cand"], "left_semi")
 
@@ -134,8 +146,13 @@ def entity_table(tables: FilmTables, entity: str) -> DataFrame:
 def current_highs(tables: FilmTables, entities: list[str]) -> DataFrame:
     """A-10 / D-9: the upper bound of a pass, ``max(modified)`` per entity,
     read *before* the changed rows so later commits wait for the next pass."""
-    frames = [entity_table(tables, e).agg(F.max("modified").alias("position"))
-              .select(F.lit(e).alias("entity"), "position") for e in entities]
+    def high(e: str) -> DataFrame:
+        df = entity_table(tables, e)
+        position = without_zone(F.col("position"), df.schema["modified"].dataType)
+        return (df.agg(F.max("modified").alias("position"))
+                .select(F.lit(e).alias("entity"), position.alias("position")))
+
+    frames = [high(e) for e in entities]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import (COPY_ORDER, FOREIGN_KEYS, PRIMARY_KEY, RENAMES, SOURCE_COLUMNS,
-                       TARGETS, UNIQUE_KEYS, SchemaMismatch, check_strict)
+from ..schemas import (COPY_ORDER, FOREIGN_KEYS, MAX_LENGTH, NOT_NULL, PRIMARY_KEY, RENAMES,
+                       SOURCE_COLUMNS, TARGETS, UNIQUE_KEYS, SchemaMismatch, check_strict)
+from ..session import path_exists
 from .dedupe import insert_if_absent
-from .joins import broadcast_if_small
 
 
 def project_source(df: DataFrame, table: str) -> DataFrame:
@@ -43,6 +43,7 @@ def coerce_or_reject(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     tried = {f.name: F.col(f.name).try_cast(f.dataType) for f in target.fields}
     bad = reduce(lambda a, b: a | b,
                  [F.col(n).isNotNull() & c.isNull() for n, c in tried.items()])
+    bad = bad | violations(table).isNotNull()
     good = df.where(~bad).select(*[c.alias(n) for n, c in tried.items()])
     return good, df.where(bad)
 
@@ -58,11 +59,47 @@ def copy_table(table: str, source: DataFrame, target: DataFrame | None = None,
 
     Copying twice equals copying once: the second pass finds every key taken.
     """
-    rows = coerce(project_source(source, table), table)
-    check_strict(rows.schema, TARGETS[table])
+    rows = typed_rows(table, source)
     return insert_if_absent(rows, target, table_keys(table), order_cols, max_rounds)
 
 
+def typed_rows(table: str, source: DataFrame) -> DataFrame:
+    """``source`` as rows of the target table: types, NOT NULL and lengths."""
+    rows = enforce(coerce(project_source(source, table), table), table)
+    check_strict(rows.schema, TARGETS[table])
+    return rows
+
+
+def violations(table: str) -> Column:
+    """The first constraint a row breaks, as text (NULL: none): NOT NULL
+    columns (the primary key among them) and greatest lengths."""
+    checks = [F.when(F.col(c).isNull(), F.lit(f"{table}.{c} is NULL")) for c in NOT_NULL[table]]
+    checks += [F.when(F.length(c) > n, F.lit(f"{table}.{c} is longer than {n}"))
+               for c, n in MAX_LENGTH.get(table, {}).items()]
+    return F.coalesce(*checks, F.lit(None).cast("string"))
+
+
+def enforce(df: DataFrame, table: str) -> DataFrame:
+    """Fail on a row that breaks a constraint of the target table, as the
+    relational insert would; checked while the rows are written."""
+    broken = violations(table)
+    first = df.columns[0]
+    checked = F.when(broken.isNotNull(), F.raise_error(broken)).otherwise(F.col(first))
+    return df.withColumn(first, checked.cast(TARGETS[table][first].dataType))
+
+
+UUID = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+
+
+def uuid_keys(df: DataFrame, table: str) -> DataFrame:
+    """SURVEY 1.2: the id columns of a source with uuid keys, in lower case;
+    a value that is no uuid fails the job. (The keys of the stand-in views are
+    numbers, so this is a step of its own.)"""
+    ids = [f.name for f in TARGETS[table].fields if f.name == "id" or f.name.endswith("_id")]
+    return df.withColumns({c: F.when(F.col(c).rlike(UUID) | F.col(c).isNull(), F.lower(c))
+                           .otherwise(F.raise_error(F.concat(F.lit(f"{table}.{c} is no uuid: "), F.col(c)))) for c in ids})
+
+
 def append_rows(df: DataFrame, table: str, path: str) -> None:
     """Append accepted rows to the target table folder (strictly typed)."""
     check_strict(df.schema, TARGETS[table])
@@ -102,10 +139,18 @@ class OrphanLinks(ValueError):
 
 
 def _orphans(df: DataFrame, col: str, parents: DataFrame) -> DataFrame:
-    ids = broadcast_if_small(parents.select(F.col("id").alias("__pid")))
+    ids = parents.select(F.col("id").alias("__pid"))
     return df.where(F.col(col).isNotNull()).join(ids, F.col(col) == ids["__pid"], "left_anti")
 
 
+def _with_parents(df: DataFrame, col: str, parents: DataFrame) -> DataFrame:
+    """Rows whose foreign key is NULL or finds its parent (unique by id)."""
+    ids = parents.select(F.col("id").alias("__pid"))
+    cols = df.columns
+    joined = df.join(ids, F.col(col) == ids["__pid"], "left")
+    return joined.where(F.col(col).isNull() | F.col("__pid").isNotNull()).select(*cols)
+
+
 def copy_tables(sources: dict[str, DataFrame], target_root: str,
                 tables: list[str] | None = None, on_orphans: str = "fail",
                 order_cols: dict[str, list[str]] | None = None) -> DataFrame:
@@ -125,27 +170,23 @@ def copy_tables(sources: dict[str, DataFrame], target_root: str,
     for table in wanted:
         path = f"{target_root.rstrip('/')}/{table}"
         target = _read_target(spark, path, table)
-        rows = copy_table(table, sources[table], target, (order_cols or {}).get(table))
+        rows = typed_rows(table, sources[table])
         for link, col, parent in FOREIGN_KEYS:
             if link != table:
                 continue
             parents = _read_target(spark, f"{target_root.rstrip('/')}/{parent}", parent)
             if parents is None:
                 parents = spark.createDataFrame([], TARGETS[parent])
-            bad = _orphans(rows, col, parents)
+            # before keep-first: an orphan must not take a valid row's key
             if on_orphans == "drop":
-                rows = rows.join(bad.select("id").withColumnRenamed("id", "__bad"),
-                                 rows["id"] == F.col("__bad"), "left_anti")
-            elif not bad.isEmpty():
+                rows = _with_parents(rows, col, parents)
+            elif not _orphans(rows, col, parents).isEmpty():
                 raise OrphanLinks(f"{table}.{col}: rows point at missing {parent} rows")
+        rows = insert_if_absent(rows, target, table_keys(table), (order_cols or {}).get(table))
         append_rows(rows, table, path)
         copied[table] = _read_target(spark, path, table)
     return count_parity({t: sources[t] for t in wanted}, copied)
 
 
 def _read_target(spark, path: str, table: str) -> DataFrame | None:
-    from pyspark.sql.utils import AnalysisException
-    try:
-        return spark.read.schema(TARGETS[table]).parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.schema(TARGETS[table]).parquet(path) if path_exists(spark, path) else None

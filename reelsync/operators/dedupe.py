@@ -11,10 +11,11 @@ of all rows costs one partial aggregate per task, not a sort of the group.
 Several keys: a row is accepted in sequence order unless a key of it is
 already taken by an accepted row. De-duplicating by one key and then the
 other is wrong ((1,a), (2,a), (2,b) keeps the 1st and 3rd, the shortcut drops
-the 3rd). Rounds instead: accept every remaining row that is first in *all*
+the 3rd). A row that shares no key with another is accepted at once; the rest
+goes through rounds: accept every remaining row that is first in *all*
 its key groups, then drop every remaining row sharing a key with an accepted
 one. The first remaining row is always accepted, so this ends. Rows are
-ranked once by a global sort (a long row number), the rounds shuffle only
+ranked once by a parallel sort (a long row number), the rounds shuffle only
 that rank and the key columns, and each round's sets are written to the
 shared checkpoint folder to cut lineage. A NULL key part never conflicts, as
 in a relational unique index.
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 RID = "__rid"
+#: Links of a chain of conflicts (one round each) beyond which keep-first raises.
+MAX_ROUNDS = 1_000
 
 
 def _key_eq(left: DataFrame, right: DataFrame, key: list[str], prefix: str) -> Column:
@@ -60,26 +63,35 @@ def drop_conflicts(df: DataFrame, target: DataFrame | None, keys: list[list[str]
 
 
 def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = None) -> DataFrame:
-    """First row per key in sequence order; rows with a NULL key part all stay."""
+    """First row per key in sequence order; rows with a NULL key part all stay.
+
+    One scan and one aggregate: a row with a NULL key part gets a number of
+    its own as a further grouping column, so it forms its own group.
+    """
     cols = df.columns
+    solo = F.when(_has_null(key), F.monotonically_increasing_id())
     # The sequence struct holds every column, so its minimum is the row.
-    firsts = (df.where(~_has_null(key))
-              .groupBy(*key)
-              .agg(F.min(sequence(cols, order_cols)).alias("m"))
-              .select(*[F.col("m")[c].alias(c) for c in cols]))
-    return firsts.unionByName(df.where(_has_null(key)))
+    return (df.withColumn("__solo", solo).groupBy(*key, "__solo")
+            .agg(F.min(sequence(cols, order_cols)).alias("m"))
+            .select(*[F.col("m")[c].alias(c) for c in cols]))
 
 
-def has_duplicates(df: DataFrame, key: list[str], *more_keys: list[str]) -> bool:
-    """Whether two rows share a non-NULL value of any of the keys.
+def tag_conflicts(df: DataFrame, keys: list[list[str]]) -> DataFrame:
+    """``df`` with ``__conflict``: whether another row shares one of its keys.
 
-    Only key columns are read and shuffled, after a map-side partial count;
-    all keys are checked in one job, so the input is computed once."""
+    Only key columns are counted, after a map-side partial count; the keys
+    that repeat are few, and every row meets them in one join per key.
+    """
     flags = []
-    for k in (key, *more_keys):
-        groups = df.where(~_has_null(k)).groupBy(*k).agg(F.count(F.lit(1)).alias("__n"))
-        flags.append(groups.where(F.col("__n") > 1).select(F.lit(1).alias("__dup")))
-    return not reduce(lambda a, b: a.unionByName(b), flags).isEmpty()
+    for i, key in enumerate(keys):
+        prefix = f"__d{i}_"
+        groups = df.where(~_has_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+        repeated = groups.where(F.col("__n") > 1).select(
+            *[F.col(k).alias(f"{prefix}{k}") for k in key], F.lit(True).alias(f"{prefix}hit"))
+        df = df.join(repeated, _key_eq(df, repeated, key, prefix), "left").drop(*[f"{prefix}{k}" for k in key])
+        flags.append(F.col(f"{prefix}hit").isNotNull())
+    return (df.withColumn("__conflict", reduce(lambda a, b: a | b, flags))
+            .drop(*[f"__d{i}_hit" for i in range(len(keys))]))
 
 
 def rank_rows(df: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
@@ -128,29 +140,30 @@ def accepted_ids(slim: DataFrame, keys: list[list[str]], max_rounds: int | None
 
 def keep_first_keys(df: DataFrame, keys: list[list[str]],
                     order_cols: list[str] | None = None,
-                    max_rounds: int | None = None) -> DataFrame:
+                    max_rounds: int | None = MAX_ROUNDS) -> DataFrame:
     """Greedy keep-first over several unique keys, by rounds (see module doc).
 
-    Rows are ranked once; the rounds shuffle only the rank and the key
-    columns, and the accepted rows are joined back by rank at the end.
-    ``max_rounds`` (default: no limit) raises instead of returning a partial
-    answer when a pathological chain of conflicts needs more rounds.
+    A row that shares no key with another row is accepted as it stands; only
+    the rest is ranked and goes through the rounds, which shuffle just the
+    rank and the key columns. A chain of conflicts that needs more than
+    ``max_rounds`` rounds raises instead of returning a partial answer
+    (``None``: no limit).
     """
-    if not has_duplicates(*([df] + keys)):
-        return df       # no two rows share a key: nothing can conflict
     if len(keys) == 1:
         return keep_first(df, keys[0], order_cols)
     ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
-    ranked = rank_rows(df, order_cols)
+    tagged = tag_conflicts(df, keys)
+    alone = tagged.where(~F.col("__conflict")).select(*cols)
+    ranked = rank_rows(tagged.where("__conflict").select(*cols), order_cols)
     key_cols = list(dict.fromkeys(c for key in keys for c in key))
     ids = accepted_ids(ranked.select(RID, *key_cols), keys, max_rounds)
-    return ranked.join(ids, RID, "left_semi").select(*cols)
+    return alone.unionByName(ranked.join(ids, RID, "left_semi").select(*cols))
 
 
 def insert_if_absent(df: DataFrame, target: DataFrame | None, keys: list[list[str]],
                      order_cols: list[str] | None = None,
-                     max_rounds: int | None = None) -> DataFrame:
+                     max_rounds: int | None = MAX_ROUNDS) -> DataFrame:
     """S-4 / J-7 / A-8: rows to append so that no unique key is duplicated.
 
     Rows conflicting with the target are dropped first (the target's rows

@@ -20,9 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.docs import (names_text, or_empty_list, or_empty_text, person_ref,
                               refs_as_string_ids, sorted_refs, when_role)
 from ..schemas import ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
-from ..session import ensure_checkpoint_dir
-from .joins import broadcast_if_small
-from ..sources.fixtures import FilmTables
+from ..sources.film import FilmTables
 
 
 def restrict_to(df: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:
@@ -45,11 +43,9 @@ def _restricted(tables: FilmTables, ids: DataFrame | None, limit: int | None) ->
     if ids is None:
         return tables
     # The id set restricts the film scan *and* both link scans, so links of
-    # untouched films never reach the person / genre joins. It is computed
-    # once and checkpointed (into the shared checkpoint folder): it is used
-    # three times, and a pass should work on one fixed set.
-    ensure_checkpoint_dir(tables.film_work.sparkSession)
-    ids = broadcast_if_small(ids.select("id").checkpoint())
+    # untouched films never reach the person / genre joins. It is used three
+    # times: a caller whose set is costly hands in a written one.
+    ids = ids.select("id")
     return tables.replace(
         film_work=restrict_to(tables.film_work, ids, "id"),
         person_film_work=restrict_to(tables.person_film_work, ids, "film_work_id"),
@@ -61,17 +57,22 @@ def enrich_fanout(tables: FilmTables, ids: DataFrame | None = None,
                   limit: int | None = None) -> DataFrame:
     """J-1..J-4, P-8, P-10: the enrichment rows, 11 columns."""
     t = _restricted(tables, ids, limit)
-    rows = _left_join_links(t.film_work, t.person_film_work)
-    p = broadcast_if_small(t.person.select(F.col("id").alias("p_id"),
-                                           F.col("full_name").alias("p_name")))
+    # Each link meets its person or genre before it meets the film, so both
+    # dimensions are joined to link rows, not to the multiplied ones, and the
+    # two joins on the film id share its partitioning.
+    p = t.person.select(F.col("id").alias("p_id"), F.col("full_name").alias("p_name"))
+    pfw = t.person_film_work.select(F.col("film_work_id").alias("pfw_film_work_id"),
+                                    F.col("person_id").alias("pfw_person_id"),
+                                    F.col("role").alias("pfw_role"))
+    g = t.genre.select(F.col("id").alias("g_id"), F.col("name").alias("g_name"))
     gfw = t.genre_film_work.select(F.col("film_work_id").alias("gfw_film_work_id"),
                                    F.col("genre_id").alias("gfw_genre_id"))
-    g = broadcast_if_small(t.genre.select(F.col("id").alias("g_id"),
-                                          F.col("name").alias("g_name")))
-    return (rows
-            .join(p, rows["pfw_person_id"] == p["p_id"], "left")
-            .join(gfw, rows["fw_id"] == gfw["gfw_film_work_id"], "left")
-            .join(g, gfw["gfw_genre_id"] == g["g_id"], "left")
+    fw = t.film_work.select(*[F.col(c).alias(f"fw_{c}") for c in t.film_work.columns])
+    people = pfw.join(p, pfw["pfw_person_id"] == p["p_id"], "left")
+    genres = gfw.join(g, gfw["gfw_genre_id"] == g["g_id"], "left")
+    return (fw
+            .join(people, fw["fw_id"] == people["pfw_film_work_id"], "left")
+            .join(genres, fw["fw_id"] == genres["gfw_film_work_id"], "left")
             .select(F.col("fw_id").alias("id"), F.col("fw_title").alias("title"),
                     F.col("fw_description").alias("description"),
                     F.col("fw_rating").alias("rating"), F.col("fw_type").alias("type"),
@@ -83,26 +84,6 @@ def enrich_fanout(tables: FilmTables, ids: DataFrame | None = None,
                     F.col("g_name").alias("genre_name")))
 
 
-def _left_join_links(fw: DataFrame, pfw: DataFrame) -> DataFrame:
-    """``fw LEFT JOIN pfw ON pfw.film_work_id = fw.id`` with columns prefixed
-    ``fw_`` / ``pfw_``, written so that a film with very many links cannot
-    pin one task: AQE splits a skewed partition only on the preserved side of
-    an outer join, but on either side of an inner join. So: the inner join,
-    plus the films without any link (found against link film ids
-    de-duplicated map-side, so no hot key reaches that join), padded with
-    NULLs.
-    """
-    f = fw.select(*[F.col(c).alias(f"fw_{c}") for c in fw.columns])
-    links = pfw.select(*[F.col(c).alias(f"pfw_{c}") for c in pfw.columns])
-    linked = f.join(links, f["fw_id"] == links["pfw_film_work_id"], "inner")
-    link_films = links.select(F.col("pfw_film_work_id").alias("__lf")).distinct()
-    unlinked = (f.join(link_films, f["fw_id"] == link_films["__lf"], "left_anti")
-                .select(*f.columns,
-                        *[F.lit(None).cast(fld.dataType).alias(f"pfw_{fld.name}")
-                          for fld in pfw.schema.fields]))
-    return linked.unionByName(unlinked)
-
-
 def person_branch(person_film_work: DataFrame, person: DataFrame) -> DataFrame:
     """A-2..A-5 per film: distinct actors and writers sorted by id, director.
 
@@ -112,8 +93,7 @@ def person_branch(person_film_work: DataFrame, person: DataFrame) -> DataFrame:
     film with very many links is combined map-side first.
     """
     links = person_film_work.select("film_work_id", "person_id", "role")
-    people = broadcast_if_small(
-        person.select(F.col("id").alias("pid"), F.col("full_name").alias("pname")))
+    people = person.select(F.col("id").alias("pid"), F.col("full_name").alias("pname"))
     joined = links.join(people, links.person_id == people.pid, "left")
     ref = person_ref(F.col("pid"), F.col("pname"))
     return (joined.groupBy("film_work_id").agg(
@@ -128,9 +108,7 @@ def person_branch(person_film_work: DataFrame, person: DataFrame) -> DataFrame:
 def genre_branch(genre_film_work: DataFrame, genre: DataFrame) -> DataFrame:
     """A-6 per film: one genre, deterministically the least name (D-3)."""
     links = genre_film_work.select("film_work_id", "genre_id")
-    # Few genres: a shuffle join on genre id would put all links in a few
-    # tasks, so the (checked) small dimension is broadcast.
-    names = broadcast_if_small(genre.select(F.col("id").alias("gid"), F.col("name").alias("gname")))
+    names = genre.select(F.col("id").alias("gid"), F.col("name").alias("gname"))
     return (links.join(names, links.genre_id == names.gid, "left")
             .groupBy("film_work_id").agg(F.min("gname").alias("genre")))
 

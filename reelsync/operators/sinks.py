@@ -1,39 +1,53 @@
 """Sinks: keyed latest-wins upsert (S-5), strict targets (S-6), bulk records
 (S-7), and the pluggable document writer (S-8).
 
-The upsert target is a folder of immutable versions plus an append-only log:
-
-    <path>/version-00000001/   parquet files of version 1
-    <path>/_versions/          parquet rows (version, rows, committed_at)
-
-A write never touches the version being read: it builds the next version
-from the current one and the updates, then appends one log row. A crash
-before the log row leaves the old version current, and the half-written
-folder is overwritten by the retry, so a repeated batch is harmless (R-5).
+The upsert target is a folder of immutable bucket files plus a log:
+
+    <path>/data/v=00000003/__bucket=7/   rows of bucket 7 as of version 3
+    <path>/_versions/                    one row per version: which version
+                                         holds each bucket, rows sent, schema
+
+A row's bucket is a hash of its key, so a write reads and rewrites only the
+buckets that its keys fall into; the other buckets stay where an earlier
+version put them. A write never touches files being read: it adds a version's
+folder, then appends one log row. A crash before the log row leaves the old
+version current, and the retry overwrites the half-written folder, so a
+repeated batch is harmless (R-5). Bucket folders that none of the last
+``keep`` versions uses are removed.
+
+There is one writer per table (one scheduled job or one streaming query). A
+write that finds another's version in its place raises ``ConcurrentWrite``.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..schemas import check_strict
-from ..session import ensure_checkpoint_dir
-from .dedupe import has_duplicates
-from .joins import broadcast_if_small
+from ..session import checkpoint_frame, path_exists, remove_path
 
 VERSION_LOG = "_versions"
+BUCKETS = 32     # of a new table; each holds about 1/32 of the keys
+KEEP = 2         # versions whose files stay readable
+BUCKET = "__bucket"
 LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("rows", T.LongType(), True),
     T.StructField("committed_at", T.TimestampType(), True),
+    T.StructField("buckets", T.ArrayType(T.LongType()), True),
+    T.StructField("schema", T.StringType(), True),
 ])
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed the version this write was building."""
+
+
 def latest_per_key(df: DataFrame, key: list[str], version_cols: list[str] | None = None) -> DataFrame:
     """One row per key: the greatest ``version_cols`` (then the greatest row,
     so ties are deterministic). Aggregated map-side before the shuffle."""
@@ -47,13 +61,9 @@ def latest_per_key(df: DataFrame, key: list[str], version_cols: list[str] | None
 def dedupe_updates(updates: DataFrame, key: list[str],
                    version_cols: list[str] | None = None,
                    assume_unique: bool = False) -> DataFrame:
-    """R-4: one update per key. Updates already unique by key (a check that
-    reads and shuffles only the key columns, or the caller's guarantee) pass
-    through untouched; the latest-per-key aggregate runs only when a key
-    repeats."""
-    if assume_unique or not has_duplicates(updates, key):
-        return updates
-    return latest_per_key(updates, key, version_cols)
+    """R-4: one update per key, the latest; with ``assume_unique`` (the
+    caller's guarantee) the updates as they are."""
+    return updates if assume_unique else latest_per_key(updates, key, version_cols)
 
 
 def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
@@ -70,10 +80,9 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
     if target is None:
         return upd
     target = target.select(*upd.columns)
-    # An incremental batch updates few keys of a large table: broadcast them
-    # (when provably small) so the table is filtered as it is read, never
-    # shuffled; a large update falls back to shuffle joins.
-    keys = broadcast_if_small(upd.select(*[F.col(k).alias(f"__u_{k}") for k in key]))
+    # An incremental batch updates few keys of a large table: where their
+    # measured size allows it, adaptive execution broadcasts them.
+    keys = upd.select(*[F.col(k).alias(f"__u_{k}") for k in key])
     cond = [target[k] == keys[f"__u_{k}"] for k in key]
     untouched = target.join(keys, cond, "left_anti")
     if not version_cols:
@@ -85,74 +94,109 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
     return untouched.unionByName(winners)
 
 
-def _version_dir(path: str, version: int) -> str:
-    return f"{path}/version-{version:08d}"
+def _log_rows(spark: SparkSession, path: str, last: int) -> list:
+    """The newest ``last`` log rows, newest first."""
+    log = f"{path}/{VERSION_LOG}"
+    if not path_exists(spark, log):
+        return []
+    return spark.read.schema(LOG_SCHEMA).parquet(log).orderBy(F.desc("version")).limit(last).collect()
 
 
 def current_version(spark: SparkSession, path: str) -> int:
-    try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/{VERSION_LOG}")
-    except AnalysisException:
-        return 0
-    row = log.agg(F.max("version").alias("v")).collect()[0]
-    return int(row["v"] or 0)
+    rows = _log_rows(spark, path, 1)
+    return int(rows[0]["version"]) if rows else 0
+
+
+def _bucket_dir(path: str, version: int, bucket: int) -> str:
+    return f"{path}/data/v={version:08d}/{BUCKET}={bucket}"
+
+
+def _read_buckets(spark: SparkSession, path: str, log_row, wanted: set[int] | None,
+                  schema: T.StructType | None) -> DataFrame:
+    schema = schema or T.StructType.fromJson(json.loads(log_row["schema"]))
+    folders = [_bucket_dir(path, v, b) for b, v in enumerate(log_row["buckets"])
+               if v and (wanted is None or b in wanted)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    version = current_version(spark, path)
-    if version == 0:
-        return None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(_version_dir(path, version))
+    rows = _log_rows(spark, path, 1)
+    return _read_buckets(spark, path, rows[0], None, schema) if rows else None
 
 
-def ensure_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def ensure_target(spark: SparkSession, path: str, schema: T.StructType,
+                  buckets: int = BUCKETS) -> DataFrame:
     """S-6: create an empty version 1 with ``schema`` unless a version exists;
     an existing target must have exactly that schema."""
-    current = read_current(spark, path)
-    if current is None:
-        _commit(spark, path, 1, spark.createDataFrame([], schema))
-        current = read_current(spark, path)
-    check_strict(current.schema, schema)
-    return current
-
-
-def _commit(spark: SparkSession, path: str, version: int, df: DataFrame) -> None:
-    obs = Observation(f"commit-{version}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-        _version_dir(path, version))
-    rows = int(obs.get.get("rows", 0))
-    log = spark.createDataFrame([(version, rows)], "version long, rows long")
+    rows = _log_rows(spark, path, 1)
+    if not rows:
+        _commit(spark, path, 1, [0] * buckets, 0, schema)
+        rows = _log_rows(spark, path, 1)
+    check_strict(T.StructType.fromJson(json.loads(rows[0]["schema"])), schema)
+    return _read_buckets(spark, path, rows[0], None, None)
+
+
+def _commit(spark: SparkSession, path: str, version: int, buckets: list[int], rows: int,
+            schema: T.StructType) -> None:
+    if current_version(spark, path) != version - 1:
+        raise ConcurrentWrite(f"{path}: version {version} was committed by another writer")
+    log = spark.createDataFrame([(version, rows, None, buckets, schema.json())], LOG_SCHEMA)
     (log.withColumn("committed_at", F.current_timestamp())
      .coalesce(1).write.mode("append").parquet(f"{path}/{VERSION_LOG}"))
 
 
+def _expire(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove the bucket folders that only the version just out of the last
+    ``keep`` used (older ones went in earlier calls)."""
+    rows = _log_rows(spark, path, keep + 1)
+    if len(rows) <= keep:
+        return
+    used = {(b, v) for row in rows[:keep] for b, v in enumerate(row["buckets"])}
+    for b, v in enumerate(rows[keep]["buckets"]):
+        if v and (b, v) not in used:
+            remove_path(spark, _bucket_dir(path, v, b))
+
+
 def upsert(updates: DataFrame, path: str, key: list[str],
            version_cols: list[str] | None = None,
            schema: T.StructType | None = None,
-           assume_unique: bool = False) -> int:
+           assume_unique: bool = False, buckets: int = BUCKETS, keep: int = KEEP) -> int:
     """Apply ``updates`` to the table at ``path``; returns the new version.
 
-    The de-duplicated updates are checkpointed once: they feed both the anti
-    join and the union, and the enrichment behind them must not run twice.
-    An empty update is a no-op (no new version). ``assume_unique`` is the
-    caller's guarantee that ``updates`` has one row per key (documents built
-    from a table keyed by film id), which skips the uniqueness check.
+    Only the buckets that the updated keys fall into are read and written.
+    The updates are checkpointed once: they feed the list of touched buckets,
+    the anti join and the union, and the enrichment behind them must not run
+    twice. An empty update is a no-op (no new version) on an existing table.
+    ``assume_unique`` is the caller's guarantee that ``updates`` has one row
+    per key (documents built from a table keyed by film id).
     """
     spark = updates.sparkSession
     if schema is not None:
         check_strict(updates.schema, schema)
-    current = read_current(spark, path, schema)
-    version = current_version(spark, path)
-    if current is None:
-        _commit(spark, path, version + 1,
-                dedupe_updates(updates, key, version_cols, assume_unique))
-        return version + 1
-    ensure_checkpoint_dir(spark)
-    upd = dedupe_updates(updates, key, version_cols, assume_unique).checkpoint()
-    if upd.isEmpty():
-        return version
-    _commit(spark, path, version + 1, merge_latest(current, upd, key, version_cols, True))
+    log = _log_rows(spark, path, 1)
+    version, placed = (log[0]["version"], list(log[0]["buckets"])) if log else (0, [0] * buckets)
+    place = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(len(placed))).cast("int")
+    upd = dedupe_updates(updates, key, version_cols, assume_unique)
+    old = None
+    if log:
+        upd = checkpoint_frame(upd)
+        touched = {r[0] for r in upd.select(place).distinct().collect()}  # at most one row per bucket
+        if not touched:
+            return version
+        old = _read_buckets(spark, path, log[0], touched, schema)
+    obs = Observation(f"commit-{version + 1}")
+    merged = merge_latest(old, upd, key, version_cols, True)
+    per_bucket = merged.withColumn(BUCKET, place)
+    # rebalanced by bucket: few files per bucket, and a large bucket is split
+    (per_bucket.hint("rebalance", BUCKET).observe(obs, F.collect_set(BUCKET).alias("written"),
+                                                  F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/data/v={version + 1:08d}"))
+    for b in obs.get["written"]:
+        placed[b] = version + 1
+    _commit(spark, path, version + 1, placed, int(obs.get["rows"]), schema or updates.schema)
+    _expire(spark, path, keep)
     return version + 1
 
 
@@ -200,7 +244,7 @@ def index_sink(index: str, options: dict[str, str] | None = None, key: str = "id
 
 
 def write_documents(df: DataFrame, sink: Sink) -> object | None:
-    """S-8: hand documents to a sink; an empty input is a no-op."""
-    if df.isEmpty():
-        return None
-    return sink(df)
+    """S-8: hand documents to a sink; an empty input is a no-op. The documents
+    are written once, so the test and the sink do not compute them twice."""
+    df = checkpoint_frame(df)
+    return None if df.isEmpty() else sink(df)

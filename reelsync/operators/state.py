@@ -13,9 +13,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..schemas import HIGH_WATER
+from ..session import path_exists
 
 
 def empty_positions(spark: SparkSession) -> DataFrame:
@@ -24,10 +24,9 @@ def empty_positions(spark: SparkSession) -> DataFrame:
 
 def read_positions(spark: SparkSession, path: str) -> DataFrame:
     """All saved rows; an absent table means nothing was ever run."""
-    try:
-        return spark.read.schema(HIGH_WATER).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return empty_positions(spark)
+    return spark.read.schema(HIGH_WATER).parquet(path)
 
 
 def merge_positions(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -40,7 +39,7 @@ def merge_positions(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def positions_of(highs: DataFrame, pass_id: int) -> DataFrame:
-    """Rows to save after a pass: ``highs`` is ``(entity, position)``."""
+    """Rows to save after a pass: ``highs`` is ``(entity, position)``, without zone."""
     return highs.select(F.col("entity"), F.col("position").cast("timestamp_ntz"),
                         F.lit(pass_id).cast("long").alias("pass_id"))
 
@@ -71,8 +70,3 @@ def positions_from_json(state: DataFrame, pass_id: int = 0) -> DataFrame:
 def as_dict(current: DataFrame) -> dict[str, dt.datetime | None]:
     """The current positions on the driver: one row per entity (bounded)."""
     return {r["entity"]: r["position"] for r in current.collect()}
-
-
-def next_pass_id(current: DataFrame) -> int:
-    row = current.agg(F.max("pass_id").alias("m")).collect()[0]
-    return (row["m"] or 0) + 1

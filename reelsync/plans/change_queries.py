@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import changes as C
 from ..operators import state as S
+from ..operators.counts import counted, rows_of
 from ..operators.documents import enrich_fanout
 from ..sources.fixtures import film_tables
 from . import oracle_views as V
@@ -166,3 +167,35 @@ def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("position", F.lit(None).cast("timestamp_ntz")), 0)
     first = S.positions_of(C.current_highs(t, C.ENTITIES), 1)
     return S.merge_positions(never, first)
+
+
+STATE_JSON_SQL = V.with_views("film_work", "person", "genre") + "\nUNION ALL ".join(
+    f"SELECT '{e}' AS entity, strftime(max(modified), '%Y-%m-%dT%H:%M:%S.%f') AS iso, "
+    f"max(modified) AS position FROM {e}" for e in ("film_work", "person", "genre"))
+
+
+@register("state_json", STATE_JSON_SQL)
+def state_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-5 / F-6: the positions after a pass as one JSON text of ISO times, and
+    read back from it."""
+    highs = S.positions_of(C.current_highs(film_tables(spark, sf_dir), C.ENTITIES), 1)
+    state = S.state_json(S.merge_positions(S.empty_positions(spark), highs))
+    texts = state.select(F.explode(F.from_json("state", S.STATE_JSON_SCHEMA)).alias("entity", "iso"))
+    return texts.join(S.positions_from_json(state).drop("pass_id"), "entity")
+
+
+BATCH_COUNTS_SQL = V.with_views("film_work", "person", "genre") + f"""
+SELECT 'film_work' AS entity, count(*) AS rows FROM film_work WHERE modified > {FILM_POS_SQL}
+UNION ALL SELECT 'person', count(*) FROM person WHERE modified > {PERSON_POS_SQL}
+UNION ALL SELECT 'genre', count(*) FROM genre WHERE modified > {GENRE_POS_SQL}"""
+
+
+@register("batch_counts", BATCH_COUNTS_SQL)
+def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-9: rows of each entity's batch, counted while the batch is processed."""
+    counts = []
+    for entity, changed in _changed(spark, sf_dir)[1].items():
+        batch, seen = counted(changed, entity)
+        batch.write.format("noop").mode("overwrite").save()
+        counts.append((entity, rows_of(seen)))
+    return spark.createDataFrame(counts, "entity string, rows long")

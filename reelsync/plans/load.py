@@ -8,17 +8,21 @@ step repeats the pass, which the keyed upsert makes harmless (D-10).
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes as C
 from ..operators import state as S
+from ..operators.counts import counted, rows_of
 from ..operators.documents import build_documents
 from ..operators.sinks import current_version, upsert
 from ..schemas import DOCUMENT, ENTITIES
-from ..sources.fixtures import FilmTables
+from ..session import checkpoint_frame
+from ..sources.film import FilmTables
 
 
 @dataclass(frozen=True)
@@ -32,6 +36,7 @@ class PassResult:
     pass_id: int
     version: int
     positions: dict[str, dt.datetime | None]
+    documents: int = 0   # A-9: documents handed to the sink in this pass
 
 
 def _save(tables: FilmTables, paths: SyncPaths, highs: dict, pass_id: int) -> None:
@@ -50,10 +55,10 @@ def full_load(tables: FilmTables, paths: SyncPaths, pass_id: int = 1) -> PassRes
     Bounds are read *before* the snapshot, so changes committed during the
     load are seen again by the next pass rather than missed."""
     highs = _highs(tables)
-    version = upsert(build_documents(tables), paths.documents, ["id"], schema=DOCUMENT,
-                     assume_unique=True)
+    docs, sent = counted(build_documents(tables), "documents")
+    version = upsert(docs, paths.documents, ["id"], schema=DOCUMENT, assume_unique=True)
     _save(tables, paths, highs, pass_id)
-    return PassResult(pass_id, version, highs)
+    return PassResult(pass_id, version, highs, rows_of(sent))
 
 
 def changed_sets(tables: FilmTables, low: dict, high: dict,
@@ -62,6 +67,8 @@ def changed_sets(tables: FilmTables, low: dict, high: dict,
     position per entity, D-9: an upper bound read up front)."""
     out = {}
     for e in ENTITIES:
+        if high.get(e) is None:
+            continue    # no dated row at all: nothing can have changed (D-12)
         lo = low.get(e)
         if lo is not None and look_back is not None:
             lo = lo - look_back
@@ -76,6 +83,8 @@ def bounded_highs(tables: FilmTables, low: dict, high: dict, max_changes: int) -
     the next pass starts right after it."""
     out = dict(high)
     for e in ENTITIES:
+        if high.get(e) is None:
+            continue
         oldest = C.changed_since(C.entity_table(tables, e), low.get(e), high.get(e),
                                  limit=max_changes)
         cut = oldest.agg(F.max("modified").alias("m")).collect()[0]["m"]
@@ -106,15 +115,48 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     high = {e: (high.get(e) if high.get(e) is not None else low.get(e)) for e in ENTITIES}
     if max_changes is not None:
         high = bounded_highs(tables, low, high, max_changes)
-    # Most polls find nothing: an entity without changes (a filter pushed to
-    # its scan finds no row) does not touch its link table at all.
+    # An entity whose bound did not move has no change in (low, high] and does
+    # not touch its link table; most polls end here.
     changed = {e: df for e, df in changed_sets(tables, low, high, look_back).items()
-               if not df.isEmpty()}
+               if look_back is not None or high[e] != low.get(e)}
+    version, documents = current_version(spark, paths.documents), 0
     if changed:
-        ids = C.affected_films(tables, changed)
-        version = upsert(build_documents(tables, ids), paths.documents, ["id"],
-                         schema=DOCUMENT, assume_unique=True)
-    else:
-        version = current_version(spark, paths.documents)
+        # written once: the set restricts the films and both link tables
+        ids = checkpoint_frame(C.affected_films(tables, changed))
+        docs, sent = counted(build_documents(tables, ids), "documents")
+        version = upsert(docs, paths.documents, ["id"], schema=DOCUMENT, assume_unique=True)
+        documents = rows_of(sent)
     _save(tables, paths, high, pass_id)
-    return PassResult(pass_id, version, high)
+    return PassResult(pass_id, version, high, documents)
+
+
+def timed_passes(spark: SparkSession, open_tables: Callable[[], FilmTables], paths: SyncPaths,
+                 every: str = "1 second", passes: int | None = None, max_changes: int | None = None,
+                 on_pass: Callable[[PassResult], object] | None = None) -> None:
+    """R-1: an incremental pass on every tick of a trigger, over the tables as
+    they are then, until the query is stopped or ``passes`` have run.
+
+    The ticks come from Spark's rate source, whose rows are not read: the
+    progress is the saved positions, so no tick is lost or repeated by a
+    restart.
+    """
+    done = threading.Event()
+    ran = []
+
+    def tick(_: DataFrame, epoch_id: int) -> None:
+        if done.is_set():
+            return
+        result = incremental_pass(open_tables(), paths, max_changes=max_changes)
+        ran.append(result.pass_id)
+        if on_pass is not None:
+            on_pass(result)
+        if passes is not None and len(ran) >= passes:
+            done.set()
+
+    query = (spark.readStream.format("rate").load().writeStream.foreachBatch(tick)
+             .trigger(processingTime=every).start())
+    while query.isActive and not done.wait(0.2):
+        pass
+    if query.exception() is not None:
+        raise query.exception()
+    query.stop()

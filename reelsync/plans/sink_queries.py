@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.copy import coerce, copy_table, count_parity, project_source
+from ..operators.changes import position_literal
+from ..operators.copy import coerce, coerce_or_reject, copy_table, copy_tables, project_source
 from ..operators.dedupe import insert_if_absent
 from ..operators.documents import build_documents
 from ..operators.quality import constraint_report, orphan_report, prune_links
 from ..operators.sinks import bulk_records, latest_per_key, merge_latest
-from ..sources.fixtures import film_tables, person_changes, source_tables
+from ..session import shared_path
+from ..sources.fixtures import event_links, film_tables, person_changes, source_tables
 from ..sources.tables import read_table
 from .change_queries import PERSON_POSITION
 from . import oracle_views as V
@@ -78,8 +80,14 @@ def copy_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(copy_table("person", source_tables(spark, sf_dir)["person"]))
 
 
+# Fixed parameter: lines shipped before this day are in the target already.
+TARGET_BEFORE = "1997-01-01"
+
 INSERT_IF_ABSENT_SQL = f"""
-SELECT * FROM lineitem
+SELECT * FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM lineitem t
+                  WHERE t.l_shipdate < TIMESTAMP '{TARGET_BEFORE} 00:00:00'
+                    AND t.l_orderkey = l.l_orderkey AND t.l_linenumber = l.l_linenumber)
 QUALIFY row_number() OVER (PARTITION BY {', '.join(LINE_ID_KEY)}
                            ORDER BY {', '.join(LINE_COLUMNS)}) = 1"""
 
@@ -87,45 +95,119 @@ QUALIFY row_number() OVER (PARTITION BY {', '.join(LINE_ID_KEY)}
 @register("insert_if_absent", INSERT_IF_ABSENT_SQL)
 def insert_if_absent_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-4 / J-7 / A-8: lineitem rows inserted under the key (order, line
-    number); an earlier row in all-column order wins."""
+    number) into a target that holds the earlier lines; among the rest an
+    earlier row in all-column order wins."""
     rows = read_table(spark, sf_dir, "lineitem")
-    return insert_if_absent(rows, None, [LINE_ID_KEY], LINE_COLUMNS)
-
-
-@register("insert_two_keys")
+    held = F.lit(f"{TARGET_BEFORE} 00:00:00").cast("timestamp_ntz").cast(rows.schema["l_shipdate"].dataType)
+    return insert_if_absent(rows, rows.where(F.col("l_shipdate") < held), [LINE_ID_KEY], LINE_COLUMNS)
+
+
+def _two_key_rounds(rounds: int) -> str:
+    """The greedy rule unrolled: in each round the rows that are first under
+    both keys are taken, and rows that share a key with them go. Rows left
+    after the last round are returned too, so that too few rounds show."""
+    first = lambda key: f"min(rid) OVER (PARTITION BY {', '.join(key)})"
+    same = lambda key: " AND ".join(f"w.{c} = r.{c}" for c in key)
+    ctes = [f"r0 AS (SELECT *, row_number() OVER (ORDER BY {', '.join(LINE_COLUMNS)}) AS rid FROM lineitem)"]
+    for i in range(rounds):
+        ctes.append(f"""w{i} AS (SELECT * FROM r{i}
+  QUALIFY rid = {first(LINE_ID_KEY)} AND rid = {first(LINE_NATURAL_KEY)})""")
+        ctes.append(f"""r{i + 1} AS (SELECT r.* FROM r{i} r
+  WHERE NOT EXISTS (SELECT 1 FROM w{i} w WHERE {same(LINE_ID_KEY)})
+    AND NOT EXISTS (SELECT 1 FROM w{i} w WHERE {same(LINE_NATURAL_KEY)}))""")
+    taken = [f"SELECT {', '.join(LINE_COLUMNS)} FROM {name}"
+             for name in [*[f"w{i}" for i in range(rounds)], f"r{rounds}"]]
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(taken)
+
+
+@register("insert_two_keys", _two_key_rounds(4))
 def insert_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-8 / D-17: greedy keep-first under the id key *and* the natural key
-    (order, supplier, return flag). Not one SQL statement; checked against a
-    brute-force greedy loop in the tests."""
+    (order, supplier, return flag)."""
     rows = read_table(spark, sf_dir, "lineitem")
     return insert_if_absent(rows, None, [LINE_ID_KEY, LINE_NATURAL_KEY], LINE_COLUMNS)
 
 
+def _repeated(table: str) -> str:
+    """Source rows: the parents' every tenth id comes twice."""
+    return "count(*) + count(*) FILTER (WHERE id % 10 = 0)" if table in ("film_work", "person") else "count(*)"
+
+
 COUNT_PARITY_SQL = V.with_views(*ALL_VIEWS) + "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, count(*) AS source_rows, count(DISTINCT id) AS target_rows, "
-    f"count(*) = count(DISTINCT id) AS match FROM {t}"
+    f"SELECT '{t}' AS table_name, {_repeated(t)} AS source_rows, count(DISTINCT id) AS target_rows, "
+    f"{_repeated(t)} = count(DISTINCT id) AS match FROM {t}"
     for t in ALL_VIEWS)
 
 
 @register("count_parity", COUNT_PARITY_SQL)
 def count_parity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A-7 / Q-1: every table copied into an empty target, then counts compared."""
+    """S-3 / A-7 / Q-1: the whole copy job into a fresh folder, then the rows
+    of the sources and of the written tables compared. Some source ids come
+    twice, so not every table matches."""
     sources = source_tables(spark, sf_dir)
-    targets = {name: copy_table(name, df) for name, df in sources.items()}
-    return count_parity(sources, targets)
-
-
-CONSTRAINT_SQL = V.with_views(*ALL_VIEWS) + """
+    for table in ("film_work", "person"):
+        df = sources[table]
+        sources[table] = df.unionByName(df.where(F.col("id") % 10 == 0))
+    return copy_tables(sources, shared_path(spark, "count_parity", unique=True))
+
+
+COPY_LINKS_SQL = V.with_views("film_work", "person", extra=[V.EVENT_LINKS]) + """
+SELECT CAST(l.id AS VARCHAR) AS id, CAST(l.person_id AS VARCHAR) AS person_id,
+       CAST(l.film_work_id AS VARCHAR) AS film_work_id, l.role, l.created
+FROM person_film_work l
+WHERE EXISTS (SELECT 1 FROM person p WHERE p.id = l.person_id)
+  AND EXISTS (SELECT 1 FROM film_work f WHERE f.id = l.film_work_id)
+QUALIFY row_number() OVER (PARTITION BY l.person_id, l.film_work_id, l.role
+                           ORDER BY CAST(l.id AS VARCHAR)) = 1"""
+
+
+@register("copy_links", COPY_LINKS_SQL)
+def copy_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-3 / S-4 / D-18: parents and links copied twice into one folder; links
+    without a parent are left out before keep-first, and the second copy adds
+    nothing. Returns the written link table."""
+    sources = {k: v for k, v in source_tables(spark, sf_dir).items() if k in ("film_work", "person")}
+    sources["person_film_work"] = event_links(spark, sf_dir).withColumnRenamed("created", "created_at")
+    root = shared_path(spark, "copy_links", unique=True)
+    for _ in range(2):
+        copy_tables(sources, root, on_orphans="drop", order_cols={"person_film_work": ["id"]})
+    return ntz(spark.read.parquet(f"{root}/person_film_work"))
+
+
+COPY_REJECT_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE '1.5' END AS rating,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS title
+FROM orders WHERE o_orderkey % 7 = 0 OR o_orderstatus = 'P'"""
+
+
+@register("copy_reject", COPY_REJECT_SQL)
+def copy_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-3, reject path: rows that do not cast to the target's types or break
+    its constraints, instead of failing the job."""
+    films = project_source(source_tables(spark, sf_dir)["film_work"], "film_work")
+    films = films.withColumns({
+        "id": F.col("id").cast("string"),
+        "rating": F.when(F.col("id") % 7 == 0, "n/a").otherwise("1.5"),
+        "title": F.when(F.col("type") != "P", F.col("title"))})
+    return coerce_or_reject(films, "film_work")[1].select("id", "rating", "title")
+
+
+BROKEN_VIEWS = [
+    "broken_film AS (SELECT CASE WHEN type <> 'P' THEN title END AS title FROM film_work)",
+    """broken_person AS (
+  SELECT CASE WHEN id % 3 = 0 THEN repeat(full_name, 20) ELSE full_name END AS full_name FROM person)"""]
+
+CONSTRAINT_SQL = V.with_views(*ALL_VIEWS, extra=BROKEN_VIEWS) + """
 SELECT 'film_work' AS table_name, 'id' AS column_name, 'not_null' AS rule,
        count(*) FILTER (WHERE id IS NULL) AS violations FROM film_work
-UNION ALL SELECT 'film_work', 'title', 'not_null', count(*) FILTER (WHERE title IS NULL) FROM film_work
+UNION ALL SELECT 'film_work', 'title', 'not_null', count(*) FILTER (WHERE title IS NULL) FROM broken_film
 UNION ALL SELECT 'film_work', 'type', 'not_null', count(*) FILTER (WHERE type IS NULL) FROM film_work
 UNION ALL SELECT 'genre', 'id', 'not_null', count(*) FILTER (WHERE id IS NULL) FROM genre
 UNION ALL SELECT 'genre', 'name', 'not_null', count(*) FILTER (WHERE name IS NULL) FROM genre
 UNION ALL SELECT 'genre_film_work', 'id', 'not_null', count(*) FILTER (WHERE id IS NULL) FROM genre_film_work
 UNION ALL SELECT 'person', 'id', 'not_null', count(*) FILTER (WHERE id IS NULL) FROM person
 UNION ALL SELECT 'person', 'full_name', 'max_length_250',
-                 count(*) FILTER (WHERE length(full_name) > 250) FROM person
+                 count(*) FILTER (WHERE length(full_name) > 250) FROM broken_person
 UNION ALL SELECT 'person_film_work', 'id', 'not_null', count(*) FILTER (WHERE id IS NULL) FROM person_film_work
 UNION ALL SELECT 'person_film_work', 'role', 'max_length_250',
                  count(*) FILTER (WHERE length(role) > 250) FROM person_film_work"""
@@ -133,13 +215,20 @@ UNION ALL SELECT 'person_film_work', 'role', 'max_length_250',
 
 @register("constraint_report", CONSTRAINT_SQL)
 def constraint_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q-2: NOT NULL and length violations of the typed source tables."""
+    """Q-2: NOT NULL and length violations of the typed source tables, some of
+    whose titles are taken away and some of whose names are lengthened."""
     typed = {name: coerce(project_source(df, name), name)
              for name, df in source_tables(spark, sf_dir).items()}
+    film, person = typed["film_work"], typed["person"]
+    typed["film_work"] = film.withColumn("title", F.when(F.col("type") != "P", F.col("title")))
+    typed["person"] = person.withColumn("full_name", F.when(
+        F.col("id").cast("long") % 3 == 0, F.repeat("full_name", F.lit(20))).otherwise(F.col("full_name")))
     return constraint_report(typed)
 
 
-ORPHAN_SQL = V.with_views(*ALL_VIEWS) + """
+PARENTS_AND_EVENTS = V.with_views("film_work", "person", "genre", "genre_film_work", extra=[V.EVENT_LINKS])
+
+ORPHAN_SQL = PARENTS_AND_EVENTS + """
 SELECT 'genre_film_work' AS table_name, 'genre_id' AS column_name, 'genre' AS parent_table,
        count(*) AS orphans FROM genre_film_work l
 WHERE l.genre_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM genre p WHERE p.id = l.genre_id)
@@ -151,25 +240,31 @@ UNION ALL SELECT 'person_film_work', 'film_work_id', 'film_work', count(*) FROM
 WHERE l.film_work_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM film_work p WHERE p.id = l.film_work_id)"""
 
 
+def _with_event_links(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return film_tables(spark, sf_dir).replace(person_film_work=event_links(spark, sf_dir)).as_dict()
+
+
 @register("orphan_report", ORPHAN_SQL)
 def orphan_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q-3: dangling non-NULL foreign keys per link column."""
-    return orphan_report(film_tables(spark, sf_dir).as_dict())
+    """Q-3: dangling non-NULL foreign keys per link column; the person links
+    are the events, many of whose users and films do not exist."""
+    return orphan_report(_with_event_links(spark, sf_dir))
 
 
-PRUNE_SQL = V.with_views(*ALL_VIEWS) + """
+PRUNE_SQL = PARENTS_AND_EVENTS + """
 SELECT 'genre_film_work' AS table_name, l.id FROM genre_film_work l
 WHERE (l.genre_id IS NULL OR EXISTS (SELECT 1 FROM genre p WHERE p.id = l.genre_id))
   AND (l.film_work_id IS NULL OR EXISTS (SELECT 1 FROM film_work p WHERE p.id = l.film_work_id))
-UNION ALL SELECT 'person_film_work', l.id FROM person_film_work l
+UNION ALL SELECT 'person_film_work', CAST(l.id AS VARCHAR) FROM person_film_work l
 WHERE (l.person_id IS NULL OR EXISTS (SELECT 1 FROM person p WHERE p.id = l.person_id))
   AND (l.film_work_id IS NULL OR EXISTS (SELECT 1 FROM film_work p WHERE p.id = l.film_work_id))"""
 
 
 @register("prune_links", PRUNE_SQL)
 def prune_links_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q-4: link rows that survive the cascade from their parents."""
-    pruned = prune_links(film_tables(spark, sf_dir).as_dict())
+    """Q-4: link rows that survive the cascade from their parents (links as in
+    ``orphan_report``)."""
+    pruned = prune_links(_with_event_links(spark, sf_dir))
     parts = [df.select(F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id"))
              for name, df in sorted(pruned.items())]
     return parts[0].unionByName(parts[1])
@@ -188,7 +283,7 @@ def document_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     the changes after it are upserted by id, the latest (ts, event_id) wins."""
     feed = person_changes(spark, sf_dir)
     ts = feed.schema["modified"].dataType
-    pos = F.lit(PERSON_POSITION).cast(ts)
+    pos = position_literal(PERSON_POSITION, ts)
     stored = latest_per_key(feed.where(F.col("modified") <= pos), ["id"], PERSON_VERSION)
     return merge_latest(stored, feed.where(F.col("modified") > pos), ["id"], PERSON_VERSION)
 

@@ -3,12 +3,17 @@ the shared checkpoint root (R-1..R-6, R-2), then return what the sink holds."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sinks import read_current
+from ..operators.changes import position_literal
+from ..operators.documents import build_documents
+from ..operators.sinks import ensure_target, parquet_upsert_sink, read_current, write_documents
 from ..schemas import DOCUMENT
 from ..session import shared_path
+from ..sources.film import FilmTables
 from ..sources.fixtures import film_tables, person_changes
 from ..sources.tables import stream_table
 from ..streaming.streams import after_position, affected_documents_stream, run_to_end, upsert_stream
@@ -34,37 +39,57 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-STREAM_AFFECTED_SQL = ("SELECT CAST(id AS VARCHAR) AS id FROM (" + FILMS_BY_PERSON_SQL + ") f")
+STREAM_AFFECTED_SQL = ("SELECT d.* FROM (" + FILM_DOCUMENTS_SQL + ") d WHERE d.id IN (SELECT "
+                       "CAST(f.id AS VARCHAR) FROM (" + FILMS_BY_PERSON_SQL + ") f)")
 
 
 @register("stream_affected", STREAM_AFFECTED_SQL)
 def stream_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R-6: person changes after the position, streamed; each micro-batch
-    fans out through the static links and upserts the films' documents.
-    Returns the ids of the documents written; equals ``films_by_person``."""
+    opens the tables, fans out through the links and upserts the films'
+    documents. Returns the documents written: those of ``films_by_person``."""
     base = shared_path(spark, "stream_affected", unique=True)
-    tables = film_tables(spark, sf_dir)
     feed = after_position(
         person_changes(spark, sf_dir, events=stream_table(spark, sf_dir, "events")),
         PERSON_POSITION)
-    run_to_end(affected_documents_stream({"person": feed}, tables, f"{base}/documents",
-                                         f"{base}/checkpoint"))
+    run_to_end(affected_documents_stream({"person": feed}, lambda: film_tables(spark, sf_dir),
+                                         f"{base}/documents", f"{base}/checkpoint"))
     docs = read_current(spark, f"{base}/documents", DOCUMENT)
-    if docs is None:
-        return spark.createDataFrame([], "id string")
-    return docs.select("id")
+    return documents_as_text(docs if docs is not None else spark.createDataFrame([], DOCUMENT))
+
+
+def older_tables(tables: FilmTables) -> FilmTables:
+    """``tables`` as they were before the changes after the fixed positions."""
+    def before(df: DataFrame, column: str, position: dt.datetime) -> DataFrame:
+        changed = F.col("modified") > position_literal(position, df.schema["modified"].dataType)
+        return df.withColumn(column, F.when(changed, F.concat(F.lit("old "), column)).otherwise(F.col(column)))
+
+    return tables.replace(film_work=before(tables.film_work, "title", FILM_POSITION),
+                          person=before(tables.person, "full_name", PERSON_POSITION),
+                          genre=before(tables.genre, "name", GENRE_POSITION))
+
+
+@register("write_documents", FILM_DOCUMENTS_SQL)
+def write_documents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-6 / S-8: a strict target created empty, then filled through the
+    document writer and its sink; returns what the target holds."""
+    path = shared_path(spark, "write_documents", unique=True)
+    ensure_target(spark, path, DOCUMENT)
+    write_documents(build_documents(film_tables(spark, sf_dir)), parquet_upsert_sink(path, schema=DOCUMENT))
+    return documents_as_text(read_current(spark, path, DOCUMENT))
 
 
 @register("incremental_documents", FILM_DOCUMENTS_SQL)
 def incremental_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R-2 / D-8..D-10 end to end: a full load, positions then set back to
-    the fixed per-entity positions (pass 1), and an incremental pass over
-    everything changed since. The stored documents must equal a full rebuild,
-    i.e. ``film_documents``."""
+    """R-2 / D-8..D-10 end to end: a full load of older tables, in which every
+    row changed after its entity's position had another title or name; the
+    positions saved as pass 1; then an incremental pass over the tables as
+    they are. The stored documents must equal ``film_documents``, so every
+    film that a change touches has to be found and rebuilt."""
     base = shared_path(spark, "incremental_documents", unique=True)
     tables = film_tables(spark, sf_dir)
     paths = SyncPaths(f"{base}/documents", f"{base}/positions")
-    full_load(tables, paths, pass_id=0)
+    full_load(older_tables(tables), paths, pass_id=0)
     rows = [("film_work", FILM_POSITION, 1), ("person", PERSON_POSITION, 1),
             ("genre", GENRE_POSITION, 1)]
     save_positions(spark.createDataFrame(rows, HIGH_WATER), paths.positions)

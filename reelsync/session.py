@@ -1,16 +1,15 @@
 """Session settings and the shared folder for lineage cuts and job state.
 
-The library never sets cluster configuration behind the caller's back. The
-only exception is the checkpoint folder when a *local* session has none: tests
-and the local bench need somewhere to write, a cluster must name a shared one.
+The library never sets cluster configuration behind the caller's back. Where
+no checkpoint folder is named, it uses one below the session's warehouse, which
+all machines share; it never names a folder of one machine.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for sessions this package creates itself (tests, bench, examples).
 # Everything Catalyst and AQE can decide at run time is left to them.
@@ -22,6 +21,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -53,30 +53,16 @@ def _context(spark: SparkSession):
         return None
 
 
-def _is_local(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    master = sc.master if sc is not None else (_conf(spark, "spark.master") or "")
-    return master.startswith("local")
-
-
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Read from the session; only a local session without one gets a fresh
-    folder of its own (a cluster must configure a shared one).
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, read from the
+    session; where it is unset, a folder below ``spark.sql.warehouse.dir``."""
     sc = _context(spark)
     root = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     root = root or _conf(spark, "spark.checkpoint.dir")
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: name a folder shared by all "
-                "executors (HDFS, object store) before running reelsync jobs"
-            )
-        root = tempfile.mkdtemp(prefix="reelsync-ck-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -93,3 +79,25 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable (reliable, never local)."""
     checkpoint_root(spark)
+
+
+def checkpoint_frame(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by a reliable checkpoint. Its files go when
+    the frame is no longer used if the session sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever store ``path`` names."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote (an expired version, a finished job's state)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

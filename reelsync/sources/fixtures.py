@@ -17,36 +17,14 @@ job casts them to the target's string keys.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
+from .film import FilmTables
 from .tables import read_table
 
 
-@dataclass(frozen=True)
-class FilmTables:
-    film_work: DataFrame
-    genre: DataFrame
-    genre_film_work: DataFrame
-    person: DataFrame
-    person_film_work: DataFrame
-
-    def as_dict(self) -> dict[str, DataFrame]:
-        return {
-            "film_work": self.film_work,
-            "genre": self.genre,
-            "genre_film_work": self.genre_film_work,
-            "person": self.person,
-            "person_film_work": self.person_film_work,
-        }
-
-    def replace(self, **frames: DataFrame) -> "FilmTables":
-        return FilmTables(**{**self.as_dict(), **frames})
-
-
 def _role(flag: F.Column) -> F.Column:
     return (F.when(flag == "A", F.lit(ROLE_ACTOR))
             .when(flag == "R", F.lit(ROLE_WRITER))
@@ -153,3 +131,12 @@ def person_changes(spark: SparkSession, sf_dir: str, events: DataFrame | None =
     ev = events if events is not None else read_table(spark, sf_dir, "events")
     return ev.select(F.col("user_id").alias("id"), F.col("ts").alias("modified"),
                      "event_id", "event_type", "value")
+
+
+def event_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as person links: their users and half their numbers as
+    films. Many point at no person or film, which the link views never do."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").alias("id"), F.col("user_id").alias("person_id"),
+                     F.floor(F.col("event_id") / 2).cast("long").alias("film_work_id"),
+                     F.col("event_type").alias("role"), F.col("ts").alias("created"))

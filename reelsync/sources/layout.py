@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from .fixtures import FilmTables
+from .film import FilmTables
 
 # Table -> its film-id column (the bucket key); dimensions are not bucketed.
 BUCKET_KEYS = {"film_work": "id", "person_film_work": "film_work_id",

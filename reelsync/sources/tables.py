@@ -14,22 +14,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the session can run
-    at once (a table written as one row group is a single task), so the
-    CPU-heavy work after it runs in parallel. A scan of many files already has
-    enough splits and is returned unchanged: no shuffle at scale."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    return df if splits >= target else df.repartition(target)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if spread_out else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A parquet table; ``spark.sql.files.maxPartitionBytes`` sets its splits."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,

@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changes import affected_films
+from ..operators.changes import affected_films, position_literal
 from ..operators.documents import build_documents
 from ..operators.sinks import upsert
 from ..schemas import DOCUMENT
-from ..sources.fixtures import FilmTables
+from ..session import checkpoint_frame
+from ..sources.film import FilmTables
 
 
 def _trigger(writer, trigger: dict | None):
@@ -39,8 +40,7 @@ def after_position(changes: DataFrame, position: dt.datetime | None,
         return changes
     if look_back is not None:
         position = position - look_back
-    ts_type = changes.schema[ts_col].dataType
-    return changes.where(F.col(ts_col) > F.lit(position).cast(ts_type))
+    return changes.where(F.col(ts_col) > position_literal(position, changes.schema[ts_col].dataType))
 
 
 def upsert_stream(changes: DataFrame, path: str, checkpoint: str, key: list[str],
@@ -56,22 +56,22 @@ def upsert_stream(changes: DataFrame, path: str, checkpoint: str, key: list[str]
     return _trigger(writer, trigger).start()
 
 
-def affected_documents_stream(changes: dict[str, DataFrame], tables: FilmTables, path: str,
-                              checkpoint: str, trigger: dict | None = None,
+def affected_documents_stream(changes: dict[str, DataFrame],
+                              open_tables: Callable[[], FilmTables], path: str, checkpoint: str, trigger: dict | None = None,
                               on_batch: Callable[[int, DataFrame], None] | None = None
                               ) -> StreamingQuery:
     """R-6: entity change feeds fan out to films, whose documents are rebuilt
     and upserted. ``changes`` maps an entity (film_work, person, genre) to a
     streaming frame with an ``id`` column. The feeds are unioned into one
-    query so a single writer owns the document table.
+    query so a single writer owns the document table. ``open_tables`` is called
+    in every micro-batch: a frame keeps the file list it was opened with, so a
+    link added later would stay unseen.
     """
     tagged = [df.select(F.lit(entity).alias("entity"), F.col("id").cast("string").alias("id"))
               for entity, df in changes.items()]
     feed = tagged[0]
     for t in tagged[1:]:
         feed = feed.unionByName(t)
-    key_types = {e: tables.as_dict()[e].schema["id"].dataType for e in changes}
-
     def apply(batch: DataFrame, epoch_id: int) -> None:
         ids = batch.dropDuplicates(["entity", "id"])    # R-4: each id once per batch
         # Entities present in this batch (at most three names on the driver);
@@ -79,10 +79,11 @@ def affected_documents_stream(changes: dict[str, DataFrame], tables: FilmTables,
         present = [r["entity"] for r in ids.select("entity").distinct().collect()]
         if not present:
             return
+        tables = open_tables()
         changed = {e: ids.where(F.col("entity") == e)
-                   .select(F.col("id").cast(key_types[e]).alias("id"))
+                   .select(F.col("id").cast(tables.as_dict()[e].schema["id"].dataType).alias("id"))
                    for e in present}
-        films = affected_films(tables, changed)
+        films = checkpoint_frame(affected_films(tables, changed))
         docs = build_documents(tables, films)
         upsert(docs, path, ["id"], schema=DOCUMENT, assume_unique=True)
         if on_batch is not None:

@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from reelsync.session import build_session  # noqa: E402
-from reelsync.sources.fixtures import FilmTables  # noqa: E402
+from reelsync.sources.film import FilmTables  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 

@@ -26,7 +26,8 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_reason():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"insert_two_keys"}
+    # the training-data queries are checked in their own tests
+    assert not [q for q in set(QUERIES) - set(ORACLE) if q != "pipeline" and not q.startswith("op")]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

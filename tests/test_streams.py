@@ -47,7 +47,7 @@ def test_affected_stream_equals_batch(spark, tmp_path):
     changes = spark.createDataFrame([("p1", ts(2), 1, 0.0), ("p1", ts(3), 2, 0.0)], FEED)
     changes.write.parquet(src)
     out = str(tmp_path / "docs")
-    run_to_end(affected_documents_stream({"person": feed_stream(spark, src)}, t, out,
+    run_to_end(affected_documents_stream({"person": feed_stream(spark, src)}, lambda: t, out,
                                          str(tmp_path / "ck")))
     got = sorted(r["id"] for r in sinks.read_current(spark, out).collect())
     want = sorted(r["id"] for r in films_by_entity(t, changes.select("id"), "person").collect())
@@ -84,5 +84,5 @@ def test_affected_stream_with_several_feeds(spark, tmp_path):
     out = str(tmp_path / "docs")
     run_to_end(affected_documents_stream(
         {"film_work": feed_stream(spark, films_src), "person": feed_stream(spark, persons_src)},
-        t, out, str(tmp_path / "ck")))
+        lambda: t, out, str(tmp_path / "ck")))
     assert sorted(r["id"] for r in sinks.read_current(spark, out).collect()) == ["f1", "f3"]
