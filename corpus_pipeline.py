@@ -19,7 +19,7 @@ from reelsync.llm import bpe, langid, mixing, secrets, simhash
 from reelsync.llm.queries import table, tokenizer
 from reelsync.llm.shared import stored
 
-MIN_SCORE = 0.5  # least probability of the predicted language
+MIN_SCORE = 0.3  # least probability of the predicted language; a short clean text has little evidence
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of what they decode to
     (operator 10)."""
     path = tokenizer("word_bpe_49k.json")
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, drop=("text",)), path)
+    coded = bpe.encode(docs.select("doc_id", "text"), path, drop=("text",), decoded=True)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-#: Rows handed to the Python function at once: bounds a worker's memory when
-#: texts are long, whatever the session's Arrow batch size is.
+#: Rows and bytes handed to the Python function at once: bounds a worker's
+#: memory when texts are long, whatever the session's Arrow batch size is. (A
+#: longer row is handed over alone.)
 SLICE_ROWS = 512
+SLICE_BYTES = 4 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -31,6 +33,16 @@ def ship_package(df: DataFrame) -> None:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, known)])
 
 
+def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS):
+    """The batch in slices of bounded rows and bytes."""
+    if batch.num_rows > rows or (batch.num_rows > 1 and batch.nbytes > SLICE_BYTES):
+        half = min(rows, -(-batch.num_rows // 2))
+        yield from slices(batch.slice(0, half), rows)
+        yield from slices(batch.slice(half), rows)
+    elif batch.num_rows:
+        yield batch
+
+
 def with_columns(
     df: DataFrame,
     factory: Callable[[], Callable[[pa.RecordBatch], Iterable]],
@@ -59,8 +71,7 @@ def with_columns(
         types = [to_arrow_type(f.dataType) for f in fields]
         work = factory()
         for whole in batches:
-            for at in range(0, whole.num_rows, slice_rows):
-                batch = whole.slice(at, slice_rows)
+            for batch in slices(whole, slice_rows):
                 made = work(batch)
                 added = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=t)
                          for c, t in zip(made, types, strict=True)]

@@ -19,6 +19,7 @@ import heapq
 import json
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -28,9 +29,14 @@ from . import words as W
 from .arrow import texts, with_columns
 
 SHORT = 128      # parts up to which the ranks are scanned
-CACHE = 300_000  # encoded words a worker keeps
-LONGEST = 48     # characters of a word that is kept
+CACHE = 120_000  # runs of a generation that a worker keeps, and half as many words
+LONGEST = 48     # characters of a run or word that is kept
 NONE = 1 << 30   # rank of a pair without a rule
+SHIFT = 24       # bits of an id in the key of a pair
+
+
+def _pack(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 class WordBpe:
@@ -49,22 +55,29 @@ class WordBpe:
         letters = W.byte_alphabet()
         self.first = [self.ids[c] for c in letters]
         self.last = [self.ids[c + end] for c in letters]
-        self.ranks: dict[tuple[int, int], int] = {}
+        self.ranks: dict[int, int] = {}  # key: left id << SHIFT | right id
         self.merged: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks[self.ids[a], self.ids[b]] = rank
+            self.ranks[self.ids[a] << SHIFT | self.ids[b]] = rank
             self.merged.append(self.ids[a + b])
         self.pieces = W.splitter(self.special)
         self.split = regex.compile(W.WORD_SPLIT).findall
         self._library = None
         self._path = path
-        self.cache: dict[str, list[int]] = {}
-
-    def words(self, piece: str) -> list[str]:
-        """Normalized words of a text without special tokens."""
-        if W.PLAIN.fullmatch(piece):
-            return self.split(W.normalize_word_text(piece))
+        # ids are kept packed, four bytes each: compact, and quick to join
+        self.word_ids = W.Recent(lambda word: _pack(self.merge(word)), CACHE // 2, LONGEST)
+        self.run_ids = W.Recent(self.encode_run, CACHE, LONGEST)
+
+    def encode_run(self, run: str) -> bytes:
+        """Packed ids of a text of ``words.PLAIN`` characters without white space."""
+        words = self.split(W.normalize_word(run))
+        if len(words) == 1:
+            return self.word_ids[words[0]]
+        return b"".join([self.word_ids[word] for word in words])
+
+    def library_words(self, piece: str) -> list[str]:
+        """Normalized words of any text without special tokens."""
         if self._library is None:
             from tokenizers import Tokenizer
             self._library = Tokenizer.from_file(self._path)
@@ -81,19 +94,16 @@ class WordBpe:
         return self._scan(parts) if len(parts) <= SHORT else self._heap(parts)
 
     def _scan(self, parts: list[int]) -> list[int]:
-        rank_of = self.ranks.get
-        ranks = [rank_of(pair, NONE) for pair in zip(parts, parts[1:])]
-        while ranks:
-            low = min(ranks)
-            if low == NONE:
-                break
+        rank_of, merged = self.ranks.get, self.merged
+        ranks = [rank_of(a << SHIFT | b, NONE) for a, b in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) != NONE:
             at = ranks.index(low)
-            parts[at] = self.merged[low]
+            parts[at] = new = merged[low]
             del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = rank_of((parts[at - 1], parts[at]), NONE)
+                ranks[at - 1] = rank_of(parts[at - 1] << SHIFT | new, NONE)
             if at < len(ranks):
-                ranks[at] = rank_of((parts[at], parts[at + 1]), NONE)
+                ranks[at] = rank_of(new << SHIFT | parts[at + 1], NONE)
         return parts
 
     def _heap(self, parts: list[int]) -> list[int]:
@@ -103,7 +113,7 @@ class WordBpe:
 
         def offer(i: int) -> None:
             j = after[i]
-            if j < n and (rank := self.ranks.get((parts[i], parts[j]))) is not None:
+            if j < n and (rank := self.ranks.get(parts[i] << SHIFT | parts[j])) is not None:
                 heapq.heappush(todo, (rank, i, parts[i], parts[j]))
 
         for i in range(n - 1):
@@ -122,22 +132,17 @@ class WordBpe:
                 offer(before[i])
         return [p for p in parts if p >= 0]
 
-    def encode(self, text: str) -> array:
-        out, cache = array("i"), self.cache
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text."""
+        out: list[bytes] = []
         for piece in self.pieces(text):
             if piece in self.special:
-                out.append(self.special[piece])
-                continue
-            for word in self.words(piece):
-                ids = cache.get(word)
-                if ids is None:
-                    ids = self.merge(word)
-                    if len(word) <= LONGEST:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        cache[word] = ids
-                out.extend(ids)
-        return out
+                out.append(_pack([self.special[piece]]))
+            elif W.PLAIN.fullmatch(piece):
+                out += map(self.run_ids.__getitem__, piece.split())
+            else:
+                out += map(self.word_ids.__getitem__, self.library_words(piece))
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The tokens joined by one space: the file names no decoder, and special
@@ -156,25 +161,25 @@ def worker_bpe(path: str) -> WordBpe:
     return _WORKER[path]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``ids`` (array of int) of ``text``."""
+def encode(docs: DataFrame, path: str, text: str = "text", drop: tuple[str, ...] = (),
+           decoded: bool = False) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``ids`` (array of int) of ``text``; with
+    ``decoded`` also what ``decode`` makes of the ids, in the same pass."""
 
     def factory():
         bpe = worker_bpe(path)
 
         def work(batch):
-            flat, ends = array("i"), [0]
-            for t in texts(batch, text):
-                flat.extend(bpe.encode(t))
-                ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                           pa.array(memoryview(flat), pa.int32()))
-            return [[b - a for a, b in zip(ends, ends[1:])], ids]
+            rows = [bpe.encode(t) for t in texts(batch, text)]
+            sizes = [len(r) for r in rows]
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()),
+                                           pa.array(np.concatenate(rows)))
+            return [sizes, ids] + [[bpe.decode(r.tolist()) for r in rows]] * decoded
 
         return work
 
-    return with_columns(docs, factory, [StructField("n_tokens", LongType()),
-                                        StructField("ids", ArrayType(IntegerType()))], drop=drop)
+    fields = [StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType()))]
+    return with_columns(docs, factory, fields + [StructField("decoded", StringType())] * decoded, drop=drop)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

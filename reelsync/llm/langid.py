@@ -35,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from .arrow import only, ship_package, with_columns
+from .arrow import only, ship_package, slices, with_columns
 
 ORDER = 3
 TRAIN_DOCS = 1_500   # documents of a language used for training, about
 HASH_RANGE = 1 << 20
 TEMPER = 0.1
-SLOTS_LOG2 = 20
+SLOTS_LOG2 = 19
+PIECE = 1 << 20      # bytes scored at once
 START = 0x0A         # a text reads as if it came after line breaks
 UNDETERMINED = "und"
 
@@ -86,7 +87,7 @@ def gram_counts(labelled: DataFrame, lang: str = "lang", text: str = "text") ->
                          StructField("n", LongType())])
 
     def count(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             names = batch.column("lang").to_pylist()
             for name in sorted(set(names)):
                 rows = [i for i, x in enumerate(names) if x == name]
@@ -173,10 +174,19 @@ class Scorer:
         """Bits of each text under each language."""
         data, ends = _bytes(column)
         sums = np.zeros((len(ends) - 1, len(self.trees.langs)))
-        full = ends[1:] > ends[:-1]
-        if not len(data):
-            return sums
-        gram = grams(data, ends[:-1][full])
+        rows = np.flatnonzero(ends[1:] > ends[:-1])
+        starts = ends[rows]
+        for a in range(0, len(data), PIECE):  # bounded memory for very long texts
+            b, back = min(len(data), a + PIECE), max(0, a - ORDER)
+            inside = starts[(starts >= back) & (starts < b)]
+            cost = self.costs_of(grams(data[back:b], inside - back)[a - back:])
+            cuts = np.append(0, inside[inside > a] - a)
+            first = np.searchsorted(starts, a, "right") - 1
+            sums[rows[first:first + len(cuts)]] += np.add.reduceat(cost, cuts, axis=0, dtype=np.float64)
+        return sums
+
+    def costs_of(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of each gram under each language, from the table where it can."""
         slot = self.slots(gram)
         missed = np.flatnonzero(self.keys[slot] != gram)
         exact = None
@@ -189,12 +199,10 @@ class Scorer:
             if len(missed):
                 new = np.unique(gram[missed])
                 exact = self.trees.bits(new).astype(np.float32)[np.searchsorted(new, gram[missed])]
-        for lang in range(sums.shape[1]):
-            cost = self.costs[:, lang][slot]
-            if exact is not None:
-                cost[missed] = exact[:, lang]
-            sums[full, lang] = np.add.reduceat(cost, ends[:-1][full], dtype=np.float64)
-        return sums
+        cost = self.costs[slot]
+        if exact is not None:
+            cost[missed] = exact
+        return cost
 
 
 _WORKER: dict[int, Scorer] = {}

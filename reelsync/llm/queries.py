@@ -63,7 +63,7 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path, drop=("text",)), path)
+    coded = bpe.encode(docs, path, drop=("text",), decoded=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -48,6 +48,7 @@ BITS = 3       # differing bits up to which fingerprints link
 SEED = 42
 PLACE = 4_096  # fingerprints that a task takes of one place, or of each of two blocks
 LEAF = 64      # fingerprints of an index leaf
+PIECE = 1 << 16    # shingles hashed at once
 QUANTILES = 1_000  # blocks that a place is cut into, at most
 
 
@@ -57,18 +58,16 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     if not parts:
         return 0
     joined = b" ".join(parts)
-    if len(parts) <= words:
-        hashes = [xxhash.xxh64_intdigest(joined, seed)]
-    else:
-        ends = np.cumsum([len(p) + 1 for p in parts]).tolist()
-        starts = [0, *ends[:-words]]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b - 1], seed) for a, b in zip(starts, ends[words - 1:], strict=True)]
-    set_bits = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):  # bounded memory for very long texts
-        part = np.array(hashes[at:at + (1 << 16)], dtype=">u8").view(np.uint8).reshape(-1, 8)
-        set_bits += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * set_bits > len(hashes)).tobytes(), "big")
+    after = np.cumsum([len(p) + 1 for p in parts])  # where the word after each begins
+    starts, ends = np.append(0, after[:-words]), after[min(words, len(parts)) - 1:] - 1
+    if len(parts) < words:
+        starts = starts[:1]
+    digest, set_bits = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    for at in range(0, len(ends), PIECE):  # bounded memory for very long texts
+        spans = zip(starts[at:at + PIECE].tolist(), ends[at:at + PIECE].tolist())
+        hashes = np.array([digest(joined[a:b], seed) for a, b in spans], dtype=">u8")
+        set_bits += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * set_bits > len(ends)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:

@@ -20,11 +20,36 @@ WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: Blocks whose characters are classified and normalized alike by both.
 PLAIN = regex.compile(
-    r"[\x00-՗؀-ۿऀ-ॿḀ-₎₠-₿℀-↋"
+    r"[\x00-\x1B\x20-՗؀-ۿऀ-ॿḀ-₎₠-₿℀-↋"
     r"←-⏿①-➿　-〩ぁ-ゖ゠-ヿ一-鿯"
     r"가-힣！-ﾟ\U0001F300-\U0001F64F]*+")
 
 
+class Recent(dict):
+    """Results of ``make(key)`` for recent keys, in two generations of ``size``.
+
+    When the younger one is full it becomes the older one, so what is still in
+    use is found there and kept. Keys over ``longest`` characters are computed
+    each time.
+    """
+
+    def __init__(self, make, size: int, longest: int):
+        super().__init__()
+        self.make, self.size, self.longest, self.older = make, size, longest, {}
+
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def specials(path: str) -> dict[str, int]:
     """Added special tokens of a tokenizer file: content -> id."""
     with open(path, encoding="utf-8") as f:
@@ -47,14 +72,14 @@ def splitter(special: dict[str, int]):
     return pieces
 
 
-def normalize_word_text(text: str) -> str:
-    """NFC, runs of white space to one space, lower case letter by letter.
+def normalize_word(text: str) -> str:
+    """NFC, then lower case letter by letter.
 
     The capital sigma is mapped before ``lower()``, which would otherwise
-    choose the final form by context.
+    choose the final form by context. (White space, which the file makes
+    uniform, only separates words and need not be changed.)
     """
-    text = unicodedata.normalize("NFC", text)
-    return regex.sub(r"\s+", " ", text).replace("Σ", "σ").lower()
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
 def byte_alphabet() -> list[str]:

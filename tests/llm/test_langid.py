@@ -62,6 +62,8 @@ def test_a_tiny_table_gives_the_same_code_lengths(monkeypatch):
     want = L.Scorer(trees).code_lengths(texts)
     monkeypatch.setattr(L, "SLOTS_LOG2", 3)
     assert np.allclose(L.Scorer(trees).code_lengths(texts), want)
+    monkeypatch.setattr(L, "PIECE", 7)
+    assert np.allclose(L.Scorer(trees).code_lengths(texts), want)
 
 
 def test_gram_counts_match_a_plain_count(spark):
