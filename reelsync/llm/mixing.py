@@ -44,15 +44,15 @@ def targets(sizes: DataFrame, repeat: int = REPEAT) -> DataFrame:
     level = weighted.withColumn("level", F.col("source_size") * 6 / F.col("weight"))
     filled = running(level, ["level", "_null", "source"],
                      {"sizes": F.col("source_size"), "weights": F.col("weight")})
-    total = weighted.agg(F.sum("source_size").alias("all_sizes"), F.sum("weight").alias("all_weights"))
-    full = filled.crossJoin(F.broadcast(total)).withColumn(
-        "full", exact("source_size") * repeat * (F.col("all_weights") - F.col("weights")).cast("decimal(9,0)")
-        <= F.col("weight") * (exact("all_sizes") - repeat * exact("sizes")))
-    taken = full.agg(F.sum(F.when(F.col("full"), F.col("source_size")).otherwise(0)).alias("full_sizes"),
-                     F.sum(F.when(F.col("full"), F.col("weight")).otherwise(0)).alias("full_weights"))
-    share = (F.col("weight") * (F.col("all_sizes") - repeat * F.col("full_sizes"))).cast("double") \
-        / (F.col("all_weights") - F.col("full_weights")).cast("double")
-    return full.crossJoin(F.broadcast(taken)).select(
+    # two rows of sums, as literals
+    all_sizes, all_weights = weighted.agg(F.sum("source_size"), F.sum("weight")).first()
+    full = filled.withColumn(
+        "full", exact("source_size") * repeat * (F.lit(all_weights or 0) - F.col("weights")).cast("decimal(9,0)")
+        <= F.col("weight") * (F.lit(all_sizes or 0).cast("decimal(28,0)") - repeat * exact("sizes")))
+    full_sizes, full_weights = full.where("full").agg(F.sum("source_size"), F.sum("weight")).first()
+    left, open_weights = (all_sizes or 0) - repeat * (full_sizes or 0), (all_weights or 0) - (full_weights or 0)
+    share = (F.col("weight") * F.lit(left)).cast("double") / F.lit(float(open_weights or 1))
+    return full.select(
         "source", "source_size",
         F.when(F.col("full"), (F.col("source_size") * repeat).cast("double")).otherwise(share).alias("target"))
 
@@ -63,11 +63,11 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     often the mix takes the document. Columns of these names are replaced."""
     plain = docs.drop("size", "source_size", "target", "copies").withColumn("size", word_count(text))
     sizes = plain.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"))
-    goal = stored(targets(sizes, repeat)).withColumnRenamed("source", "_source")
+    goal = stored(targets(sizes, repeat)).withColumnRenamed("source", "_mix_source")
     drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit("null")))),
                                1, 13), 16, 10).cast("double") / float(1 << 52)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
-    joined = plain.join(goal, F.col(source).eqNullSafe(F.col("_source"))).drop("_source")
+    joined = plain.join(goal, F.col(source).eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
     copies = F.floor(rate) + (drawn < rate - F.floor(rate)).cast("long")
     return joined.withColumn("copies", copies)
 
