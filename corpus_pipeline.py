@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from reelsync.llm import bpe, langid, mixing, secrets, simhash
 from reelsync.llm.queries import table, tokenizer
-from reelsync.llm.shared import stored
+from reelsync.session import remove_path, shared_path
 
 MIN_SCORE = 0.3  # least probability of the predicted language; a short clean text has little evidence
 
@@ -62,7 +62,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+    docs, before = table(spark, sf_dir, "documents"), None
+    base = shared_path(spark, "pipeline", unique=True)
+    for name, stage in STAGES:
+        path = f"{base}/{name}"
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove_path(spark, before)  # what it held is in the new table
+        before = path
     return docs

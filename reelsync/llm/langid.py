@@ -28,6 +28,8 @@ replaced.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -205,7 +207,7 @@ class Scorer:
         return cost
 
 
-_WORKER: dict[int, Scorer] = {}
+_WORKER: dict[str, Scorer] = {}
 
 
 def identify(docs: DataFrame, labelled: DataFrame, id: str = "doc_id", text: str = "text",
@@ -218,7 +220,7 @@ def identify(docs: DataFrame, labelled: DataFrame, id: str = "doc_id", text: str
     sample = training_sample(rows, label_id, lang, per_lang)
     model = [(r.lang, r.gram, r.n) for r in gram_counts(sample, lang, text).toLocalIterator()]
     trees = docs.sparkSession.sparkContext.broadcast(ContextTrees(model))  # bounded by the sample
-    key = trees._jbroadcast.id()
+    key = uuid.uuid4().hex  # names this model in a worker
 
     def factory():
         if key not in _WORKER:

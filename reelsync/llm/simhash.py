@@ -304,14 +304,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     return marked.join(group, "fp").select(id, "fp", "component_id")
 
 
+ROW = "_simhash_row"
+
+
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text",
              words: int = WORDS, bits: int = BITS) -> DataFrame:
     """The row of the smallest id of each group (NULL after all others), all
     columns; of rows that share it, the first one read. ``docs`` must give the
     same rows in the same order each time, as a table does."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    keyed = rows.select(F.struct(F.col(id).isNull().alias("unknown"), F.col(id).alias("id"), "_row").alias("_key"),
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    keyed = rows.select(F.struct(F.col(id).isNull().alias("unknown"), F.col(id).alias("id"), F.col(ROW).alias("row")).alias("_key"),
                         F.col(text).alias("text"))
     groups = near_duplicates(keyed, "_key", "text", words, bits)
-    kept = checkpoint(groups.where("_key = component_id").select("_key._row"))
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    kept = checkpoint(groups.where("_key = component_id").select(F.col("_key.row").alias(ROW)))
+    return rows.join(kept, ROW, "left_semi").drop(ROW)
