@@ -143,12 +143,16 @@ def entity_table(tables: FilmTables, entity: str) -> DataFrame:
     return tables.as_dict()[entity]
 
 
-def current_highs(tables: FilmTables, entities: list[str]) -> DataFrame:
+def current_highs(tables: FilmTables, entities: list[str],
+                  low: dict[str, Position] | None = None) -> DataFrame:
     """A-10 / D-9: the upper bound of a pass, ``max(modified)`` per entity,
-    read *before* the changed rows so later commits wait for the next pass."""
+    read *before* the changed rows so later commits wait for the next pass.
+    With ``low`` only rows after an entity's position are read (the filter is
+    pushed to the scan); without such a row the bound is NULL."""
     def high(e: str) -> DataFrame:
         df = entity_table(tables, e)
         position = without_zone(F.col("position"), df.schema["modified"].dataType)
+        df = changed_since(df, (low or {}).get(e))
         return (df.agg(F.max("modified").alias("position"))
                 .select(F.lit(e).alias("entity"), position.alias("position")))
 

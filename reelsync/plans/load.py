@@ -45,9 +45,9 @@ def _save(tables: FilmTables, paths: SyncPaths, highs: dict, pass_id: int) -> No
     S.save_positions(spark.createDataFrame(rows, S.HIGH_WATER), paths.positions)
 
 
-def _highs(tables: FilmTables) -> dict[str, dt.datetime | None]:
+def _highs(tables: FilmTables, low: dict | None = None) -> dict[str, dt.datetime | None]:
     """Upper bounds of this pass, one small aggregate per entity (3 rows)."""
-    return S.as_dict(C.current_highs(tables, ENTITIES))
+    return S.as_dict(C.current_highs(tables, ENTITIES, low))
 
 
 def full_load(tables: FilmTables, paths: SyncPaths, pass_id: int = 1) -> PassResult:
@@ -110,8 +110,8 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     if not low:
         return full_load(tables, paths)
     pass_id = max(r["pass_id"] for r in saved.collect()) + 1
-    high = _highs(tables)
-    # An entity whose table is empty keeps its old position.
+    high = _highs(tables, low)
+    # An entity without a later row keeps its old position.
     high = {e: (high.get(e) if high.get(e) is not None else low.get(e)) for e in ENTITIES}
     if max_changes is not None:
         high = bounded_highs(tables, low, high, max_changes)
