@@ -48,7 +48,7 @@ BLOCK = 4_096    # different vectors of an index block, about
 GROUP = 4_096    # queries of a group, about
 SHARE = 0.05     # of a block's rows that a search takes in
 LEAST = 100
-MASKS = [np.array([m for m in range(1 << 16) if m.bit_count() <= r], np.uint16) for r in range(4)]
+MASKS = [np.array([m for m in range(1 << 16) if m.bit_count() <= r], np.uint16) for r in range(2)]
 
 
 class Codes:
@@ -80,32 +80,48 @@ class BlockIndex:
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
-        self.tables = []
+        self.tables = []  # per substring: its values, their rows, and each row's value
         for part in codes.T:
-            order = np.argsort(part, kind="stable")
-            values, first = np.unique(part[order], return_index=True)
-            self.tables.append((values, np.append(first, len(part)), order))
+            values, place = np.unique(part, return_inverse=True)
+            order = np.argsort(place, kind="stable")
+            self.tables.append((values, np.searchsorted(place[order], np.arange(len(values) + 1)), order, place))
 
-    def near(self, query: np.ndarray, distance: int) -> np.ndarray:
+    def probed(self, query: np.ndarray, distance: int) -> np.ndarray:
         """Rows of which some substring is within ``distance`` bits of the
-        query's: probed value by value while that is less than all values."""
+        query's, by looking up every such value."""
         hits = []
-        for own, (values, first, order) in zip(query, self.tables):
-            if distance < len(MASKS) and len(MASKS[distance]) < len(values):
-                wanted = own ^ MASKS[distance]
-                at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
-                at = at[values[at] == wanted]
-            else:
-                at = np.flatnonzero(np.bitwise_count(values ^ own) <= distance)
-            hits += [order[first[i]:first[i + 1]] for i in at]
+        for own, (values, first, order, _) in zip(query, self.tables):
+            wanted = own ^ MASKS[distance]
+            at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+            hits += [order[first[i]:first[i + 1]] for i in at[values[at] == wanted]]
         return np.unique(np.concatenate(hits)) if hits else np.empty(0, np.int64)
 
+    def nearest_part(self, query: np.ndarray) -> np.ndarray:
+        """Each row's least distance of a substring: every table's values are
+        compared once, the rows take their value's distance."""
+        best = np.full(len(self.codes), 16, np.uint8)
+        for own, (values, _, _, place) in zip(query, self.tables):
+            np.minimum(best, np.bitwise_count(values ^ own)[place], out=best)
+        return best
+
+    def near(self, query: np.ndarray, distance: int) -> np.ndarray:
+        """Rows of which some substring is within ``distance`` bits of the
+        query's. Beyond a few bits there are more values to look up than a
+        block has rows, and the tables' own values are compared."""
+        if distance < len(MASKS):
+            return self.probed(query, distance)
+        return np.flatnonzero(self.nearest_part(query) <= distance)
+
     def within(self, query: np.ndarray, enough: int) -> np.ndarray:
         """All rows within the first radius that holds ``enough`` rows."""
-        parts = self.codes.shape[1]
+        parts, best = self.codes.shape[1], None
         for distance in range(17):
-            rows = self.near(query, distance)
-            if len(rows) < enough and distance < 16:
+            if distance < len(MASKS):
+                rows = self.probed(query, distance)
+            else:
+                best = self.nearest_part(query) if best is None else best
+                rows = np.flatnonzero(best <= distance)
+            if len(rows) < enough:
                 continue
             apart = np.bitwise_count(self.codes[rows] ^ query).sum(axis=1, dtype=np.int64)
             inside = rows[apart <= parts * (distance + 1) - 1]
