@@ -17,6 +17,7 @@ row. Columns other than the id and the text are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import pyarrow.compute as pc
@@ -75,10 +76,10 @@ class Counting:
         return total
 
 
-_WORKER: dict[tuple[str, int], Counting] = {}
+_WORKER: dict[tuple[str, str], Counting] = {}
 
 
-def _counting(path: str, frequent: dict[str, int], key: int) -> Counting:
+def _counting(path: str, frequent: dict[str, int], key: str) -> Counting:
     """The worker's counter: kept between tasks, one at a time."""
     if (path, key) not in _WORKER:
         _WORKER.clear()
@@ -88,7 +89,7 @@ def _counting(path: str, frequent: dict[str, int], key: int) -> Counting:
 
 def frequent_lengths(docs: DataFrame, path: str, text: str = "text",
                      sample_rows: int = SAMPLE_ROWS, entries: int = FREQUENT) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of ``sample_rows`` rows."""
+    """Lengths of the most frequent pre-tokens of about ``sample_rows`` rows."""
     ship_package(docs)
 
     def top(batches):
@@ -104,7 +105,8 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text",
         best = [w for w, _ in seen.most_common(entries)]
         yield pa.RecordBatch.from_pydict({"w": best, "n": [counting.lengths[w] for w in best]})
 
-    sample = docs.select(F.col(text).alias("text")).limit(sample_rows)
+    part = min(1.0, sample_rows / max(1, docs.count()))
+    sample = docs.select(F.col(text).alias("text")).sample(part, seed=3).repartition(1)  # about sample_rows rows
     rows = sample.mapInArrow(top, StructType([StructField("w", StringType()),
                                               StructField("n", LongType())])).collect()
     return {r.w: r.n for r in rows[:entries]}
@@ -116,7 +118,7 @@ def count_tokens(docs: DataFrame, path: str, id: str = "doc_id", text: str = "te
     ``limit``, ``over_limit`` (more than ``limit`` tokens)."""
     source = only(docs, id, text).withColumnRenamed(text, "text")
     frequent = source.sparkSession.sparkContext.broadcast(frequent_lengths(source, path))
-    key = frequent._jbroadcast.id()
+    key = uuid.uuid4().hex  # names this table in a worker
 
     def factory():
         counting = _counting(path, frequent.value, key)
