@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .arrow import only, ship_package, with_columns
-from .shared import checkpoint, components
+from .shared import checkpoint, components, stored
 
 WORDS = 3      # words of a shingle
 BITS = 3       # differing bits up to which fingerprints link
@@ -273,8 +273,9 @@ def _hot_links(hot: DataFrame, bits: int, place_rows: int) -> DataFrame:
         F.percentile_approx("gray", [i / QUANTILES for i in range(1, QUANTILES)], 10_000).alias("cuts"),
         F.max("count").alias("n"))
     # every step-th quantile is a cut, so that a block has about place_rows / 2 rows
-    cuts = cuts.select("place", F.filter("cuts", lambda x, i: (i + 1) % F.greatest(
-        F.lit(1), F.floor(F.lit(QUANTILES / 2 * place_rows) / F.col("n"))) == 0).alias("cuts"))
+    # (written once: estimates differ from run to run, and nodes and search must see the same blocks)
+    cuts = stored(cuts.select("place", F.filter("cuts", lambda x, i: (i + 1) % F.greatest(
+        F.lit(1), F.floor(F.lit(QUANTILES / 2 * place_rows) / F.col("n"))) == 0).alias("cuts")))
     blocks = ranked.join(cuts, "place").select(
         "place", "fp", F.size(F.filter("cuts", lambda c: c < F.col("gray"))).alias("block"))
     nodes = blocks.groupBy("place", "block").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high"))

@@ -102,6 +102,17 @@ def test_hot_places_are_split_without_losing_links(spark):
     assert same_classes({c: by[signed(c)] for c in codes}, codes)
 
 
+def test_blocks_are_cut_once(spark, monkeypatch):
+    """Masks and search see the same cuts, although quantiles are estimates."""
+    searched = []
+    monkeypatch.setattr(S, "_search", lambda places, bits, search=S._search: searched.append(places) or search(places, bits))
+    table = spark.createDataFrame([(signed(c),) for c in clusters(200, 3, centres=1)], "fp long")
+    S.links(table, place_rows=32)
+    assert len(searched) == 2
+    for places in searched:
+        assert "percentile_approx" not in places._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_components_take_the_smallest_id(spark):
     nodes = spark.createDataFrame([(f, 100 - f) for f in range(-5, 40)] + [(99, None)], "fp long, least long")
     chain = spark.createDataFrame([(i, i + 1) for i in range(0, 30)] + [(7, 7), (30, 3)], "a long, b long")
