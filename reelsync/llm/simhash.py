@@ -311,9 +311,9 @@ ROW = "_simhash_row"
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text",
              words: int = WORDS, bits: int = BITS) -> DataFrame:
     """The row of the smallest id of each group (NULL after all others), all
-    columns; of rows that share it, the first one read. ``docs`` must give the
-    same rows in the same order each time, as a table does."""
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    columns; of rows that share it, the first one read. The rows are written
+    with their numbers, as a second reading may number them otherwise."""
+    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
     keyed = rows.select(F.struct(F.col(id).isNull().alias("unknown"), F.col(id).alias("id"), F.col(ROW).alias("row")).alias("_key"),
                         F.col(text).alias("text"))
     groups = near_duplicates(keyed, "_key", "text", words, bits)

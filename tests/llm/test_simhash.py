@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -146,3 +147,18 @@ def test_one_row_of_each_group_stays(spark, edge):
     assert len({groups[plain_fingerprint(r.text)] for r in kept}) == len(kept)
     assert S.keep_one(table).columns == table.columns
     assert next(r for r in kept if plain_fingerprint(r.text) == 0).doc_id == 2
+
+
+def test_rows_are_numbered_once(spark):
+    """Rows that come in another order each time they are computed."""
+    def shuffled(batches):
+        rows = [r for b in batches for r in b.to_pylist()]
+        random.SystemRandom().shuffle(rows)
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    draw = random.Random(5)
+    texts = [" ".join(str(draw.getrandbits(32)) for _ in range(30)) for _ in range(40)]
+    table = spark.createDataFrame([(i, texts[i % 40]) for i in range(60)], "doc_id long, text string").coalesce(1)
+    kept = S.keep_one(table.mapInArrow(shuffled, table.schema)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == list(enumerate(texts))
