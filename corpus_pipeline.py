@@ -22,12 +22,18 @@ from reelsync.session import remove_path, shared_path
 MIN_SCORE = 0.3  # least probability of the predicted language; a short clean text has little evidence
 
 
+def apart(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` with all columns but ``needed`` under private names, which no
+    column that an operator adds or replaces has."""
+    return docs.toDF(*[c if c.lower() in needed else f"_pipeline_{i}" for i, c in enumerate(docs.columns)])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised (operator 6)."""
-    learn = docs.select("doc_id", "text", "lang")
-    found = langid.identify(docs, learn)
+    learn, held = docs.select("doc_id", "text", "lang"), apart(docs, "doc_id", "text", "lang")
+    found = langid.identify(held, learn)
     sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE)
-    return found.where(sure).select(*docs.columns)
+    return found.where(sure).select(*held.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +49,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out towards the sources' targets (operator 2)."""
-    return mixing.emit(mixing.mix(docs)).select(*docs.columns)
+    held = apart(docs, "doc_id", "text", "source")
+    return mixing.emit(mixing.mix(held)).select(*held.columns).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,18 @@ def test_stages(spark, documents, tmp_path):
         assert r.ids == want and r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_columns_named_like_an_operators_pass_through(spark, documents):
+    names = ("size", "source_size", "Target", "copies", "score", "lang_pred")
+    docs = documents.withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in names})
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.mix_sources):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in names)
+        plain = stage(spark, documents, "").collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain)
+
+
 def test_stages_of_an_empty_table(spark, empty, tmp_path):
     docs = empty
     for name, stage in corpus_pipeline.STAGES:
