@@ -42,15 +42,20 @@ KINDS = ("assign", "access", "hex", "guess")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (ACCESS_LENGTH - 4))
 HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)
 
-#: Credential contexts: a word, a separator, then a quoted or bare value.
+#: Credential contexts: a word, a separator, then a quoted or bare value. The word
+#: may follow any prefix that ends in no letter (DB_PASSWORD) or before a capital
+#: (userPassword, APIToken); forms of "password" may follow letters (PGPASSWORD).
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "auth")
 CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|(?:access|auth|bearer)?[_ -]?token"""
-    r"""|(?:api|access|private|secret|auth)[_ -]?key|credentials?)["']?[ \t]*(?::=|=>|[:=])[ \t]*"""
+    r"""(?:pass(?:word|wd|phrase)"""
+    r"""|(?:(?<![a-z])|(?-i:(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])))"""
+    r"""(?:pass(?:code)?|pwd|secret|(?:access|auth|bearer)?[_ -]?token"""
+    r"""|(?:api|(?:secret[_ -]?)?access|private|secret|auth|encryption|signing|account)[_ -]?key"""
+    r"""|credentials?))["']?[ \t]*(?::=|=>|[:=])[ \t]*"""
     r"""(?:"(?P<double>[^"\r\n]+)"|'(?P<single>[^'\r\n]+)'|(?P<bare>[^\s"'<>,;]+))""",
     re.IGNORECASE | re.ASCII)
 
-MIN_LOG10 = 9.0     # guesses below 10^9: a guessable or placeholder value, no secret
+MIN_LOG10 = 8.5     # fewer guesses: a guessable or placeholder value; eight brute-forced characters cost 8.7
 JOIN_LOG10 = 0.5    # cost of each further segment
 BRUTE_LOG10 = 1.0   # a brute-forced character: ten guesses, as is usual
 BRUTE_START = 0.7

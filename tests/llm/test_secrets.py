@@ -74,6 +74,20 @@ def test_context_values_are_found_and_prose_is_not():
         assert S.guess_spans(prose) == []
 
 
+@pytest.mark.parametrize("text", [
+    "DB_PASSWORD=xK9#pq!7Lw", "MYSQL_PWD=xK9#pq!7Lw", 'userPassword: "xK9#pq!7Lw"', "PGPASSWORD=xK9#pq!7Lw", "db-pwd: xK9#pq!7Lw",
+    "db2pwd=xK9#pq!7Lw", "APIToken => 'xK9#pq!7Lw'", "appSecret=xK9#pq!7Lw", "pwd=kT9$wQ2z", "_token=kT9$wQ2z", "dbPwd=kT9$wQ2z",
+    "aws_secret_access_key=wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzEXAMPLEK", "secretAccessKey: wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzEXAMPLEK"])
+def test_prefixed_names_and_eight_characters(text):
+    value = re.search(r"""[=:>] ?["']?([^"' =:>]+)["']?$""", text)[1]
+    assert [text[a:b] for a, _, b in S.guess_spans(text)] == [value]
+
+
+def test_words_that_only_end_like_a_name_open_no_context():
+    for text in ("compass: xK9#pq!7Lw", "bypass = xK9#pq!7Lw", "monkey=xK9#pq!7Lw", "DB_PASSWORD=changeme", "userPassword: Password2019"):
+        assert S.guess_spans(text) == []
+
+
 def test_redaction(edge, spark, empty):
     rows = [(1, "a password=b7db7aa4a5fcc78305 z", "en", "s", 30), (2, None, None, None, None)]
     docs = spark.createDataFrame(rows, edge.schema)
