@@ -14,10 +14,13 @@ boilerplate at once:
 * the minimum cut between the terminals is the cheapest labelling; blocks on
   the content side, in page order, are the text.
 
-Text in scripts, styles, templates, forms and other elements that are never
-shown as text, comments and markup are no blocks at all. Character references
-are decoded, white space in a block becomes one space, blocks are trimmed and
-joined by one space; nothing else is dropped or cut.
+Text in scripts, styles, templates, buttons and other elements that are never
+shown as text, comments and markup are no blocks at all; an element whose end
+tag is missing hides nothing (but a script or style, which has no other end).
+A form speaks against its text as far as that is no more than its controls
+need, so a form around a whole page does not. Character references are decoded,
+white space in a block becomes one space, blocks are trimmed and joined by one
+space; nothing else is dropped or cut.
 
 NULL reads as the empty page, whose text is empty. Markup may be broken: an
 unclosed or stray tag never loses text. Pages are handled one by one; repeated
@@ -36,8 +39,9 @@ from pyspark.sql.types import LongType, StringType, StructField
 from .arrow import only, texts, with_columns
 
 # Element names of HTML by their part in a page.
-SILENT = frozenset("script style template noscript svg math iframe object select textarea button form "
+SILENT = frozenset("script style template noscript svg math iframe object select textarea button "
                    "title head canvas audio video map datalist".split())
+CONTROLS = frozenset("input select textarea button".split())
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
@@ -56,6 +60,9 @@ BAD_NAME = re.compile(
     r"(?:$|[\s_-])", re.IGNORECASE)
 GOOD_NAME = re.compile(
     r"(?:^|[\s_-])(?:article\w*|body|content|entry|main|post|story|text)(?:$|[\s_-])", re.IGNORECASE)
+#: A name that tells what stands beside the content (has-sidebar) is no hit.
+LAYOUT_NAME = re.compile(r"(?:has|with|no|without)[_-]", re.IGNORECASE)
+HIDDEN = re.compile(r"""(?:^|\s)type\s*=\s*["']?hidden\b""", re.IGNORECASE)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -65,6 +72,7 @@ NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([
 # Costs of the classifier, in nats of evidence for (+) content or (-) boilerplate.
 IN_BOILERPLATE = -9.0    # inside an element meant for it, or named so
 IN_CONTENT = 4.0         # inside an element meant for the article, or named so
+CONTROL_TEXT = 40        # characters of a form for each control that do not speak for text
 LONG_TEXT = 0.02         # a character of text, up to LONG_AT
 LONG_AT = 100
 SENTENCE = 1.0           # the block ends as a sentence does
@@ -77,20 +85,27 @@ SHARED = 0.35            # and of each element that both stand in, below the bod
 
 
 class Block:
-    __slots__ = ("text", "evidence", "path")
+    __slots__ = ("text", "evidence", "path", "hidden", "forms")
 
-    def __init__(self, text: str, evidence: float, path: tuple[int, ...]):
+    def __init__(self, text: str, evidence: float, path: tuple[int, ...],
+                 hidden: tuple[int, ...] = (), forms: tuple[int, ...] = ()):
         self.text, self.evidence, self.path = text, evidence, path
+        self.hidden, self.forms = hidden, forms  # silent elements and forms around it
 
 
 def _standing(name: str, attributes: str) -> float:
     """What an element says about the blocks in it."""
-    names = " ".join(x for m in NAMED.findall(attributes) for x in m) if "=" in attributes else ""
-    if name in BOILERPLATE or (names and BAD_NAME.search(names)):
+    if name in BOILERPLATE:
         return IN_BOILERPLATE
-    if name in CONTENT or (names and name not in ("body", "html") and GOOD_NAME.search(names)):
+    if name in CONTENT:
         return IN_CONTENT
-    return 0.0
+    if name in OUTER or "=" not in attributes:
+        return 0.0  # names of the whole page say nothing about a block
+    names = [n for m in NAMED.findall(attributes) for x in m for n in x.split() if not LAYOUT_NAME.match(n)]
+    bad = [BAD_NAME.search(n) is not None for n in names]
+    if any(GOOD_NAME.search(n) for n, b in zip(names, bad) if not b):
+        return IN_CONTENT  # "content with-ads"; but "ads-content" is a hit
+    return IN_BOILERPLATE if any(bad) else 0.0
 
 
 def blocks(page: str) -> list[Block]:
@@ -99,7 +114,10 @@ def blocks(page: str) -> list[Block]:
     open_: list[tuple[str, float, int]] = []  # name, standing, serial number
     words: list[str] = []
     linked = [0]
-    state = {"links": 0, "silent": 0, "serial": 0}
+    state = {"links": 0, "serial": 0}
+    ended: set[int] = set()  # silent elements that have an end tag
+    endless: set[str] = set()  # names of raw elements without a further end tag
+    controls: dict[int, int] = {}  # form -> its controls
 
     def end_block() -> None:
         if not words:
@@ -108,21 +126,24 @@ def blocks(page: str) -> list[Block]:
         words.clear()
         links, linked[0] = linked[0], 0
         if text:
-            good = max((s for _, s, _ in open_), default=0.0)
+            forms = tuple(i for n, _, i in open_ if n == "form")
+            # what stands around a form does not speak for the text in it
+            good = max((s for _, s, i in open_ if not forms or i > forms[-1]), default=0.0)
             bad = min((s for _, s, _ in open_), default=0.0)
             heading = any(n in HEADINGS for n, _, _ in open_)
             evidence = (PRIOR + good + bad + LONG_TEXT * min(len(text), LONG_AT)
                         + SENTENCE * (text[-1] in ".!?:;\"”") + LINKS * min(1.0, links / len(text))
                         + HEADING * heading)
-            found.append(Block(text, evidence, tuple(i for n, _, i in open_ if n not in OUTER and n not in INLINE)))
+            found.append(Block(text, evidence, tuple(i for n, _, i in open_ if n not in OUTER and n not in INLINE),
+                               tuple(i for n, _, i in open_ if n in SILENT), forms))
 
     def read(text: str) -> None:
-        if not state["silent"] and text:
+        if text:
             words.append(html.unescape(text) if "&" in text else text)
             if state["links"]:
                 linked[0] += len(words[-1].strip())
 
-    def close(name: str) -> None:
+    def close(name: str, tagged: bool = False) -> None:
         depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
         if depth is None:
             return
@@ -131,9 +152,10 @@ def blocks(page: str) -> list[Block]:
             gone = open_.pop(depth)
             state["links"] -= gone[0] == "a"
             return
+        if tagged and name in SILENT:
+            ended.add(open_[depth][2])
         for gone, _, _ in open_[depth:]:
             state["links"] -= gone == "a"
-            state["silent"] -= gone in SILENT
         del open_[depth:]
 
     at, end = 0, len(page)
@@ -151,8 +173,12 @@ def blocks(page: str) -> list[Block]:
         if name not in INLINE:
             end_block()
         if m[1]:
-            close(name)
+            close(name, tagged=True)
             continue
+        if name in CONTROLS and not (name == "input" and HIDDEN.search(m[3])):
+            for n, _, i in open_:
+                if n == "form":
+                    controls[i] = controls.get(i, 0) + 1
         if name not in HEAD_ONLY:
             close("head")  # its end tag may be left out
         if name in VOID:
@@ -162,11 +188,28 @@ def blocks(page: str) -> list[Block]:
         state["serial"] += 1
         open_.append((name, 0.0 if name in INLINE else _standing(name, m[3]), state["serial"]))
         state["links"] += name == "a"
-        state["silent"] += name in SILENT
         if name in RAW:  # its text is no markup, up to its own end tag
-            stop = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-            at = stop.start() if stop else end
+            stop = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
+            if stop:
+                at = stop.start()
+            elif name in ("script", "style"):
+                at = end
+            else:
+                endless.add(name)
     end_block()
+    return _judge_forms([b for b in found if not ended.intersection(b.hidden)], controls)
+
+
+def _judge_forms(found: list[Block], controls: dict[int, int]) -> list[Block]:
+    """Blocks in a form with evidence against them, less the more text it holds."""
+    chars: dict[int, int] = {}
+    for b in found:
+        for form in b.forms:
+            chars[form] = chars.get(form, 0) + len(b.text)
+    for b in found:
+        if b.forms:
+            b.evidence += IN_BOILERPLATE * max(0.0, *(
+                1 - chars[f] / (CONTROL_TEXT * max(1, controls.get(f, 0))) for f in b.forms))
     return found
 
 

@@ -37,6 +37,30 @@ def test_boilerplate_goes_and_broken_markup_loses_nothing():
     assert H.main_text("") == ""
 
 
+LONG = "This paragraph is the text of the article, and it is long enough to be told from a menu or a footer."
+
+
+def test_names_of_the_layout_do_not_silence_the_article():
+    for page in ('<body class="single has-sidebar"><p>{}</p>', '<html class="js no-menu"><body id="search"><p>{}</p>',
+                 '<div class="content with-sidebar"><p>{}</p></div>', '<article class="post tag-news"><p>{}</p></article>',
+                 '<main class="main sidebar"><p>{}</p></main>', '<div class="has-sidebar"><p>{}</p></div>'):
+        assert H.main_text(page.format(LONG)) == LONG, page
+    for page in ('<div class="content"><div class="related-content"><p>{}</p></div></div>', '<nav class="content"><p>{}</p></nav>',
+                 '<div class="comments"><div class="comment-text"><p>{}</p></div></div>', '<div class="sidebar"><p>{}</p></div>'):
+        assert H.main_text(page.format(LONG)) == "", page
+
+
+def test_a_form_around_the_page_and_unclosed_elements_hide_nothing():
+    web_form = ('<body><form id="aspnetForm" action="x"><input type="hidden" name="state"><div id="top"><input type=text>'
+                f'<button>Go</button></div><div class="page"><p>{LONG}</p><p>{LONG}</p></div></form></body>')
+    assert H.main_text(web_form) == f"{LONG} {LONG}"
+    for name in ("form", "button", "svg", "select", "textarea", "title"):
+        assert H.main_text(f"<body><p>{LONG}</p><{name}><p>{LONG}</p><p>{LONG}</p></body>") == f"{LONG} {LONG} {LONG}", name
+    contact = (f'<div class="content"><p>{LONG}</p><form><p>Your name: <input></p><p>Your message: <textarea>x</textarea></p>'
+               '<select><option>one</select><button>Send it now.</button></form></div>')
+    assert H.main_text(contact) == LONG
+
+
 def test_the_cut_is_the_cheapest_labelling():
     draw = random.Random(4)
     for _ in range(200):
