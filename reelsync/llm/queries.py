@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html_text, langid, mixing, neighbours, quality, secrets, simhash, token_counts
+from . import (alignment, bpe, fingerprints, hard_negatives, html_text, langid, licenses, mixing, neighbours, quality,
+               secrets, simhash, token_counts)
+from .shared import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -114,3 +116,30 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, quality.fit(docs, learn), drop=("text",))
     return scored.select("doc_id", held_out.alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+ORACLE_SQL["op11_hard_negatives"] = hard_negatives.MINE_SQL
+
+
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.find_licenses(table(spark, sf_dir, "documents")), "doc_id")
+
+
+ORACLE_SQL["op12_licenses"] = licenses.digest_sql()
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.align(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    written = stored(found.withColumn("groups_sha256", digest).drop("groups"))
+    return alignment.scored(written).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                                            "groups_sha256")
