@@ -11,9 +11,11 @@ character (A cuts a multibyte character, B falls back to bytes) the spans say
 only where that character lies, and the tokens' decoded bytes refine it.
 
 **Chunks.** No pre-token of A and no piece of B reaches over a single space
-between two characters that are not white space (``Aligner`` checks B's pieces
-for that), so a text is aligned chunk by chunk between such spaces, and a
-worker keeps the alignments of recent chunks in a bounded cache.
+between two characters that are not white space, nor over the place before a
+single line feed between such characters (``Aligner`` checks B's pieces for
+that), so a text is aligned chunk by chunk between such places. A worker keeps
+the alignments of recent chunks in a bounded cache, and encodes what a batch of
+rows misses at once.
 
 **Counts.** A pair's count is the number of documents that hold it linked.
 Counts are summed by Spark from one row per document and pair. The most
@@ -31,6 +33,7 @@ the text are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -44,20 +47,24 @@ from . import words as W
 from .arrow import only, texts, with_columns
 from .shared import stored
 
-CACHE = 100_000     # chunks of a generation that a worker keeps
+CACHE = 300_000     # chunks of a generation that a worker keeps
 LONGEST = 48        # characters of a chunk that is kept
 FREQUENT = 1 << 19  # pairs whose counts are broadcast, at most
-CUT = re.compile(r"(?<=\S) (?=\S)")
-SPACE = "▁"    # fixed value: sentencepiece's mark of a space
+CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+BESIDE = re.compile(r"\s\s")
+SPACE = "▁"         # fixed value: sentencepiece's mark of a space
 
-#: A chunk's alignment: whether it stands for itself between two spaces, whether
-#: its bytes agree, the numbers of A tokens, B tokens, groups and links, the
-#: groups as text, and the linked pairs packed into longs.
-Chunk = tuple[bool, bool, int, int, int, int, str, bytes]
+#: A chunk's alignment: the numbers of A tokens, B tokens, groups and links, the
+#: groups as text, and the linked pairs packed into longs; None: bytes differ.
+Chunk = tuple[int, int, int, int, str, bytes]
 
 
 class Aligner:
-    """Aligns the tokens of two tokenizer files; one per worker."""
+    """Aligns the tokens of two tokenizer files; one per worker.
+
+    A chunk is named by its text without the space before it; one that begins
+    with a line feed has no space before it.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
@@ -74,60 +81,116 @@ class Aligner:
         self.is_byte = [self.b.is_byte(i) for i in range(size)]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if one else p.replace(SPACE, " ").encode()
                         for p, one in zip(pieces, self.is_byte)]
-        # pieces that hold a space behind other characters could join two chunks
-        self.whole = any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.chunks = W.Recent(self.chunk, CACHE, LONGEST)
-
-    def cuts_a(self, text: str) -> tuple[list[int], list[int], bytes]:
-        """Ids, the byte offsets where the tokens end, and the tokens' bytes."""
-        found = self.a.encode(text, add_special_tokens=False)
-        decoded = [bytes([self.bytes_a[c] for c in t]) for t in found.tokens]
-        spans, at = found.offsets, _byte_offsets(text)
-        ends, here = [], 0
-        for i, (_, end) in enumerate(spans):
+        # pieces with a space behind other characters, or a line feed, could join two chunks
+        self.whole = any(SPACE in p.lstrip(SPACE) or "\n" in p for p in pieces)
+        self.names = np.array([str(i) for i in range(max(size, self.a.get_vocab_size()))], object)
+        self.young: dict[str, Chunk | None] = {}
+        self.old: dict[str, Chunk | None] = {}
+
+    def cuts_a(self, text: str, found) -> list[int]:
+        """The byte offsets of ``text`` where A's tokens end."""
+        spans = found.offsets
+        if text.isascii():
+            return [end for _, end in spans]
+        at, ends, here = _byte_offsets(text), [], 0
+        for i, ((_, end), token) in enumerate(zip(spans, found.tokens)):
             shared = i + 1 < len(spans) and spans[i + 1][0] < end  # the next token has a part of this character
-            here = here + len(decoded[i]) if shared else at[end]
+            here = here + len(token) if shared else at[end]        # a letter of a token stands for a byte
             ends.append(here)
-        return found.ids, ends, b"".join(decoded)
+        return ends
 
-    def cuts_b(self, text: str) -> tuple[list[int], list[int], bytes]:
-        """As ``cuts_a``, for B; offsets count the added space."""
-        pieces = self.b.encode(text, return_type="proto").pieces
+    def cuts_b(self, found, added: int) -> tuple[list[int], list[int]]:
+        """Ids of B's tokens, and the byte offsets where they end, counting
+        ``added`` bytes of a space before the text."""
         ids, ends, here = [], [], 0
-        for p in pieces:
-            here = here + 1 if self.is_byte[p.id] else p.end + 1
-            ids.append(p.id)
+        for p in found.pieces:
+            i = p.id
+            here = here + 1 if self.is_byte[i] else p.end + added
+            ids.append(i)
             ends.append(here)
-        return ids, ends, b"".join([self.bytes_b[i] for i in ids])
-
-    def chunk(self, text: str) -> Chunk:
-        alone = bool(text) and not text[0].isspace() and not text[-1].isspace()
-        raw = b" " + text.encode()
-        a, ends_a, joined_a = self.cuts_a(" " + text)
-        b, ends_b, joined_b = self.cuts_b(text)
-        if joined_a != raw or joined_b != raw:
-            return alone, False, 0, 0, 0, 0, "", b""
-        groups, pairs, i, j, first_a, first_b = [], [], 0, 0, 0, 0
-        while i < len(a):
-            pairs.append(a[i] * self.size_b + b[j])
-            end_a, end_b = ends_a[i], ends_b[j]
-            i, j = i + (end_a <= end_b), j + (end_b <= end_a)
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                first_a, first_b = i, j
-        return alone, True, len(a), len(b), len(groups), len(pairs), ";".join(groups), np.array(pairs, np.int64).tobytes()
-
-    def align(self, text: str) -> tuple[int, int, int, int, str, np.ndarray]:
-        """Numbers of A tokens, B tokens, groups and links, the groups as text,
-        and the packed pair of every link."""
-        if text:
-            chunks = [self.chunk(text)] if self.whole else [self.chunks[c] for c in text.split(" ")]
-            alone, same, *counts, groups, pairs = zip(*chunks)
-            if not all(alone) and not self.whole:  # white space beside a space: cut with care
-                alone, same, *counts, groups, pairs = zip(*[self.chunks[c] for c in CUT.split(text)])
-            if all(same):
-                return *map(sum, counts), ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)
-        return 0, 0, 0, 0, "", np.empty(0, np.int64)
+        return ids, ends
+
+    def chunks(self, texts: list[str], spaces: list[bool]) -> list[Chunk | None]:
+        """Alignments of chunks, given whether a space stands before each; all are
+        laid end to end and their cuts compared at once."""
+        led = [" " + t if s else t for t, s in zip(texts, spaces)]
+        of_a = self.a.encode_batch(led, add_special_tokens=False)
+        of_b = self.b.encode(texts, return_type="proto") if texts else []
+        a, ends_a, b, ends_b, lengths = [], [], [], [], []
+        for text, space, found_a, found_b in zip(led, spaces, of_a, of_b):
+            cuts_a, (ids_b, cuts_b) = self.cuts_a(text, found_a), self.cuts_b(found_b, int(space))
+            if not space:  # B's own space is no part of this chunk
+                del ids_b[0], cuts_b[0]
+            raw = text.encode()
+            if cuts_a[-1] != len(raw) or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
+                lengths.append((0, 0, 0))
+                continue
+            a += found_a.ids
+            b += ids_b
+            ends_a += cuts_a
+            ends_b += cuts_b
+            lengths.append((len(raw), len(cuts_a), len(cuts_b)))
+        size, n_a, n_b = np.array(lengths, np.int64).reshape(-1, 3).T
+        ends = np.cumsum(size)  # of the chunks
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a = np.array(ends_a, np.int64) + np.repeat(ends - size, n_a)
+        ends_b = np.array(ends_b, np.int64) + np.repeat(ends - size, n_b)
+        cuts, both = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        # a link ends at each cut, a group at each that both make
+        pairs = a[np.searchsorted(ends_a, cuts)] * self.size_b + b[np.searchsorted(ends_b, cuts)]
+        n_links, n_groups = (np.diff(np.searchsorted(x, np.append(0, ends), "right")) for x in (cuts, both))
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        after_a = np.where(both[group_a] == ends_a, "|", ",").astype(object) if len(a) else ends_a.astype(object)
+        last_b = np.where(np.isin(ends_b, ends), "\n", ";")
+        after_b = np.where(both[group_b] == ends_b, last_b, ",").astype(object) if len(b) else ends_b.astype(object)
+        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
+        groups = iter("".join(np.concatenate([self.names[a] + after_a, self.names[b] + after_b])[order]).split("\n"))
+        packed, at = pairs.tobytes(), np.cumsum(n_links) * 8
+        return [(x, y, g, n, next(groups), packed[e - 8 * n:e]) if x else None
+                for x, y, g, n, e in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), at.tolist())]
+
+    def split(self, text: str) -> list[str]:
+        """The names of a text's chunks. The first may begin with white space and
+        the last end with it; where others would, the text is cut with care."""
+        if self.whole:
+            return [text]
+        names = text.replace("\n", " \n").split(" ")
+        if "" not in names and not BESIDE.search(text):
+            return names
+        first, *rest = CUT.split(" " + text)
+        return [first[1:], *[c if c[0] == "\n" else c[1:] for c in rest]]
+
+    def align(self, rows: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray]]:
+        """Per text: numbers of A tokens, B tokens, groups and links, the groups
+        as text, and the packed pair of every link."""
+        split = [self.split(t) if t else [] for t in rows]
+        held = {}
+        for name in set().union(*split):
+            found = self.young.get(name, 0)
+            held[name] = self.old.get(name, 0) if found == 0 else found
+        missing = [n for n, found in held.items() if found == 0]
+        held.update(zip(missing, self.chunks(missing, [n[0] != "\n" for n in missing])))
+        # a space stands before a text's first chunk, whatever it begins with
+        firsts = [names[0] for names in split if names and names[0][0] == "\n"]
+        heads = iter(self.chunks(firsts, [True] * len(firsts)))
+        self._keep(held)
+        out = []
+        for names in split:
+            found = [held[n] for n in names]
+            if names and names[0][0] == "\n":
+                found[0] = next(heads)
+            if found and None not in found:
+                *counts, groups, pairs = zip(*found)
+                out.append((*map(sum, counts), ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)))
+            else:
+                out.append((0, 0, 0, 0, "", np.empty(0, np.int64)))
+        return out
+
+    def _keep(self, held: dict[str, Chunk | None]) -> None:
+        """The batch's chunks become the youngest; a full generation ages."""
+        self.young.update({n: c for n, c in held.items() if len(n) <= LONGEST})
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
 
 
 def _byte_offsets(text: str) -> list[int] | range:
@@ -141,6 +204,7 @@ _WORKER: dict[tuple[str, str], Aligner] = {}
 
 
 def _aligner(path_a: str, path_b: str) -> Aligner:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
     if (path_a, path_b) not in _WORKER:
         _WORKER.clear()
         _WORKER[path_a, path_b] = Aligner(path_a, path_b)
@@ -161,7 +225,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id: str = "doc_id", text: s
         aligner = _aligner(path_a, path_b)
 
         def work(batch):
-            found = [aligner.align(t) for t in texts(batch, text)]
+            found = aligner.align(texts(batch, text))
             pairs = [np.unique(f[5], return_counts=True) for f in found]
             return [*[[f[i] for f in found] for i in range(5)],
                     _lists([p // aligner.size_b for p, _ in pairs]), _lists([p % aligner.size_b for p, _ in pairs]),

@@ -38,9 +38,13 @@ def plain(aligner, text):
     return len(a.ids), len(b), ";".join(groups), links
 
 
-def same(aligner, text):
+def same(aligner, *rows):
+    for text, got in zip(rows, aligner.align(list(rows)), strict=True):
+        agree(aligner, text, got)
+
+
+def agree(aligner, text, got):
     n_a, n_b, groups, links = plain(aligner, text)
-    got = aligner.align(text)
     assert got[:2] == (n_a, n_b) and got[4] == groups, repr(text)
     assert got[2] == (groups.count(";") + 1 if groups else 0) and got[3] == len(links)
     assert got[5].tolist() == [i * aligner.size_b + j for i, j in links]
@@ -52,8 +56,8 @@ def test_random_texts():
     parts = ["<|endoftext|>", "<s>", "<0x41>", " ", " ", "  ", "\n", " \n", "\t", "'s", "the", "Zürich", "ſ", "Σ", "İ", "é",
              "漢字", "½", "1", "!?", "\x1c", "\x85", " ", "😀", "͸", "\U0001e6c0", "a", "\x00", "​", "　",
              "👨‍👩‍👧", "ﬁ", "é", "한국어", "नमस्ते", "▁"]
-    for k in range(4_000):
-        same(aligner, "".join(draw.choice(parts[:-1] if k % 9 else parts) for _ in range(draw.randint(0, 14))))
+    for _ in range(500):
+        same(aligner, *["".join(draw.choice(parts[:-1] if k % 9 else parts) for _ in range(draw.randint(0, 14))) for k in range(9)])
 
 
 def test_long_and_plain_texts(documents):
