@@ -1,51 +1,53 @@
 """Sinks: keyed latest-wins upsert (S-5), strict targets (S-6), bulk records
 (S-7), and the pluggable document writer (S-8).
 
-The upsert target is a folder of immutable bucket files plus a log:
-
-    <path>/data/v=00000003/__bucket=7/   rows of bucket 7 as of version 3
-    <path>/_versions/                    one row per version: which version
-                                         holds each bucket, rows sent, schema
-
-A row's bucket is a hash of its key, so a write reads and rewrites only the
-buckets that its keys fall into; the other buckets stay where an earlier
-version put them. A write never touches files being read: it adds a version's
-folder, then appends one log row. A crash before the log row leaves the old
-version current, and the retry overwrites the half-written folder, so a
-repeated batch is harmless (R-5). Bucket folders that none of the last
-``keep`` versions uses are removed.
-
-There is one writer per table (one scheduled job or one streaming query). A
-write that finds another's version in its place raises ``ConcurrentWrite``.
+The upsert target is a folder of immutable bucket files plus a version log
+(``versions.py``):
+
+    <path>/data/v=00000003-<attempt>/__bucket=7/   rows of bucket 7
+    <path>/_versions/00000003.json                 which folders make up version 3
+
+A row's bucket is a hash of its key. An upsert writes the rows it was sent and
+nothing else: per touched bucket one more layer of changes over the base, so
+its bytes follow the batch and not the table. A read lays the changes over the
+base, the newest (or the greatest version columns) per key; buckets without
+changes are read as they are. A bucket whose changes pass ``SHARE`` of its base
+gets a new base in the same commit, so a row is rewritten once per that many
+changes; one with more than ``LAYERS`` small layers gets them merged into one,
+without reading the base. ``rebucket`` writes a grown table in more buckets.
+
+A write never touches files being read, and every attempt has a folder of its
+own: a crash before the log file leaves the old version current and costs some
+unused files (``vacuum`` removes them), and a repeated batch is harmless (R-5).
+There is one writer per table at a time (one scheduled job or one streaming
+query); a write that finds its version taken removes its own folder and raises
+``ConcurrentWrite``, and the table is the other writer's. Bucket folders that
+none of the last ``keep`` versions uses are removed.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import check_strict
-from ..session import checkpoint_frame, path_exists, remove_path
+from ..session import checkpoint_frame, list_names, remove_path
+from . import versions as V
+from .versions import BUCKET, ConcurrentWrite, Version
+
+__all__ = ["ConcurrentWrite", "bulk_records", "current_version", "ensure_target", "latest_per_key", "merge_latest",
+           "read_current", "rebucket", "upsert", "vacuum", "write_bulk", "write_documents"]
 
-VERSION_LOG = "_versions"
 BUCKETS = 32     # of a new table; each holds about 1/32 of the keys
 KEEP = 2         # versions whose files stay readable
-BUCKET = "__bucket"
-LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("rows", T.LongType(), True),
-    T.StructField("committed_at", T.TimestampType(), True),
-    T.StructField("buckets", T.ArrayType(T.LongType()), True),
-    T.StructField("schema", T.StringType(), True),
-])
-
-
-class ConcurrentWrite(RuntimeError):
-    """Another writer committed the version this write was building."""
+SHARE = 0.25     # of a base's rows that its changes may reach
+LAYERS = 8       # of changes over a base
+SEQUENCE = "__sequence"
 
 
 def latest_per_key(df: DataFrame, key: list[str], version_cols: list[str] | None = None) -> DataFrame:
@@ -94,110 +96,158 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
     return untouched.unionByName(winners)
 
 
-def _log_rows(spark: SparkSession, path: str, last: int) -> list:
-    """The newest ``last`` log rows, newest first."""
-    log = f"{path}/{VERSION_LOG}"
-    if not path_exists(spark, log):
-        return []
-    return spark.read.schema(LOG_SCHEMA).parquet(log).orderBy(F.desc("version")).limit(last).collect()
-
-
 def current_version(spark: SparkSession, path: str) -> int:
-    rows = _log_rows(spark, path, 1)
-    return int(rows[0]["version"]) if rows else 0
-
-
-def _bucket_dir(path: str, version: int, bucket: int) -> str:
-    return f"{path}/data/v={version:08d}/{BUCKET}={bucket}"
-
-
-def _read_buckets(spark: SparkSession, path: str, log_row, wanted: set[int] | None,
-                  schema: T.StructType | None) -> DataFrame:
-    schema = schema or T.StructType.fromJson(json.loads(log_row["schema"]))
-    folders = [_bucket_dir(path, v, b) for b, v in enumerate(log_row["buckets"])
-               if v and (wanted is None or b in wanted)]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders)
-
-
-def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    rows = _log_rows(spark, path, 1)
-    return _read_buckets(spark, path, rows[0], None, schema) if rows else None
+    known = V.numbers(spark, path)
+    return known[-1] if known else 0
+
+
+def _read(spark: SparkSession, schema: T.StructType, folders: list[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def _changes(spark: SparkSession, path: str, version: Version, buckets: list[int]) -> DataFrame:
+    """The last change of each key in the layers above the bases of ``buckets``."""
+    by_age: dict[int, list[str]] = {}
+    for b in buckets:
+        for folder, _, number in version.layers[b][1:]:
+            by_age.setdefault(number, []).append(V.bucket_path(path, folder, b))
+    parts = [_read(spark, version.struct(), folders).withColumn(SEQUENCE, F.lit(number))
+             for number, folders in sorted(by_age.items())]
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    if len(parts) == 1:  # a layer has one row per key
+        return rows.drop(SEQUENCE)
+    return latest_per_key(rows, version.key, [*version.order, SEQUENCE]).drop(SEQUENCE)
+
+
+def _resolved(spark: SparkSession, path: str, version: Version, buckets: list[int]) -> DataFrame:
+    """The rows of ``buckets``, changes laid over their bases."""
+    bases = lambda chosen: [V.bucket_path(path, version.layers[b][0][0], b) for b in chosen]
+    plain = [b for b in buckets if len(version.layers[b]) == 1]
+    changed = [b for b in buckets if len(version.layers[b]) > 1]
+    if not changed:
+        return _read(spark, version.struct(), bases(plain))
+    merged = merge_latest(_read(spark, version.struct(), bases(changed)), _changes(spark, path, version, changed),
+                          version.key, version.order, assume_unique=True)
+    return _read(spark, version.struct(), bases(plain)).unionByName(merged) if plain else merged
+
+
+def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 version: int | None = None) -> DataFrame | None:
+    """The table (``None``: there is none), or one of its kept versions."""
+    state = V.load(spark, path, version)
+    if state is None:
+        return None
+    rows = _resolved(spark, path, state, [b for b, layers in enumerate(state.layers) if layers])
+    return rows if schema is None else rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 def ensure_target(spark: SparkSession, path: str, schema: T.StructType,
                   buckets: int = BUCKETS) -> DataFrame:
     """S-6: create an empty version 1 with ``schema`` unless a version exists;
     an existing target must have exactly that schema."""
-    rows = _log_rows(spark, path, 1)
-    if not rows:
-        _commit(spark, path, 1, [0] * buckets, 0, schema)
-        rows = _log_rows(spark, path, 1)
-    check_strict(T.StructType.fromJson(json.loads(rows[0]["schema"])), schema)
-    return _read_buckets(spark, path, rows[0], None, None)
-
-
-def _commit(spark: SparkSession, path: str, version: int, buckets: list[int], rows: int,
-            schema: T.StructType) -> None:
-    if current_version(spark, path) != version - 1:
-        raise ConcurrentWrite(f"{path}: version {version} was committed by another writer")
-    log = spark.createDataFrame([(version, rows, None, buckets, schema.json())], LOG_SCHEMA)
-    (log.withColumn("committed_at", F.current_timestamp())
-     .coalesce(1).write.mode("append").parquet(f"{path}/{VERSION_LOG}"))
-
-
-def _expire(spark: SparkSession, path: str, keep: int) -> None:
-    """Remove the bucket folders that only the version just out of the last
-    ``keep`` used (older ones went in earlier calls)."""
-    rows = _log_rows(spark, path, keep + 1)
-    if len(rows) <= keep:
-        return
-    used = {(b, v) for row in rows[:keep] for b, v in enumerate(row["buckets"])}
-    for b, v in enumerate(rows[keep]["buckets"]):
-        if v and (b, v) not in used:
-            remove_path(spark, _bucket_dir(path, v, b))
+    if V.load(spark, path) is None:
+        V.publish(spark, path, Version(1, schema.json(), [], [], [[] for _ in range(buckets)]))
+    check_strict(V.load(spark, path).struct(), schema)
+    return read_current(spark, path)
+
+
+def _place(key: list[str], buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+
+
+def _write(rows: DataFrame, path: str, folder: str, key: list[str], buckets: int) -> dict[int, int]:
+    """Write ``rows`` by bucket; returns each written bucket's number of rows
+    (from the new files' footers)."""
+    spark, target = rows.sparkSession, f"{path}/data/{folder}"
+    # rebalanced by bucket: few files per bucket, and a large bucket is split
+    (rows.withColumn(BUCKET, _place(key, buckets)).hint("rebalance", BUCKET)
+     .write.partitionBy(BUCKET).parquet(target))
+    read = T.StructType([*rows.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return {r[0]: r[1] for r in spark.read.schema(read).parquet(target).groupBy(BUCKET).count().collect()}
 
 
 def upsert(updates: DataFrame, path: str, key: list[str],
            version_cols: list[str] | None = None,
            schema: T.StructType | None = None,
-           assume_unique: bool = False, buckets: int = BUCKETS, keep: int = KEEP) -> int:
+           assume_unique: bool = False, buckets: int = BUCKETS, keep: int = KEEP,
+           share: float = SHARE, layers: int = LAYERS, create: bool = True) -> int:
     """Apply ``updates`` to the table at ``path``; returns the new version.
 
-    Only the buckets that the updated keys fall into are read and written.
-    The updates are checkpointed once: they feed the list of touched buckets,
-    the anti join and the union, and the enrichment behind them must not run
-    twice. An empty update is a no-op (no new version) on an existing table.
-    ``assume_unique`` is the caller's guarantee that ``updates`` has one row
-    per key (documents built from a table keyed by film id).
+    The updates are evaluated and written once; the table is read only where a
+    bucket gets a new base. An empty update is a no-op (no new version) on an
+    existing table, and where there is none unless ``create``. ``assume_unique`` is the caller's guarantee that ``updates``
+    has one row per key (documents built from a table keyed by film id). Key and
+    version columns are those of the first upsert.
     """
     spark = updates.sparkSession
     if schema is not None:
         check_strict(updates.schema, schema)
-    log = _log_rows(spark, path, 1)
-    version, placed = (log[0]["version"], list(log[0]["buckets"])) if log else (0, [0] * buckets)
-    place = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(len(placed))).cast("int")
-    upd = dedupe_updates(updates, key, version_cols, assume_unique)
-    old = None
-    if log:
-        upd = checkpoint_frame(upd)
-        touched = {r[0] for r in upd.select(place).distinct().collect()}  # at most one row per bucket
-        if not touched:
-            return version
-        old = _read_buckets(spark, path, log[0], touched, schema)
-    obs = Observation(f"commit-{version + 1}")
-    merged = merge_latest(old, upd, key, version_cols, True)
-    per_bucket = merged.withColumn(BUCKET, place)
-    # rebalanced by bucket: few files per bucket, and a large bucket is split
-    (per_bucket.hint("rebalance", BUCKET).observe(obs, F.collect_set(BUCKET).alias("written"),
-                                                  F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/data/v={version + 1:08d}"))
-    for b in obs.get["written"]:
-        placed[b] = version + 1
-    _commit(spark, path, version + 1, placed, int(obs.get["rows"]), schema or updates.schema)
-    _expire(spark, path, keep)
-    return version + 1
+    state = V.load(spark, path)
+    known = state is not None
+    if state is None:
+        state = Version(0, (schema or updates.schema).json(), [], [], [[] for _ in range(buckets)])
+    state = replace(state, number=state.number + 1, key=state.key or list(key),
+                      order=state.order if state.key else list(version_cols or []))
+    if state.key != list(key) or state.order != list(version_cols or []):
+        raise ValueError(f"{path} has key {state.key} and version columns {state.order}")
+    folders = [V.new_folder(state.number)]
+    rows = dedupe_updates(updates.select(*state.struct().fieldNames()), key, version_cols, assume_unique)
+    try:
+        sent = _write(rows, path, folders[0], key, len(state.layers))
+        if not sent and (known or not create):
+            remove_path(spark, f"{path}/data/{folders[0]}")
+            return state.number - 1
+        state = state.with_layers([old + [[folders[0], sent[b], state.number]] if b in sent else old
+                                   for b, old in enumerate(state.layers)])
+        over = {b: sum(layer[1] for layer in state.layers[b][1:]) for b in sent}
+        grown = [b for b in sent if over[b] > share * state.layers[b][0][1]]
+        many = [b for b in sent if b not in grown and len(state.layers[b]) > layers + 1]
+        for chosen, find, below in ((grown, _resolved, 0), (many, _changes, 1)):
+            if not chosen:
+                continue
+            folders.append(V.new_folder(state.number))
+            made = _write(find(spark, path, state, chosen), path, folders[-1], key, len(state.layers))
+            state = state.with_layers([old[:below] + [[folders[-1], made[b], state.number]] if b in chosen else old
+                                       for b, old in enumerate(state.layers)])
+        V.publish(spark, path, state)
+    except BaseException:
+        for folder in folders:  # of this attempt alone
+            remove_path(spark, f"{path}/data/{folder}")
+        raise
+    merged = {*grown, *many}  # these buckets' changes are in a later folder of this version
+    if len(merged) == len(sent):
+        remove_path(spark, f"{path}/data/{folders[0]}")
+    else:
+        for b in sorted(merged):
+            remove_path(spark, V.bucket_path(path, folders[0], b))
+    V.expire(spark, path, keep)
+    return state.number
+
+
+def rebucket(spark: SparkSession, path: str, buckets: int, keep: int = KEEP) -> int:
+    """Write the table anew in ``buckets`` buckets (a table grows; see README for
+    how many); returns the new version."""
+    state = V.load(spark, path)
+    folder = V.new_folder(state.number + 1)
+    try:
+        made = _write(read_current(spark, path), path, folder, state.key, buckets)
+        V.publish(spark, path, replace(state, number=state.number + 1, layers=[
+            [[folder, made[b], state.number + 1]] if b in made else [] for b in range(buckets)]))
+    except BaseException:
+        remove_path(spark, f"{path}/data/{folder}")
+        raise
+    V.expire(spark, path, keep)
+    return state.number + 1
+
+
+def vacuum(spark: SparkSession, path: str) -> list[str]:
+    """Remove the folders of attempts that crashed before their version was
+    published; run it while nobody writes. Returns their names."""
+    used = {layer[0] for n in V.numbers(spark, path) for layers in V.load(spark, path, n).layers for layer in layers}
+    stray = [f for f in list_names(spark, f"{path}/data") if f.startswith("v=") and f not in used]
+    for folder in stray:
+        remove_path(spark, f"{path}/data/{folder}")
+    return stray
 
 
 # The document fields in the order the bulk source lists them.
@@ -226,7 +276,14 @@ Sink = Callable[[DataFrame], object]
 
 
 def parquet_upsert_sink(path: str, key: str = "id", schema: T.StructType | None = None) -> Sink:
-    return lambda df: upsert(df, path, [key], schema=schema)
+    """The upsert as a sink. It evaluates the documents once and ignores an empty
+    input by itself, so the writer need not write them down for that."""
+    def write(df: DataFrame) -> int | None:
+        before = current_version(df.sparkSession, path)
+        version = upsert(df, path, [key], schema=schema, create=False)
+        return version if version != before else None
+    write.once = True
+    return write
 
 
 def bulk_file_sink(path: str, index: str) -> Sink:
@@ -244,7 +301,10 @@ def index_sink(index: str, options: dict[str, str] | None = None, key: str = "id
 
 
 def write_documents(df: DataFrame, sink: Sink) -> object | None:
-    """S-8: hand documents to a sink; an empty input is a no-op. The documents
-    are written once, so the test and the sink do not compute them twice."""
+    """S-8: hand documents to a sink; an empty input is a no-op. For a sink that
+    does not say that it evaluates its input ``once``, the documents are written
+    down first, so that the test and the sink do not compute them twice."""
+    if getattr(sink, "once", False):
+        return sink(df)
     df = checkpoint_frame(df)
     return None if df.isEmpty() else sink(df)

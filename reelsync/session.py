@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings for sessions this package creates itself (tests, bench, examples).
@@ -89,15 +90,64 @@ def checkpoint_frame(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _store(spark: SparkSession, path: str):
+    """Hadoop's path and file system for ``path``, on whatever store it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on whatever store ``path`` names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    """Whether a file or folder exists."""
+    target, store = _store(spark, path)
+    return store.exists(target)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote (an expired version, a finished job's state)."""
+    target, store = _store(spark, path)
+    store.delete(target, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (an absent one has none)."""
+    target, store = _store(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(target)] if store.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    target, store = _store(spark, path)
+    stream = store.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file under ``path`` unless it exists; whether it was
+    written. The finished file is renamed into place, so readers never see a
+    part of it, and a rename does not replace a file that is there."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, store = _store(spark, path)
+    folder, name = path.rsplit("/", 1)
+    draft, _ = _store(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    stream = store.create(draft, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    none = spark.sparkContext._gateway.new_array(kind, 1)
+    none[0] = kind.NONE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        store.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(store.makeQualified(draft), store.makeQualified(target), none)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    finally:
+        store.delete(draft, False)

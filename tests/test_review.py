@@ -93,24 +93,40 @@ def test_an_upsert_writes_only_the_touched_buckets(spark, tmp_path):
     keys = ["k3", "k77"]
     place = F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")
     touched = {r[0] for r in spark.createDataFrame([(k,) for k in keys], "id string").select(place).collect()}
+
+    def buckets(version):
+        return {d for f in os.listdir(f"{path}/data") if f.startswith(f"v={version:08d}-")
+                for d in os.listdir(f"{path}/data/{f}") if d.startswith("__")}
+
     for version in (2, 3, 4):
-        sinks.upsert(spark.createDataFrame([(k, version) for k in keys], schema), path, ["id"])
-        folder = f"{path}/data/v={version:08d}"
-        assert {d for d in os.listdir(folder) if d.startswith("__")} == {f"__bucket={b}" for b in touched}
+        sinks.upsert(spark.createDataFrame([(k, version) for k in keys], schema), path, ["id"], share=0)
+        assert buckets(version) == {f"__bucket={b}" for b in touched}
         rows = {r["id"]: r["v"] for r in sinks.read_current(spark, path).collect()}
         assert len(rows) == 500 and {k for k, v in rows.items() if v == version} == set(keys)
     # files that none of the last two versions uses are gone, the others stay
-    assert not [d for d in os.listdir(f"{path}/data/v=00000002") if d.startswith("__")]
-    left = {d for d in os.listdir(f"{path}/data/v=00000001") if d.startswith("__")}
-    assert left == {f"__bucket={b}" for b in range(16)} - {f"__bucket={b}" for b in touched}
+    assert buckets(2) == set()
+    assert buckets(1) == {f"__bucket={b}" for b in range(16)} - {f"__bucket={b}" for b in touched}
 
 
-def test_a_second_writer_is_noticed(spark, tmp_path):
+def test_a_second_writer_is_noticed_and_destroys_nothing(spark, tmp_path, monkeypatch):
     path, schema = str(tmp_path / "t"), "id string, v int"
-    frame = spark.createDataFrame([("a", 1)], schema)
-    sinks.upsert(frame, path, ["id"])
+    sinks.upsert(spark.createDataFrame([("a", 1), ("b", 1)], schema), path, ["id"])
+    write, raced = sinks._write, []
+
+    def slow_write(rows, *args):
+        if not raced:  # another writer commits version 2 between this one's read of the log and its commit
+            raced.append(1)
+            assert sinks.upsert(spark.createDataFrame([("a", 2), ("c", 2)], schema), path, ["id"]) == 2
+        return write(rows, *args)
+
+    monkeypatch.setattr(sinks, "_write", slow_write)
     with pytest.raises(sinks.ConcurrentWrite):
-        sinks._commit(spark, path, 1, [1] * 32, 1, frame.schema)
+        sinks.upsert(spark.createDataFrame([("a", 9), ("b", 9)], schema), path, ["id"])
+    assert sinks.current_version(spark, path) == 2
+    assert sorted(map(tuple, sinks.read_current(spark, path).collect())) == [("a", 2), ("b", 1), ("c", 2)]
+    assert sinks.vacuum(spark, path) == []  # the loser removed what it wrote
+    assert sinks.upsert(spark.createDataFrame([("a", 9), ("b", 9)], schema), path, ["id"]) == 3  # and may try again
+    assert sorted(map(tuple, sinks.read_current(spark, path).collect())) == [("a", 9), ("b", 9), ("c", 2)]
 
 
 def jobs_started(spark, define):
