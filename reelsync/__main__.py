@@ -4,8 +4,9 @@
         one pass: the first run is a full load, later runs are incremental
     python -m reelsync stream SOURCE --root ROOT [--every "1 second"] [--passes N]
         passes on a timer until stopped (or N of them)
-    python -m reelsync copy   SOURCE --root ROOT [--on-orphans drop]
-        copy the five tables into ROOT/tables and print the parity report
+    python -m reelsync copy   SOURCE --root ROOT [--on-orphans drop] [--any-keys]
+        copy the five tables into ROOT/tables and print the parity report; text
+        ids must be uuids unless --any-keys
 
 SOURCE is one of
     --parquet DIR      folders DIR/film_work, DIR/genre, ...
@@ -32,6 +33,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         p.add_argument("--max-changes", type=int, default=None)
     stream.add_argument("--every", default="1 second")
     stream.add_argument("--passes", type=int, default=None, help="stop after so many passes")
+    copy.add_argument("--any-keys", action="store_true", help="ids need not be uuids")
     copy.add_argument("--on-orphans", choices=["fail", "drop"], default="fail")
     for p in (sync, stream, copy):
         source = p.add_mutually_exclusive_group(required=True)
@@ -81,7 +83,10 @@ def main(argv: list[str] | None = None) -> int:
     root = args.root.rstrip("/")
     if args.command == "copy":
         from .operators.copy import copy_tables
-        report = copy_tables(_sources(spark, args), f"{root}/tables", on_orphans=args.on_orphans)
+        sources = _sources(spark, args)
+        text_ids = all(dict(df.dtypes)["id"] == "string" for df in sources.values())
+        report = copy_tables(sources, f"{root}/tables", on_orphans=args.on_orphans,
+                             uuids=text_ids and not args.any_keys)
         for row in report.orderBy("table_name").collect():
             print(json.dumps(row.asDict()))
         return 0

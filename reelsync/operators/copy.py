@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import (COPY_ORDER, FOREIGN_KEYS, MAX_LENGTH, NOT_NULL, PRIMARY_KEY, RENAMES,
                        SOURCE_COLUMNS, TARGETS, UNIQUE_KEYS, SchemaMismatch, check_strict)
-from ..session import path_exists
-from .dedupe import insert_if_absent
+from ..session import checkpoint_frame, path_exists
+from .counts import counted, rows_of
+from .dedupe import MAX_ROUNDS, insert_if_absent
 
 
 def project_source(df: DataFrame, table: str) -> DataFrame:
@@ -54,7 +55,7 @@ def table_keys(table: str) -> list[list[str]]:
 
 def copy_table(table: str, source: DataFrame, target: DataFrame | None = None,
                order_cols: list[str] | None = None,
-               max_rounds: int | None = None) -> DataFrame:
+               max_rounds: int | None = MAX_ROUNDS) -> DataFrame:
     """S-3: the rows of ``source`` to append to ``target`` (``None``: empty).
 
     Copying twice equals copying once: the second pass finds every key taken.
@@ -115,8 +116,10 @@ def _counts(frames: dict[str, DataFrame], col: str) -> DataFrame:
 def count_parity(sources: dict[str, DataFrame], targets: dict[str, DataFrame]) -> DataFrame:
     """A-7 / Q-1: row counts per table on both sides, and whether they agree.
     Every table is checked (D-19 fixed: no stop at the first blank name)."""
-    src = _counts(sources, "source_rows")
-    tgt = _counts(targets, "target_rows")
+    return _parity(_counts(sources, "source_rows"), _counts(targets, "target_rows"))
+
+
+def _parity(src: DataFrame, tgt: DataFrame) -> DataFrame:
     return (src.join(tgt, "table_name", "full")
             .select("table_name", "source_rows", "target_rows",
                     (F.coalesce(F.col("source_rows"), F.lit(-1))
@@ -138,54 +141,68 @@ class OrphanLinks(ValueError):
     """Link rows whose non-NULL foreign key has no parent (D-18)."""
 
 
-def _orphans(df: DataFrame, col: str, parents: DataFrame) -> DataFrame:
-    ids = parents.select(F.col("id").alias("__pid"))
-    return df.where(F.col(col).isNotNull()).join(ids, F.col(col) == ids["__pid"], "left_anti")
+def _mark_orphans(rows: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
+    """``rows`` with ``__orphan``: the foreign keys (of ``parents``, whose ids are
+    unique) that are not NULL and find no parent. One pass, one join per key."""
+    cols, lost = rows.columns, []
+    for i, (col, parent) in enumerate(parents.items()):
+        ids = parent.select(F.col("id").alias(f"__parent{i}"))
+        rows = rows.join(ids, F.col(col) == F.col(f"__parent{i}"), "left")
+        lost.append(F.when(F.col(col).isNotNull() & F.col(f"__parent{i}").isNull(), F.lit(col)))
+    return rows.select(*cols, F.array_compact(F.array(*lost)).alias("__orphan"))
 
 
-def _with_parents(df: DataFrame, col: str, parents: DataFrame) -> DataFrame:
-    """Rows whose foreign key is NULL or finds its parent (unique by id)."""
-    ids = parents.select(F.col("id").alias("__pid"))
-    cols = df.columns
-    joined = df.join(ids, F.col(col) == ids["__pid"], "left")
-    return joined.where(F.col(col).isNull() | F.col("__pid").isNotNull()).select(*cols)
+def _checked_links(rows: DataFrame, table: str, parents: dict[str, DataFrame], drop: bool) -> DataFrame:
+    """Link rows whose parents exist, written once: the check and keep-first
+    read what this one pass leaves."""
+    seen = Observation(f"orphans of {table}")
+    marked = _mark_orphans(rows, parents)
+    marked = checkpoint_frame(marked.observe(seen, *[
+        F.count_if(F.array_contains("__orphan", col)).alias(col) for col in parents]))
+    found = {col: n for col, n in seen.get.items() if n}
+    if found and not drop:
+        raise OrphanLinks(f"{table}: rows point at missing parents: {found}")
+    return marked.where(F.size("__orphan") == 0).drop("__orphan")
 
 
 def copy_tables(sources: dict[str, DataFrame], target_root: str,
                 tables: list[str] | None = None, on_orphans: str = "fail",
-                order_cols: dict[str, list[str]] | None = None) -> DataFrame:
+                order_cols: dict[str, list[str]] | None = None, uuids: bool = False) -> DataFrame:
     """S-3: the whole copy job, parents before links; returns the parity
     report of every copied table (D-19: none is skipped).
 
     Each table's target is the parquet folder ``<target_root>/<table>``
     (absent = empty). Link rows pointing at a parent that is in neither the
     target nor this copy abort the job by default, as the relational insert
-    would (D-18); ``on_orphans="drop"`` leaves them out instead.
+    would (D-18); ``on_orphans="drop"`` leaves them out instead. With ``uuids``
+    the id columns must be uuids, which are written in lower case (P-3).
+
+    Every source is evaluated once: its rows are counted as they pass.
     """
     if on_orphans not in ("fail", "drop"):
         raise ValueError("on_orphans is 'fail' or 'drop'")
     spark = next(iter(sources.values())).sparkSession
     wanted = [t for t in COPY_ORDER if t in (tables or sources) and t]
     copied: dict[str, DataFrame] = {}
+    found: dict[str, int] = {}
     for table in wanted:
         path = f"{target_root.rstrip('/')}/{table}"
         target = _read_target(spark, path, table)
-        rows = typed_rows(table, sources[table])
-        for link, col, parent in FOREIGN_KEYS:
-            if link != table:
-                continue
-            parents = _read_target(spark, f"{target_root.rstrip('/')}/{parent}", parent)
-            if parents is None:
-                parents = spark.createDataFrame([], TARGETS[parent])
-            # before keep-first: an orphan must not take a valid row's key
-            if on_orphans == "drop":
-                rows = _with_parents(rows, col, parents)
-            elif not _orphans(rows, col, parents).isEmpty():
-                raise OrphanLinks(f"{table}.{col}: rows point at missing {parent} rows")
+        source, seen = counted(sources[table], f"source of {table}")
+        rows = typed_rows(table, source)
+        if uuids:
+            rows = uuid_keys(rows, table)
+        parents = {col: _read_target(spark, f"{target_root.rstrip('/')}/{parent}", parent)
+                   for link, col, parent in FOREIGN_KEYS if link == table}
+        if parents:  # before keep-first: an orphan must not take a valid row's key
+            parents = {col: spark.createDataFrame([], TARGETS["genre"]) if df is None else df for col, df in parents.items()}
+            rows = _checked_links(rows, table, parents, on_orphans == "drop")
         rows = insert_if_absent(rows, target, table_keys(table), (order_cols or {}).get(table))
         append_rows(rows, table, path)
+        found[table] = rows_of(seen)
         copied[table] = _read_target(spark, path, table)
-    return count_parity({t: sources[t] for t in wanted}, copied)
+    return _parity(spark.createDataFrame(sorted(found.items()), "table_name string, source_rows long"),
+                   _counts(copied, "target_rows"))
 
 
 def _read_target(spark, path: str, table: str) -> DataFrame | None:

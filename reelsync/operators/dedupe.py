@@ -153,7 +153,7 @@ def keep_first_keys(df: DataFrame, keys: list[list[str]],
         return keep_first(df, keys[0], order_cols)
     ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
-    tagged = tag_conflicts(df, keys)
+    tagged = tag_conflicts(df, keys).checkpoint()  # both branches read it
     alone = tagged.where(~F.col("__conflict")).select(*cols)
     ranked = rank_rows(tagged.where("__conflict").select(*cols), order_cols)
     key_cols = list(dict.fromkeys(c for key in keys for c in key))

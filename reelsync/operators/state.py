@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import HIGH_WATER
-from ..session import path_exists
+from ..session import list_names, path_exists, remove_path
 
 
 def empty_positions(spark: SparkSession) -> DataFrame:
@@ -44,9 +44,24 @@ def positions_of(highs: DataFrame, pass_id: int) -> DataFrame:
                         F.lit(pass_id).cast("long").alias("pass_id"))
 
 
+#: Files of saved rows beyond which they are merged into one.
+FILES = 64
+
+
 def save_positions(df: DataFrame, path: str) -> None:
-    """Append the pass's rows; small, so written as a single file."""
-    df.select(*HIGH_WATER.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+    """Append the pass's rows; small, so written as a single file. Where many
+    files have gathered, their latest rows are appended once more and the files
+    before them removed: a crash in between leaves repeated rows, which merge to
+    the same state."""
+    spark = df.sparkSession
+    old = [n for n in list_names(spark, path) if n.endswith(".parquet")]
+    rows = df.select(*HIGH_WATER.fieldNames())
+    if len(old) > FILES:
+        rows = merge_positions(read_positions(spark, path), rows)
+    rows.coalesce(1).write.mode("append").parquet(path)
+    if len(old) > FILES:
+        for name in old:
+            remove_path(spark, f"{path}/{name}")
 
 
 STATE_JSON_SCHEMA = "map<string, string>"

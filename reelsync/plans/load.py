@@ -126,7 +126,8 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
         docs, sent = counted(build_documents(tables, ids), "documents")
         version = upsert(docs, paths.documents, ["id"], schema=DOCUMENT, assume_unique=True)
         documents = rows_of(sent)
-    _save(tables, paths, high, pass_id)
+    if high != low:  # a pass that moved nothing leaves no row
+        _save(tables, paths, high, pass_id)
     return PassResult(pass_id, version, high, documents)
 
 

@@ -26,12 +26,12 @@ doc_terms AS (
 
 
 @register("text_terms", TERMS_CTE + "SELECT doc_id, term, tf FROM doc_terms")
-def text_terms_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_terms_q(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """T-1..T-5: term frequencies of every document's whole text."""
-    return text_terms(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return text_terms(read_table(spark, sf_dir, "documents", partitions), "doc_id", "text")
 
 
 @register("term_df", TERMS_CTE + "SELECT term, count(*) AS df FROM doc_terms GROUP BY term")
-def term_df_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def term_df_q(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """T-5: document frequency of every term."""
-    return term_df(text_terms(read_table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return term_df(text_terms(read_table(spark, sf_dir, "documents", partitions), "doc_id", "text"))

@@ -14,9 +14,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A parquet table; ``spark.sql.files.maxPartitionBytes`` sets its splits."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """A parquet table; ``spark.sql.files.maxPartitionBytes`` sets its splits. A
+    caller who knows that a small table is one row group (one split, whatever
+    that setting) may have its rows dealt to ``partitions`` tasks."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return df if partitions is None else df.repartition(partitions)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,

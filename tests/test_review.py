@@ -203,7 +203,9 @@ def test_sources_and_the_timed_command(spark, tmp_path, capsys):
     assert main(["stream", "--parquet", root, "--root", out, "--master", "local[*]", "--passes", "2"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert [(x["pass_id"], x["version"], x["documents"]) for x in lines] == [(1, 1, 1), (2, 1, 0)]
-    assert main(["copy", "--parquet", root, "--root", out, "--master", "local[*]"]) == 0
+    with pytest.raises(Exception, match="no uuid"):  # text ids are held to be uuids
+        main(["copy", "--parquet", root, "--root", f"{out}/strict", "--master", "local[*]"])
+    assert main(["copy", "--parquet", root, "--root", out, "--master", "local[*]", "--any-keys"]) == 0
     rows = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert len(rows) == 5 and all(r["match"] for r in rows)
     ran = []
