@@ -16,15 +16,10 @@ from pyspark.sql import types as T
 
 from ..schemas import ENTITIES
 from ..sources.film import FilmTables
+from ..sources.link_index import LINKS, LinkIndex
 
 Position = dt.datetime | None
 
-# Link table and its entity column, per changed entity.
-LINKS = {
-    "person": ("person_film_work", "person_id"),
-    "genre": ("genre_film_work", "genre_id"),
-}
-
 
 def position_literal(pos: dt.datetime, ts_type: T.DataType) -> F.Column:
     """A position typed like the column it bounds, so the comparison needs no
@@ -96,15 +91,23 @@ def linked_film_ids(changed: DataFrame, links: DataFrame, entity_col: str) -> Da
     return hit.select(F.col("film_work_id").alias("id"))
 
 
-def films_by_entity(tables: FilmTables, changed: DataFrame, entity: str) -> DataFrame:
+def _candidates(tables: FilmTables, changed: DataFrame, entity: str, index: LinkIndex | None) -> DataFrame:
+    """Film ids linked to changed entities: from the index where there is one,
+    else from all links."""
+    if index is not None:
+        return index.linked_film_ids(changed, entity)
+    table, col = LINKS[entity]
+    return linked_film_ids(changed, tables.as_dict()[table], col)
+
+
+def films_by_entity(tables: FilmTables, changed: DataFrame, entity: str, index: LinkIndex | None = None) -> DataFrame:
     """J-5: distinct ids of existing films linked to changed persons or genres.
 
     Written as a semi join of the film table: each film once, no DISTINCT
     shuffle, and links to missing films are ignored as in the inner join the
     reference's SQL amounts to.
     """
-    table, col = LINKS[entity]
-    return _existing_films(tables, linked_film_ids(changed, tables.as_dict()[table], col))
+    return _existing_films(tables, _candidates(tables, changed, entity, index))
 
 
 def _existing_films(tables: FilmTables, candidates: DataFrame) -> DataFrame:
@@ -117,7 +120,7 @@ def _existing_films(tables: FilmTables, candidates: DataFrame) -> DataFrame:
     return films.join(cand, films["id"] == cand["__cand"], "left_semi")
 
 
-def affected_films(tables: FilmTables, changed: dict[str, DataFrame]) -> DataFrame:
+def affected_films(tables: FilmTables, changed: dict[str, DataFrame], index: LinkIndex | None = None) -> DataFrame:
     """U-1 / O-4: films touched by changed films, persons or genres.
 
     A changed film affects itself (D-6 fixed); person and genre changes fan
@@ -129,8 +132,7 @@ def affected_films(tables: FilmTables, changed: dict[str, DataFrame]) -> DataFra
         parts.append(changed["film_work"].select("id"))
     for entity in ("person", "genre"):
         if changed.get(entity) is not None:
-            table, col = LINKS[entity]
-            parts.append(linked_film_ids(changed[entity], tables.as_dict()[table], col))
+            parts.append(_candidates(tables, changed[entity], entity, index))
     if not parts:
         return tables.film_work.select("id").where(F.lit(False))
     cand = parts[0]

@@ -207,3 +207,36 @@ def copy_tables(sources: dict[str, DataFrame], target_root: str,
 
 def _read_target(spark, path: str, table: str) -> DataFrame | None:
     return spark.read.schema(TARGETS[table]).parquet(path) if path_exists(spark, path) else None
+
+
+PLACES = 1024  # buckets of keys whose checksums are compared
+
+
+def _hashed(df: DataFrame, table: str, places: int) -> DataFrame:
+    """Key, its bucket, and a hash of the whole row (NULLs at their place)."""
+    key = PRIMARY_KEY[table]
+    row = F.xxhash64(*[F.coalesce(F.col(f.name).cast("string"), F.lit("\\N")) for f in TARGETS[table].fields])
+    return df.select(*key, F.pmod(F.xxhash64(*key), F.lit(places)).cast("int").alias("place"), row.alias("row"))
+
+
+def unequal_rows(table: str, source: DataFrame, target: DataFrame, places: int = PLACES) -> DataFrame:
+    """Q-1 / D-20, rows and not only their number: keys of ``source`` and
+    ``target`` (rows of the target's types) whose rows differ, with ``kind``
+    ``missing``, ``extra`` or ``altered``.
+
+    Both sides are summed up per bucket of keys: a count and a sum of row hashes,
+    which no order changes and every task adds up for itself. Only the rows of
+    unequal buckets (at most ``places`` numbers go through the driver) are then
+    shuffled and compared by key; in equal tables that is none. A key that
+    repeats on a side is compared by its rows' hashes added up.
+    """
+    sides = [_hashed(df, table, places) for df in (source, target)]
+    sums = [df.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("row").cast("decimal(38,0)")).alias("sum"))
+            .select("place", F.struct("n", "sum").alias(name)) for df, name in zip(sides, ("s", "t"))]
+    unequal = [r[0] for r in sums[0].join(sums[1], "place", "full").where("not (s <=> t)").select("place").collect()]
+    key = PRIMARY_KEY[table]
+    rows = [df.where(F.col("place").isin(unequal)).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("row").cast("decimal(38,0)")).alias("sum"))
+        .select(*key, F.struct("n", "sum").alias(name)) for df, name in zip(sides, ("s", "t"))]
+    kind = F.when(F.col("t").isNull(), "missing").when(F.col("s").isNull(), "extra").otherwise("altered")
+    return rows[0].join(rows[1], key, "full").where("not (s <=> t)").select(*key, kind.alias("kind"))

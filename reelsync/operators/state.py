@@ -85,3 +85,22 @@ def positions_from_json(state: DataFrame, pass_id: int = 0) -> DataFrame:
 def as_dict(current: DataFrame) -> dict[str, dt.datetime | None]:
     """The current positions on the driver: one row per entity (bounded)."""
     return {r["entity"]: r["position"] for r in current.collect()}
+
+
+#: Fixed value: the zone of the reference's wall-clock times, three hours ahead
+#: of UTC whatever the season (the sign in this name is the other way round).
+ZONE = "Etc/GMT-3"
+
+
+def to_zone(current: DataFrame, zone: str = ZONE) -> DataFrame:
+    """F-8: the positions with ``local``, their ISO text in a zone. A position
+    stays the instant it is; neither the driver's nor the session's zone matters."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("position"))
+    return current.withColumn("local", F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
+def from_zone(texts: DataFrame, zone: str = ZONE) -> DataFrame:
+    """The inverse: positions from ``entity`` and ``local`` texts of a zone, as
+    state written by a process on that zone's clock holds them."""
+    position = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.to_timestamp_ntz("local"))
+    return texts.select("entity", position.alias("position"))

@@ -9,10 +9,11 @@ map-side before their shuffle, which keeps very common terms cheap.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_term, normalise_token, tokens
+from .sinks import read_current, upsert
 
 
 def text_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -25,3 +26,30 @@ def term_df(terms: DataFrame) -> DataFrame:
     """Document frequency per term from ``text_terms`` output (one row per
     document and term, so a count is the number of documents)."""
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def store_term_df(df: DataFrame, path: str, id_col: str, text_col: str) -> int:
+    """Write the document frequencies of all texts as a stored table."""
+    return upsert(term_df(text_terms(df, id_col, text_col)), path, ["term"], assume_unique=True)
+
+
+def change_term_df(old: DataFrame, new: DataFrame, path: str, id_col: str, text_col: str) -> int:
+    """Bring the stored frequencies up to date: ``old`` are the former texts of
+    the documents that changed or went, ``new`` their texts now with those of
+    new documents. Other texts are not read.
+
+    Each document counts minus one for the terms it had and plus one for those
+    it has; terms whose count moved are added to the stored counts by key. A
+    term that no document has any more stays with a count of zero, which
+    ``read_term_df`` leaves out.
+    """
+    signed = [text_terms(texts, id_col, text_col).select("term", F.lit(by).cast("long").alias("by"))
+              for texts, by in ((old, -1), (new, 1))]
+    moved = signed[0].unionByName(signed[1]).groupBy("term").agg(F.sum("by").alias("by")).where("by <> 0")
+    stored = read_current(old.sparkSession, path)
+    now = moved.join(stored, "term", "left").select("term", (F.coalesce("df", F.lit(0)) + F.col("by")).alias("df"))
+    return upsert(now, path, ["term"], assume_unique=True)
+
+
+def read_term_df(spark: SparkSession, path: str) -> DataFrame:
+    return read_current(spark, path).where("df <> 0")

@@ -12,7 +12,9 @@ from ..operators import changes as C
 from ..operators import state as S
 from ..operators.counts import counted, rows_of
 from ..operators.documents import enrich_fanout
+from ..session import shared_path
 from ..sources.fixtures import film_tables
+from ..sources.link_index import LinkIndex
 from . import oracle_views as V
 from .registry import register
 
@@ -100,6 +102,16 @@ def films_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.films_by_entity(t, changed["person"], "person")
 
 
+@register("films_by_person_indexed", FILMS_BY_PERSON_SQL)
+def films_by_person_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-5: the same through the link index, of which only the places of the
+    changed persons are read."""
+    t, changed = _changed(spark, sf_dir)
+    index = LinkIndex(shared_path(spark, "link_index", unique=True))
+    index.build(t)
+    return C.films_by_entity(t, changed["person"], "person", index)
+
+
 FILMS_BY_GENRE_SQL = V.with_views("film_work", "genre", "genre_film_work") + f"""
 SELECT fw.id FROM film_work fw
 WHERE EXISTS (SELECT 1 FROM genre_film_work gfw JOIN genre g ON g.id = gfw.genre_id
@@ -199,3 +211,18 @@ def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.write.format("noop").mode("overwrite").save()
         counts.append((entity, rows_of(seen)))
     return spark.createDataFrame(counts, "entity string, rows long")
+
+
+ZONED_SQL = V.with_views("film_work", "person", "genre") + "\nUNION ALL ".join(
+    f"SELECT '{e}' AS entity, max(modified) AS position, strftime(max(modified) + INTERVAL 3 HOUR, "
+    f"'%Y-%m-%dT%H:%M:%S.%f') AS local, max(modified) AS back FROM {e}" for e in ("film_work", "person", "genre"))
+
+
+@register("zoned_positions", ZONED_SQL)
+def zoned_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-8: the positions after a pass on the clock of a fixed zone, and read
+    back from those texts as the same instants."""
+    highs = S.positions_of(C.current_highs(film_tables(spark, sf_dir), C.ENTITIES), 1)
+    zoned = S.to_zone(highs).select("entity", "position", "local")
+    back = S.from_zone(zoned.select("entity", "local")).withColumnRenamed("position", "back")
+    return zoned.join(back, "entity")

@@ -23,6 +23,7 @@ from ..operators.sinks import current_version, upsert
 from ..schemas import DOCUMENT, ENTITIES
 from ..session import checkpoint_frame
 from ..sources.film import FilmTables
+from ..sources.link_index import LinkIndex
 
 
 @dataclass(frozen=True)
@@ -95,14 +96,15 @@ def bounded_highs(tables: FilmTables, low: dict, high: dict, max_changes: int) -
 
 def incremental_pass(tables: FilmTables, paths: SyncPaths,
                      look_back: dt.timedelta | None = None,
-                     max_changes: int | None = None) -> PassResult:
+                     max_changes: int | None = None, index: LinkIndex | None = None) -> PassResult:
     """One set-based pass over every change since the saved positions.
 
     The first run (no saved positions) is a full load (R-2), done once
     (D-11 fixed). Films affected by any entity are enriched once (U-1).
     ``max_changes`` bounds the work of one pass for a large backlog: each
     entity then advances by about that many changes per pass (see
-    :func:`bounded_highs`); repeated passes catch up.
+    :func:`bounded_highs`); repeated passes catch up. With an ``index`` of the
+    links, those of unchanged persons and genres are not read.
     """
     spark = tables.film_work.sparkSession
     saved = S.merge_positions(S.empty_positions(spark), S.read_positions(spark, paths.positions))
@@ -122,7 +124,7 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     version, documents = current_version(spark, paths.documents), 0
     if changed:
         # written once: the set restricts the films and both link tables
-        ids = checkpoint_frame(C.affected_films(tables, changed))
+        ids = checkpoint_frame(C.affected_films(tables, changed, index))
         docs, sent = counted(build_documents(tables, ids), "documents")
         version = upsert(docs, paths.documents, ["id"], schema=DOCUMENT, assume_unique=True)
         documents = rows_of(sent)

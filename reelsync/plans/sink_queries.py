@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.changes import position_literal
-from ..operators.copy import coerce, coerce_or_reject, copy_table, copy_tables, project_source
+from ..operators.copy import (coerce, coerce_or_reject, copy_table, copy_tables, project_source, typed_rows,
+                              unequal_rows)
 from ..operators.dedupe import insert_if_absent
 from ..operators.documents import build_documents
 from ..operators.quality import constraint_report, orphan_report, prune_links
-from ..operators.sinks import bulk_records, latest_per_key, merge_latest
+from ..operators.sinks import (bulk_records, current_version, latest_per_key, merge_latest, read_current, rebucket,
+                               upsert)
 from ..session import shared_path
 from ..sources.fixtures import event_links, film_tables, person_changes, source_tables
 from ..sources.tables import read_table
@@ -288,6 +290,43 @@ def document_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_latest(stored, feed.where(F.col("modified") > pos), ["id"], PERSON_VERSION)
 
 
+LAYERED_SQL = f"""WITH latest AS ({DOCUMENT_UPSERT_SQL})
+SELECT 'layers' AS state, * FROM latest UNION ALL SELECT 'merged', * FROM latest"""
+
+
+@register("layered_upsert", LAYERED_SQL)
+def layered_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-5 / R-5: the person change feed upserted in four batches, out of order
+    and one of them twice, each a layer over the first; the table as read through
+    its layers, and as read after they were merged into more buckets."""
+    feed, path = person_changes(spark, sf_dir), shared_path(spark, "layered_upsert", unique=True)
+    for part in (2, 0, 3, 0, 1):
+        upsert(feed.where(F.col("event_id") % 4 == part), path, ["id"], PERSON_VERSION, share=float("inf"))
+    layered = current_version(spark, path)
+    rebucket(spark, path, 48)
+    parts = [read_current(spark, path, version=v).select(F.lit(state).alias("state"), "*")
+             for state, v in (("layers", layered), ("merged", None))]
+    return parts[0].unionByName(parts[1])
+
+
+ALTERED_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS id,
+       CASE WHEN o_orderkey % 1000 = 7 THEN 'missing' ELSE 'altered' END AS kind
+FROM orders WHERE o_orderkey % 1000 IN (7, 8)
+UNION ALL SELECT 'new ' || CAST(o_orderkey AS VARCHAR), 'extra' FROM orders WHERE o_orderkey % 1000 = 7"""
+
+
+@register("altered_rows", ALTERED_SQL)
+def altered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-1 / D-20: a copy with as many rows as its source, some of which have
+    another title or another id: totals agree, the checksums name the rows."""
+    rows = typed_rows("film_work", source_tables(spark, sf_dir)["film_work"])
+    number = F.col("id").cast("long") % 1000
+    copy = rows.withColumns({"title": F.when(number == 8, F.concat("title", F.lit("?"))).otherwise(F.col("title")),
+                             "id": F.when(number == 7, F.concat(F.lit("new "), "id")).otherwise(F.col("id"))})
+    return unequal_rows("film_work", rows, copy)
+
+
 def _json_refs(role: str) -> str:
     return f"""{role}s_json AS (
   SELECT id, to_json(list(struct_pack(id := CAST(person_id AS VARCHAR), name := person_name)

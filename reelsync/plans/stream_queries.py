@@ -16,6 +16,7 @@ from ..session import shared_path
 from ..sources.film import FilmTables
 from ..sources.fixtures import film_tables, person_changes
 from ..sources.tables import stream_table
+from ..streaming.batch_counts import BatchCounts
 from ..streaming.streams import after_position, affected_documents_stream, run_to_end, upsert_stream
 from ..operators.state import save_positions
 from ..schemas import HIGH_WATER
@@ -39,6 +40,19 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register("stream_batch_counts", "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows FROM events")
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-9 in streams: the rows of each micro-batch of the person change feed,
+    counted while it is upserted; running the stream again adds none."""
+    base = shared_path(spark, "stream_batch_counts", unique=True)
+    for _ in range(2):
+        counts = BatchCounts(spark, f"{base}/counts")
+        feed = person_changes(spark, sf_dir, events=stream_table(spark, sf_dir, "events"))
+        run_to_end(upsert_stream(feed, f"{base}/table", f"{base}/checkpoint", ["id"], PERSON_VERSION, counts=counts))
+        counts.close()
+    return counts.read()
+
+
 STREAM_AFFECTED_SQL = ("SELECT d.* FROM (" + FILM_DOCUMENTS_SQL + ") d WHERE d.id IN (SELECT "
                        "CAST(f.id AS VARCHAR) FROM (" + FILMS_BY_PERSON_SQL + ") f)")
 

@@ -23,6 +23,8 @@ from ..operators.sinks import upsert
 from ..schemas import DOCUMENT
 from ..session import checkpoint_frame
 from ..sources.film import FilmTables
+from ..sources.link_index import LinkIndex
+from .batch_counts import BatchCounts
 
 
 def _trigger(writer, trigger: dict | None):
@@ -45,33 +47,55 @@ def after_position(changes: DataFrame, position: dt.datetime | None,
 
 def upsert_stream(changes: DataFrame, path: str, checkpoint: str, key: list[str],
                   version_cols: list[str] | None = None,
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, counts: BatchCounts | None = None) -> StreamingQuery:
     """R-1 / R-3 / R-4 / R-5: keep the latest row per key of a change feed.
     Within a micro-batch the latest change per key wins (R-4); across
-    batches the versioned upsert decides."""
+    batches the versioned upsert decides. ``counts`` keeps the rows of each
+    micro-batch (A-9)."""
+    if counts is not None:
+        changes = counts.observe(changes)
+
     def apply(batch: DataFrame, epoch_id: int) -> None:
         upsert(batch, path, key, version_cols)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger).start()
+    query = _trigger(writer, trigger).start()
+    if counts is not None:
+        counts.follow(query)
+    return query
 
 
 def affected_documents_stream(changes: dict[str, DataFrame],
                               open_tables: Callable[[], FilmTables], path: str, checkpoint: str, trigger: dict | None = None,
-                              on_batch: Callable[[int, DataFrame], None] | None = None
+                              on_batch: Callable[[int, DataFrame], None] | None = None,
+                              index: LinkIndex | None = None, repeats_within: str | None = None
                               ) -> StreamingQuery:
     """R-6: entity change feeds fan out to films, whose documents are rebuilt
     and upserted. ``changes`` maps an entity (film_work, person, genre) to a
     streaming frame with an ``id`` column. The feeds are unioned into one
     query so a single writer owns the document table. ``open_tables`` is called
     in every micro-batch: a frame keeps the file list it was opened with, so a
-    link added later would stay unseen.
+    link added later would stay unseen. With an ``index`` of the links, those of
+    unchanged entities are not read.
+
+    ``repeats_within`` (a delay such as ``"1 hour"``) also drops a change that an
+    earlier micro-batch has had (R-4): the same entity, id and ``modified``,
+    arriving again within that delay, rebuilds nothing. The state store holds the
+    changes of that delay alone; the watermark takes the older ones out. A change
+    without ``modified`` is never a repeat.
     """
-    tagged = [df.select(F.lit(entity).alias("entity"), F.col("id").cast("string").alias("id"))
+    timed = [F.col("modified").cast("timestamp").alias("modified")] if repeats_within else []
+    tagged = [df.select(F.lit(entity).alias("entity"), F.col("id").cast("string").alias("id"), *timed)
               for entity, df in changes.items()]
     feed = tagged[0]
     for t in tagged[1:]:
         feed = feed.unionByName(t)
+    if repeats_within:
+        # NULLs would be one key: each undated change gets a value of its own
+        feed = (feed.withColumn("__change", F.coalesce(F.col("modified").cast("string"), F.uuid()))
+                .withWatermark("modified", repeats_within)
+                .dropDuplicatesWithinWatermark(["entity", "id", "__change"]))
+
     def apply(batch: DataFrame, epoch_id: int) -> None:
         ids = batch.dropDuplicates(["entity", "id"])    # R-4: each id once per batch
         # Entities present in this batch (at most three names on the driver);
@@ -83,7 +107,7 @@ def affected_documents_stream(changes: dict[str, DataFrame],
         changed = {e: ids.where(F.col("entity") == e)
                    .select(F.col("id").cast(tables.as_dict()[e].schema["id"].dataType).alias("id"))
                    for e in present}
-        films = checkpoint_frame(affected_films(tables, changed))
+        films = checkpoint_frame(affected_films(tables, changed, index))
         docs = build_documents(tables, films)
         upsert(docs, path, ["id"], schema=DOCUMENT, assume_unique=True)
         if on_batch is not None:
