@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -153,7 +153,10 @@ def keep_first_keys(df: DataFrame, keys: list[list[str]],
         return keep_first(df, keys[0], order_cols)
     ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
-    tagged = tag_conflicts(df, keys).checkpoint()  # both branches read it
+    seen = Observation("rows that share a key")
+    tagged = tag_conflicts(df, keys).observe(seen, F.count_if("__conflict").alias("rows")).checkpoint()
+    if not seen.get.get("rows", 0):  # no row has a rival: nothing to rank
+        return tagged.select(*cols)
     alone = tagged.where(~F.col("__conflict")).select(*cols)
     ranked = rank_rows(tagged.where("__conflict").select(*cols), order_cols)
     key_cols = list(dict.fromkeys(c for key in keys for c in key))

@@ -15,6 +15,7 @@ changes are read as they are. A bucket whose changes pass ``SHARE`` of its base
 gets a new base in the same commit, so a row is rewritten once per that many
 changes; one with more than ``LAYERS`` small layers gets them merged into one,
 without reading the base. ``rebucket`` writes a grown table in more buckets.
+``delete`` lays tombstones over the base, rows that say that their key is gone.
 
 A write never touches files being read, and every attempt has a folder of its
 own: a crash before the log file leaves the old version current and costs some
@@ -40,7 +41,7 @@ from ..session import checkpoint_frame, list_names, remove_path
 from . import versions as V
 from .versions import BUCKET, ConcurrentWrite, Version
 
-__all__ = ["ConcurrentWrite", "bulk_records", "current_version", "ensure_target", "latest_per_key", "merge_latest",
+__all__ = ["ConcurrentWrite", "bulk_records", "current_version", "delete", "ensure_target", "latest_per_key", "merge_latest",
            "read_current", "rebucket", "upsert", "vacuum", "write_bulk", "write_documents"]
 
 BUCKETS = 32     # of a new table; each holds about 1/32 of the keys
@@ -48,6 +49,7 @@ KEEP = 2         # versions whose files stay readable
 SHARE = 0.25     # of a base's rows that its changes may reach
 LAYERS = 8       # of changes over a base
 SEQUENCE = "__sequence"
+GONE = "__gone"  # of a change: its key has no row any more
 
 
 def latest_per_key(df: DataFrame, key: list[str], version_cols: list[str] | None = None) -> DataFrame:
@@ -106,12 +108,14 @@ def _read(spark: SparkSession, schema: T.StructType, folders: list[str]) -> Data
 
 
 def _changes(spark: SparkSession, path: str, version: Version, buckets: list[int]) -> DataFrame:
-    """The last change of each key in the layers above the bases of ``buckets``."""
+    """The last change of each key in the layers above the bases of ``buckets``,
+    with ``GONE``."""
+    schema = T.StructType([*version.struct().fields, T.StructField(GONE, T.BooleanType())])
     by_age: dict[int, list[str]] = {}
     for b in buckets:
         for folder, _, number in version.layers[b][1:]:
             by_age.setdefault(number, []).append(V.bucket_path(path, folder, b))
-    parts = [_read(spark, version.struct(), folders).withColumn(SEQUENCE, F.lit(number))
+    parts = [_read(spark, schema, folders).withColumn(SEQUENCE, F.lit(number))
              for number, folders in sorted(by_age.items())]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
     if len(parts) == 1:  # a layer has one row per key
@@ -126,8 +130,9 @@ def _resolved(spark: SparkSession, path: str, version: Version, buckets: list[in
     changed = [b for b in buckets if len(version.layers[b]) > 1]
     if not changed:
         return _read(spark, version.struct(), bases(plain))
-    merged = merge_latest(_read(spark, version.struct(), bases(changed)), _changes(spark, path, version, changed),
-                          version.key, version.order, assume_unique=True)
+    held = _read(spark, version.struct(), bases(changed)).withColumn(GONE, F.lit(None).cast("boolean"))
+    merged = merge_latest(held, _changes(spark, path, version, changed), version.key, version.order, assume_unique=True)
+    merged = merged.where(F.col(GONE).isNull()).drop(GONE)
     return _read(spark, version.struct(), bases(plain)).unionByName(merged) if plain else merged
 
 
@@ -183,15 +188,38 @@ def upsert(updates: DataFrame, path: str, key: list[str],
     if schema is not None:
         check_strict(updates.schema, schema)
     state = V.load(spark, path)
-    known = state is not None
     if state is None:
         state = Version(0, (schema or updates.schema).json(), [], [], [[] for _ in range(buckets)])
-    state = replace(state, number=state.number + 1, key=state.key or list(key),
-                      order=state.order if state.key else list(version_cols or []))
-    if state.key != list(key) or state.order != list(version_cols or []):
+    if state.key and [state.key, state.order] != [list(key), list(version_cols or [])]:
         raise ValueError(f"{path} has key {state.key} and version columns {state.order}")
-    folders = [V.new_folder(state.number)]
+    state = replace(state, key=list(key), order=list(version_cols or []))
     rows = dedupe_updates(updates.select(*state.struct().fieldNames()), key, version_cols, assume_unique)
+    return _commit(rows, path, state, keep, share, layers, create)
+
+
+def delete(keys: DataFrame, path: str, keep: int = KEEP, share: float = SHARE, layers: int = LAYERS) -> int:
+    """Q-4: take the rows of ``keys`` (the table's key columns, and its version
+    columns where it has any: a row of a later version stays) out of the table;
+    returns the new version. Like an upsert it writes what it is sent, here
+    tombstones; keys without a row do no harm."""
+    spark = keys.sparkSession
+    state = V.load(spark, path)
+    if state is None or not state.key:
+        return state.number if state else 0
+    given = [*state.key, *state.order]
+    rows = latest_per_key(keys.select(*given), state.key, state.order)
+    based = [b for b, held in enumerate(state.layers) if held]  # elsewhere there is nothing to lay a tombstone on
+    rows = rows.where(_place(state.key, len(state.layers)).isin(based))
+    rows = rows.select(*[F.col(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in state.struct().fields], F.lit(True).alias(GONE))
+    return _commit(rows, path, state, keep, share, layers, create=False)
+
+
+def _commit(rows: DataFrame, path: str, state: Version, keep: int, share: float, layers: int, create: bool) -> int:
+    """Write ``rows`` (one per key) as the next version's changes and publish it."""
+    spark, known = rows.sparkSession, state.number > 0
+    state = replace(state, number=state.number + 1)
+    folders, key = [V.new_folder(state.number)], state.key
     try:
         sent = _write(rows, path, folders[0], key, len(state.layers))
         if not sent and (known or not create):
@@ -207,7 +235,8 @@ def upsert(updates: DataFrame, path: str, key: list[str],
                 continue
             folders.append(V.new_folder(state.number))
             made = _write(find(spark, path, state, chosen), path, folders[-1], key, len(state.layers))
-            state = state.with_layers([old[:below] + [[folders[-1], made[b], state.number]] if b in chosen else old
+            # a bucket that lost all its rows has no folder
+            state = state.with_layers([old[:below] + [[folders[-1], made.get(b), state.number]] * (b in made) if b in chosen else old
                                        for b, old in enumerate(state.layers)])
         V.publish(spark, path, state)
     except BaseException:

@@ -19,7 +19,8 @@ from ..operators import changes as C
 from ..operators import state as S
 from ..operators.counts import counted, rows_of
 from ..operators.documents import build_documents
-from ..operators.sinks import current_version, upsert
+from ..operators.quality import prune_links
+from ..operators.sinks import current_version, delete, upsert
 from ..schemas import DOCUMENT, ENTITIES
 from ..session import checkpoint_frame
 from ..sources.film import FilmTables
@@ -94,9 +95,72 @@ def bounded_highs(tables: FilmTables, low: dict, high: dict, max_changes: int) -
     return out
 
 
+def slice_backlog(tables: FilmTables, low: dict, high: dict, max_changes: int) -> list[dict]:
+    """O-1 / O-4 for a long backlog: the upper bounds of the passes that cut
+    ``(low, high]`` into about ``max_changes`` changes of each entity, oldest
+    first; the last one is ``high``.
+
+    The bounds are quantiles of ``modified`` from one sketch per entity (its
+    error is a twentieth of a pass), so no pass sorts the backlog. Changes at the
+    same time are never split: where many share one time, a pass is larger.
+    """
+    cuts = {}
+    for e in ENTITIES:
+        if high.get(e) is None:
+            continue
+        df = C.entity_table(tables, e)
+        zone = df.schema["modified"].dataType
+        micros = F.unix_micros(C.without_zone(F.col("modified"), zone).cast("timestamp"))
+        found = C.changed_since(df, low.get(e), high[e])
+        passes = -(-found.count() // max_changes)
+        marks = []
+        if passes > 1:
+            share = [i / passes for i in range(1, passes)]
+            marks = found.agg(F.percentile_approx(micros, share, 20 * passes).alias("at")).first()["at"]
+        # as the bound's own type: wall-clock values without a zone
+        session = tables.film_work.sparkSession
+        texts = session.createDataFrame([(i, m) for i, m in enumerate(sorted(set(marks)))], "i int, m long")
+        texts = texts.select("i", F.timestamp_micros("m").cast("timestamp_ntz").alias("at")).orderBy("i")
+        cuts[e] = [r["at"] for r in texts.collect() if r["at"] < high[e]] + [high[e]]
+    length = max(map(len, cuts.values()), default=0)
+    return [{e: bounds[min(i, len(bounds) - 1)] for e, bounds in cuts.items()} for i in range(length)]
+
+
+def catch_up(tables: FilmTables, paths: SyncPaths, max_changes: int, index: LinkIndex | None = None) -> list[PassResult]:
+    """Work off a backlog in bounded passes (see :func:`slice_backlog`)."""
+    spark = tables.film_work.sparkSession
+    low = S.as_dict(S.merge_positions(S.empty_positions(spark), S.read_positions(spark, paths.positions)))
+    if not low:
+        return [full_load(tables, paths)]
+    bounds = slice_backlog(tables, low, _highs(tables, low), max_changes)
+    return [incremental_pass(tables, paths, index=index, upto=b) for b in bounds]
+
+
+def remove_entities(tables: FilmTables, removed: dict[str, DataFrame], paths: SyncPaths,
+                    index: LinkIndex | None = None) -> int:
+    """Q-4: rows of ``removed`` (entity -> frame with ``id``) are gone from the
+    sources; their links go with them and the stored documents follow: those of
+    removed films are deleted, those of films linked to removed persons or genres
+    built anew without them. ``tables`` are the tables before the removal.
+    Returns the documents' version."""
+    kept = tables.as_dict()
+    for e, ids in removed.items():
+        gone = ids.select(F.col("id").alias("__gone"))
+        kept[e] = kept[e].join(gone, kept[e]["id"] == gone["__gone"], "left_anti")
+    pruned = tables.replace(**{**kept, **prune_links(kept)})
+    others = {e: ids for e, ids in removed.items() if e != "film_work"}
+    if others:
+        touched = checkpoint_frame(C.affected_films(tables, others, index))
+        upsert(build_documents(pruned, touched), paths.documents, ["id"], schema=DOCUMENT, assume_unique=True)
+    if "film_work" in removed:
+        delete(removed["film_work"].select(F.col("id").cast("string").alias("id")), paths.documents)
+    return current_version(tables.film_work.sparkSession, paths.documents)
+
+
 def incremental_pass(tables: FilmTables, paths: SyncPaths,
                      look_back: dt.timedelta | None = None,
-                     max_changes: int | None = None, index: LinkIndex | None = None) -> PassResult:
+                     max_changes: int | None = None, index: LinkIndex | None = None,
+                     upto: dict | None = None) -> PassResult:
     """One set-based pass over every change since the saved positions.
 
     The first run (no saved positions) is a full load (R-2), done once
@@ -104,7 +168,8 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     ``max_changes`` bounds the work of one pass for a large backlog: each
     entity then advances by about that many changes per pass (see
     :func:`bounded_highs`); repeated passes catch up. With an ``index`` of the
-    links, those of unchanged persons and genres are not read.
+    links, those of unchanged persons and genres are not read. ``upto`` gives the
+    upper bounds instead of the newest changes (see :func:`catch_up`).
     """
     spark = tables.film_work.sparkSession
     saved = S.merge_positions(S.empty_positions(spark), S.read_positions(spark, paths.positions))
@@ -112,7 +177,7 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     if not low:
         return full_load(tables, paths)
     pass_id = max(r["pass_id"] for r in saved.collect()) + 1
-    high = _highs(tables, low)
+    high = _highs(tables, low) if upto is None else upto
     # An entity without a later row keeps its old position.
     high = {e: (high.get(e) if high.get(e) is not None else low.get(e)) for e in ENTITIES}
     if max_changes is not None:

@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import changes as C
 from ..operators.changes import position_literal
 from ..operators.documents import build_documents
 from ..operators.sinks import ensure_target, parquet_upsert_sink, read_current, write_documents
@@ -22,7 +23,7 @@ from ..operators.state import save_positions
 from ..schemas import HIGH_WATER
 from .change_queries import FILM_POSITION, FILMS_BY_PERSON_SQL, GENRE_POSITION, PERSON_POSITION
 from .document_queries import FILM_DOCUMENTS_SQL, documents_as_text
-from .load import SyncPaths, full_load, incremental_pass
+from .load import SyncPaths, catch_up, full_load, incremental_pass, remove_entities
 from .registry import register
 from .sink_queries import DOCUMENT_UPSERT_SQL, PERSON_VERSION
 
@@ -109,3 +110,36 @@ def incremental_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_positions(spark.createDataFrame(rows, HIGH_WATER), paths.positions)
     incremental_pass(tables, paths)
     return documents_as_text(read_current(spark, paths.documents, DOCUMENT))
+
+
+@register("backlog_documents", FILM_DOCUMENTS_SQL)
+def backlog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-1 / O-4: as ``incremental_documents``, but the changes since the
+    positions are worked off in four passes (more where persons lag behind)."""
+    base = shared_path(spark, "backlog_documents", unique=True)
+    tables = film_tables(spark, sf_dir)
+    paths = SyncPaths(f"{base}/documents", f"{base}/positions")
+    full_load(older_tables(tables), paths, pass_id=0)
+    rows = [("film_work", FILM_POSITION, 1), ("person", PERSON_POSITION, 1), ("genre", GENRE_POSITION, 1)]
+    save_positions(spark.createDataFrame(rows, HIGH_WATER), paths.positions)
+    pending = C.changed_since(tables.film_work, FILM_POSITION).count()
+    catch_up(tables, paths, max_changes=max(100, -(-pending // 4)))
+    return documents_as_text(read_current(spark, paths.documents, DOCUMENT))
+
+
+REMOVED_SQL = (FILM_DOCUMENTS_SQL
+               .replace("FROM orders)", "FROM orders WHERE o_orderkey % 50 <> 7)")
+               .replace("FROM lineitem GROUP BY 1, 2, 3", "FROM lineitem WHERE l_suppkey % 10 <> 3 GROUP BY 1, 2, 3"))
+
+
+@register("removed_documents", REMOVED_SQL)
+def removed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-4 end to end: every film loaded, then a tenth of the persons and a
+    fiftieth of the films removed; the stored documents without them."""
+    base = shared_path(spark, "removed_documents", unique=True)
+    tables = film_tables(spark, sf_dir)
+    paths = SyncPaths(f"{base}/documents", f"{base}/positions")
+    full_load(tables, paths)
+    remove_entities(tables, {"person": tables.person.where(F.col("id") % 10 == 3),
+                             "film_work": tables.film_work.where(F.col("id") % 50 == 7)}, paths)
+    return documents_as_text(read_current(spark, paths.documents, DOCUMENT))
