@@ -60,3 +60,9 @@ def is_term(tok: Column) -> Column:
 def analyze(text: Column) -> Column:
     """The whole analyser as one array-valued expression (per document)."""
     return F.filter(F.transform(tokens(text), normalise_token), is_term)
+
+
+def distinct_terms(text: Column) -> Column:
+    """The different terms of a text. Repeated tokens go before the analyser's
+    per-token work, and tokens that became the same term after it."""
+    return F.array_distinct(F.filter(F.transform(F.array_distinct(tokens(text)), normalise_token), is_term))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import is_term, normalise_token, tokens
+from ..functions.text import distinct_terms, is_term, normalise_token, tokens
 from .sinks import read_current, upsert
 
 
@@ -28,12 +28,20 @@ def term_df(terms: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def store_term_df(df: DataFrame, path: str, id_col: str, text_col: str) -> int:
+def document_frequency(df: DataFrame, text_col: str) -> DataFrame:
+    """Document frequency per term straight from the texts, a row a document: a
+    text's terms are made distinct where it is read, so that no pair of document
+    and term is shuffled, only each task's count per term."""
+    terms = df.select(F.explode(distinct_terms(F.col(text_col))).alias("term"))
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def store_term_df(df: DataFrame, path: str, text_col: str) -> int:
     """Write the document frequencies of all texts as a stored table."""
-    return upsert(term_df(text_terms(df, id_col, text_col)), path, ["term"], assume_unique=True)
+    return upsert(document_frequency(df, text_col), path, ["term"], assume_unique=True)
 
 
-def change_term_df(old: DataFrame, new: DataFrame, path: str, id_col: str, text_col: str) -> int:
+def change_term_df(old: DataFrame, new: DataFrame, path: str, text_col: str) -> int:
     """Bring the stored frequencies up to date: ``old`` are the former texts of
     the documents that changed or went, ``new`` their texts now with those of
     new documents. Other texts are not read.
@@ -43,7 +51,7 @@ def change_term_df(old: DataFrame, new: DataFrame, path: str, id_col: str, text_
     term that no document has any more stays with a count of zero, which
     ``read_term_df`` leaves out.
     """
-    signed = [text_terms(texts, id_col, text_col).select("term", F.lit(by).cast("long").alias("by"))
+    signed = [texts.select(F.explode(distinct_terms(F.col(text_col))).alias("term"), F.lit(by).cast("long").alias("by"))
               for texts, by in ((old, -1), (new, 1))]
     moved = signed[0].unionByName(signed[1]).groupBy("term").agg(F.sum("by").alias("by")).where("by <> 0")
     stored = read_current(old.sparkSession, path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS
-from ..operators.terms import change_term_df, read_term_df, store_term_df, term_df, text_terms
+from ..operators.terms import change_term_df, document_frequency, read_term_df, store_term_df, text_terms
 from ..session import shared_path
 from ..sources.tables import read_table
 from .registry import register
@@ -36,7 +36,7 @@ def text_terms_q(spark: SparkSession, sf_dir: str, partitions: int | None = None
 @register("term_df", TERMS_CTE + "SELECT term, count(*) AS df FROM doc_terms GROUP BY term")
 def term_df_q(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """T-5: document frequency of every term."""
-    return term_df(text_terms(read_table(spark, sf_dir, "documents", partitions), "doc_id", "text"))
+    return document_frequency(read_table(spark, sf_dir, "documents", partitions), "text")
 
 
 @register("term_df_changes", TERMS_CTE + "SELECT term, count(*) AS df FROM doc_terms GROUP BY term")
@@ -50,6 +50,6 @@ def term_df_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = edited.withColumn("text", F.reverse("text"))
     gone = docs.where(number == 5).withColumn("doc_id", -F.col("doc_id") - 1)
     path = shared_path(spark, "term_df_changes", unique=True)
-    store_term_df(docs.where(number > 2).unionByName(old).unionByName(gone), path, "doc_id", "text")
-    change_term_df(old.unionByName(gone), docs.where(number <= 2), path, "doc_id", "text")
+    store_term_df(docs.where(number > 2).unionByName(old).unionByName(gone), path, "text")
+    change_term_df(old.unionByName(gone), docs.where(number <= 2), path, "text")
     return read_term_df(spark, path)

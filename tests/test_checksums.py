@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelsync.operators import copy as C
-from reelsync.operators.terms import change_term_df, read_term_df, store_term_df, term_df, text_terms
+from reelsync.operators.terms import change_term_df, document_frequency, read_term_df, store_term_df, term_df, text_terms
 from reelsync.schemas import TARGETS
 
 from .conftest import ts
@@ -55,11 +55,14 @@ def test_term_counts_by_changes(spark, tmp_path):
     before = [(1, "the red fox"), (2, "red dog dog"), (3, None), (4, ""), (5, "lonely term")]
     after = [(1, "the blue fox"), (2, "red dog dog"), (3, "red"), (4, "fox"), (6, "dog")]
     path = str(tmp_path / "df")
-    store_term_df(texts(before), path, "id", "text")
+    store_term_df(texts(before), path, "text")
     changed = lambda rows, other: texts([r for r in rows if r not in other])
-    change_term_df(changed(before, after), changed(after, before), path, "id", "text")
+    change_term_df(changed(before, after), changed(after, before), path, "text")
     want = sorted(map(tuple, term_df(text_terms(texts(after), "id", "text")).collect()))
     assert sorted(map(tuple, read_term_df(spark, path).collect())) == want
     assert "lonely" not in dict(want)
-    change_term_df(texts([]), texts([]), path, "id", "text")  # nothing changed
+    odd = texts([(1, "dog's dog 'dog' DOG's"), (2, "the the"), (3, "it's o'clock")])
+    assert sorted(map(tuple, document_frequency(odd, "text").collect())) == \
+        sorted(map(tuple, term_df(text_terms(odd, "id", "text")).collect()))
+    change_term_df(texts([]), texts([]), path, "text")  # nothing changed
     assert sorted(map(tuple, read_term_df(spark, path).collect())) == want
