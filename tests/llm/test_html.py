@@ -4,6 +4,9 @@ import html
 import itertools
 import random
 import re
+import time
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -84,6 +87,79 @@ def test_smoothness_decides_a_weak_block():
     assert H.main_text("<div><a href=x>ok</a></div>") == ""
 
 
+def test_an_ordinary_word_is_weighed_with_the_text():
+    for name in ("social-history", "legal-theory", "search-for-meaning", "response-to-critics"):
+        assert H.main_text(f'<div id="{name}"><p>{LONG}</p><p>{LONG}</p></div>') == f"{LONG} {LONG}", name
+    for name in ("social-links", "responses", "search-box", "legal", "related_items", "header-top", "promo-box-2"):
+        assert H.main_text(f'<article><p>{LONG}</p></article><div class="{name}"><p>{LONG}</p></div>') == LONG, name
+
+
+def test_rights_line():
+    for line in ("© 2024 The Press Company Ltd.", "Copyright 2023 by the authors of this page.",
+                 "(c) 1999 A person. All rights reserved."):
+        assert H.main_text(f"<body><p>{LONG}</p><p>{LONG}</p><p>{line}</p></body>") == f"{LONG} {LONG}"
+        assert H.main_text(f"<article><p>{LONG}</p><p>{line}</p></article>") == f"{LONG} {line}"
+    law = "Copyright law is the subject of this long paragraph, which therefore begins with that very word."
+    assert H.main_text(f"<body><p>{LONG}</p><p>{law}</p></body>") == f"{LONG} {law}"
+
+
+def plain_tag_end(page, at):
+    """Direct reading: quoted values are skipped, from each tag anew."""
+    while at < len(page):
+        if page[at] == ">":
+            return at
+        if page[at] in "\"'":
+            at = page.find(page[at], at + 1)
+            if at < 0:
+                return None
+        at += 1
+    return None
+
+
+def test_tag_ends_equal_a_direct_reading():
+    draw = random.Random(6)
+    for _ in range(3_000):
+        page = "".join(draw.choice("<a>\"' =") for _ in range(draw.randint(0, 30)))
+        tags = H.Tags(page)
+        for at in range(len(page)):
+            assert tags.end(at) == plain_tag_end(page, at), (page, at)
+
+
+def test_shared_elements_and_edges():
+    """Numbers of common elements, and the edges over them, from whole paths."""
+    draw = random.Random(8)
+    names = ["div", "p", "ul", "li", "section", "b", "body", "button"]
+    for _ in range(400):
+        page = "".join(draw.choice([f"<{n}>", f"</{n}>", "text "]) for n in draw.choices(names, k=draw.randint(1, 60)))
+        found = H.blocks(page)
+        paths = []
+        for b in found:
+            path, e = [], b.element
+            while e is not None and e.name:
+                path[:0] = [e] * (e.name not in H.OUTER)
+                e = e.parent
+            paths.append(path)
+            assert b.element.depth == len(path)
+        for (i, b), before in zip(list(enumerate(found))[1:], paths):
+            common = sum(1 for _ in itertools.takewhile(lambda xy: xy[0] is xy[1], zip(before, paths[i])))
+            assert b.shared == common, page
+        edges = H.smoothness(found)
+        assert len(edges) <= 2 * len(found) and all(a < b for a, b, _ in edges)
+
+
+@pytest.mark.parametrize("piece", [
+    "<div>Some text here. ", '<a title="x ', "<a <b 'x \"y ", "<a<b", "<b><i>x", "<b><div></b></i></x>t", "<b><li>t</li>",
+    "<form><p>text", "<!-", "<p>A sentence of the text.</p><div class=ad>x"])
+def test_a_megabyte_of_broken_markup_takes_linear_time(piece):
+    times = []
+    for n in (250_000, 1_000_000):
+        start = time.process_time()
+        H.main_text(piece * (n // len(piece)))
+        times.append(time.process_time() - start)
+    assert times[1] < 8 * times[0] + 1  # a square would take sixteen times as long
+    assert times[1] < 10
+
+
 def test_tables(spark):
     schema = "page_id long, url string, html string"
     rows = [(1, "u", "<p>Some text that is kept.</p>"), (1, "u", "<p>Some text that is kept.</p>"), (2, None, None),
