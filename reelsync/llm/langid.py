@@ -212,10 +212,13 @@ _WORKER: dict[str, Scorer] = {}
 
 def identify(docs: DataFrame, labelled: DataFrame, id: str = "doc_id", text: str = "text",
              lang: str = "lang", label_id: str = "doc_id", per_lang: int = TRAIN_DOCS,
-             drop: tuple[str, ...] = ()) -> DataFrame:
+             drop: tuple[str, ...] = (), bits: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, learned from the rows of
     ``labelled`` (``label_id``, ``text``, ``lang``; rows without a language or
-    text are left out)."""
+    text are left out). With ``bits``, a column of that name holds the text's
+    code length under the predicted language (NULL where there is none): the
+    score only tells the languages apart, the length tells whether the text is
+    in any of them."""
     rows = only(labelled, label_id, text, lang).where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sample = training_sample(rows, label_id, lang, per_lang)
     model = [(r.lang, r.gram, r.n) for r in gram_counts(sample, lang, text).toLocalIterator()]
@@ -232,16 +235,20 @@ def identify(docs: DataFrame, labelled: DataFrame, id: str = "doc_id", text: str
         def work(batch):
             column = batch.column(text)
             if not langs:
-                return [[UNDETERMINED] * len(column), [0.0] * len(column)]
-            bits = scorer.code_lengths(column)
-            best = bits.argmin(axis=1)
-            behind = (bits - bits.min(axis=1, keepdims=True)) * TEMPER
+                return [[UNDETERMINED] * len(column), [0.0] * len(column)] + [[None] * len(column)] * (bits is not None)
+            lengths = scorer.code_lengths(column)
+            best = lengths.argmin(axis=1)
+            least = lengths.min(axis=1)
+            behind = (lengths - least[:, None]) * TEMPER
             sure = 1.0 / np.exp2(-np.minimum(behind, 1000.0)).sum(axis=1)
             letters = [t is not None and LETTER.search(t) is not None for t in column.to_pylist()]
-            return [[langs[b] if ok else UNDETERMINED for b, ok in zip(best, letters)],
-                    [float(s) if ok else 0.0 for s, ok in zip(sure, letters)]]
+            out = [[langs[b] if ok else UNDETERMINED for b, ok in zip(best, letters)],
+                   [float(s) if ok else 0.0 for s, ok in zip(sure, letters)]]
+            return out + [[float(n) if ok else None for n, ok in zip(least, letters)]] * (bits is not None)
 
         return work
 
-    return with_columns(docs, factory, [StructField("lang_pred", StringType()),
-                                        StructField("score", DoubleType())], drop=drop)
+    fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    if bits is not None:
+        fields.append(StructField(bits, DoubleType()))
+    return with_columns(docs, factory, fields, drop=drop)

@@ -79,7 +79,7 @@ def fold(modulus: int) -> F.Column:
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.find_secrets(docs, spans="s", drop=("text",))
+    found = secrets.find_secrets(docs, spans="s", drop=("text",), vocabulary=tokenizer("byte_bpe_50k.json"))
     base = F.filter("s", lambda x: x.kind != "guess")
     listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(
         ":", x.kind, x.start.cast("string"), x.end.cast("string"))), ",")

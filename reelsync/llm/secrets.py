@@ -14,6 +14,15 @@ Each segment has a cost in log10 guesses and every further segment a joining
 cost, so "password2019" is cheap and "xK9#pq!7Lw" is not. It runs in time
 linear in the value's length, so values have no length limit.
 
+Words are a short list of usual passwords and, if the path of a public tokenizer
+is given, the words of its vocabulary, ranked as it ranks them (by frequency):
+"token: authentication" then holds no secret. The vocabulary does not come from
+the documents, so a secret that is copied often does not become a word.
+
+A value that only names where the secret is kept (``${DB_PASSWORD}``,
+``process.env.TOKEN``, ``get_secret(``) is none; nor is a placeholder (``<token>``,
+``{{ token }}``). Calls and members count as such only when bare, not in quotes.
+
 NULL reads as the empty text, which has no findings. Ties are ordered by start,
 then kind. Rows are scanned one by one; an input column named like an output
 is replaced.
@@ -21,6 +30,7 @@ is replaced.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
@@ -70,7 +80,48 @@ guest default required none null undefined your here value string placeholder
 key pass pwd code word my the this is not and for with new old company home
 """.split()
 RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-WORD_LENGTHS = sorted({len(w) for w in WORDS})
+
+SEPARATORS = "-_. /"       # one between words joins them at no further cost
+SEPARATOR_LOG10 = math.log10(len(SEPARATORS))
+LEAST_WORD = 4             # letters of a vocabulary's words; shorter ones are as cheap by brute force
+
+#: Values that stand for a secret kept elsewhere: in quotes or bare, and only bare.
+TEMPLATE = re.compile(r"\$\{[^{}]*\}?|\$\([^()]*\)?|\$(?:[A-Z_][A-Z0-9_]*|[a-z_]+)|\{\{.*|<[^<>]*>|"
+                      r"%\([A-Za-z_]+\)s|%[A-Z_]+%|\{[A-Za-z_]+\}")
+REFERENCE = re.compile(r"(?:process\.env|import\.meta\.env|os\.environ|System\.getenv|ENV|env|config|settings|secrets|"
+                       r"self|this|request|params|args|options|props|vars?|local|data)[.\[(][\w.\[\]()]*"
+                       r"|[A-Za-z_]{4,}(?:\.[A-Za-z_]+)*(?:\[(?:[A-Za-z_]\w*\])?|\([A-Za-z_.]*)[.)\]]*", re.ASCII)
+
+
+class Words:
+    """Words with their ranks, and the lengths that words have."""
+
+    def __init__(self, ranks: dict[str, int]):
+        self.ranks, self.lengths = ranks, sorted({len(w) for w in ranks})
+
+
+FIXED = Words(RANK)
+_READ: dict[str, Words] = {}  # in a worker
+
+
+def dictionary(path: str | None) -> Words:
+    """The fixed words, then the whole words of a tokenizer's vocabulary in the
+    order of their ids (at most one per token)."""
+    if path is None:
+        return FIXED
+    if path not in _READ:
+        with open(path, encoding="utf-8") as file:
+            vocabulary = json.load(file)["model"]["vocab"]
+        ranks = dict(RANK)
+        for token in sorted(vocabulary, key=vocabulary.get):
+            # a token that begins or ends a word says so by a mark
+            word = token[1:] if token[:1] in "Ġ▁" else token[:-4] if token.endswith("</w>") else ""
+            word = word.lower()
+            if len(word) >= LEAST_WORD and word.isascii() and word.isalpha():
+                ranks.setdefault(word, len(ranks) + 1)
+        _READ.clear()
+        _READ[path] = Words(ranks)
+    return _READ[path]
 
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 UNSHIFT = dict(zip('~!@#$%^&*()_+{}|:"<>?', "`1234567890-=[]\\;',./", strict=True))
@@ -134,7 +185,7 @@ def _case_cost(piece: str) -> float:
     return math.log10(math.comb(len(piece), min(upper, len(piece) - upper)) + 1)
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, words: Words = FIXED) -> float:
     """log10 of the guesses for ``value`` (0 for the empty one)."""
     n = len(value)
     if not n:
@@ -153,12 +204,12 @@ def guess_cost(value: str) -> float:
 
     for end in range(1, n + 1):
         options = []
-        for length in WORD_LENGTHS:
+        for length in words.lengths:
             if length > end:
                 break
             i = end - length
             for form, extra in ((lower, 0.0), (plain, 0.5)):
-                if (rank := RANK.get(form[i:end])) is not None:
+                if (rank := words.ranks.get(form[i:end])) is not None:
                     options.append((i, math.log10(rank + 1) + _case_cost(value[i:end]) + extra))
                     break
         options += dates.get(end, ())
@@ -166,8 +217,10 @@ def guess_cost(value: str) -> float:
         i = walk[end - 1]
         if end - i >= 3:
             options.append((i, math.log10(47 * 4 * (end - i))))
-        best = min((closed[i] + (JOIN_LOG10 if i else 0.0) + cost for i, cost in options),
-                   default=math.inf)
+        best = min((closed[i] + (JOIN_LOG10 if i and value[i - 1] not in SEPARATORS else 0.0) + cost
+                    for i, cost in options), default=math.inf)
+        if end > 1 and value[end - 1] in SEPARATORS:
+            best = min(best, closed[end - 1] + SEPARATOR_LOG10)
         brute[end] = min(brute[end - 1] + BRUTE_LOG10,
                          closed[end - 1] + (JOIN_LOG10 if end > 1 else 0.0) + BRUTE_START + BRUTE_LOG10)
         closed[end] = min(best, brute[end])
@@ -187,7 +240,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def guess_spans(text: str, min_log10: float = MIN_LOG10) -> list[tuple[int, int, int]]:
+def refers(value: str, bare: bool) -> bool:
+    """Whether the value stands for a secret that is kept elsewhere."""
+    return TEMPLATE.fullmatch(value) is not None or bare and REFERENCE.fullmatch(value) is not None
+
+
+def guess_spans(text: str, min_log10: float = MIN_LOG10, words: Words = FIXED) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the costly values in credential contexts."""
     low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
@@ -195,7 +253,7 @@ def guess_spans(text: str, min_log10: float = MIN_LOG10) -> list[tuple[int, int,
     found = []
     for m in CONTEXT.finditer(text):
         a, b = m.span(m.lastgroup)
-        if guess_cost(text[a:b]) >= min_log10:
+        if not refers(text[a:b], m.lastgroup == "bare") and guess_cost(text[a:b], words) >= min_log10:
             found.append((a, 3, b))
     return found
 
@@ -205,13 +263,17 @@ SPAN = StructType([StructField("kind", StringType()), StructField("start", Integ
 
 
 def find_secrets(docs: DataFrame, text: str = "text", spans: str = "secret_spans",
-                 min_log10: float = MIN_LOG10, drop: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with the array ``spans`` of findings (kind, start, end)."""
+                 min_log10: float = MIN_LOG10, drop: tuple[str, ...] = (),
+                 vocabulary: str | None = None) -> DataFrame:
+    """``docs`` with the array ``spans`` of findings (kind, start, end).
+    ``vocabulary`` is the path of a tokenizer file with words."""
 
     def factory():
+        words = dictionary(vocabulary)
+
         def work(batch):
             return [[[{"kind": KINDS[k], "start": a, "end": b}
-                      for a, k, b in sorted(base_spans(t) + guess_spans(t, min_log10))]
+                      for a, k, b in sorted(base_spans(t) + guess_spans(t, min_log10, words))]
                      for t in texts(batch, text)]]
 
         return work
@@ -219,16 +281,19 @@ def find_secrets(docs: DataFrame, text: str = "text", spans: str = "secret_spans
     return with_columns(docs, factory, [StructField(spans, ArrayType(SPAN))], drop=drop)
 
 
-def redact(docs: DataFrame, text: str = "text", min_log10: float = MIN_LOG10) -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", min_log10: float = MIN_LOG10,
+           vocabulary: str | None = None) -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by ``<secret>``;
     overlapping findings are replaced together, NULL stays NULL. A column
     ``n_chars`` is recounted."""
     have = {c.lower(): c for c in docs.columns}
 
     def factory():
+        words = dictionary(vocabulary)
+
         def clean(t: str) -> str:
             out, at = [], 0
-            for a, _, b in sorted(base_spans(t) + guess_spans(t, min_log10)):
+            for a, _, b in sorted(base_spans(t) + guess_spans(t, min_log10, words)):
                 if b > at:
                     if a >= at:
                         out += [t[at:a], "<secret>"]

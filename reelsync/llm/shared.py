@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shared_path
+from ..session import ensure_checkpoint_dir, remove_path, shared_path
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -91,9 +95,28 @@ def running(df: DataFrame, order: list[str], sums: dict[str, F.Column]) -> DataF
     return out.select(*df.columns, *[(F.col(f"_s_{k}") + F.coalesce(f"_o_{k}", F.lit(0))).alias(k) for k in sums])
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that ``stored`` wrote inside it. What is computed from
+    them must have been written before it ends."""
+    token = _MADE.set([])
+    try:
+        yield
+    finally:
+        made = _MADE.get()
+        _MADE.reset(token)
+        for path in made:
+            remove_path(spark, path)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table below ``spark.checkpoint.dir`` and read again,
     so that Spark knows its size and chooses joins by it."""
     path = shared_path(df.sparkSession, "tables", unique=True)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,8 @@
 """The pipeline and its stages against plain versions, and the registration."""
 
 import hashlib
+import random
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -9,10 +11,12 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline
 from reelsync.llm import langid, secrets
+from reelsync.session import shared_path
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
 def test_stages(spark, documents, tmp_path):
+    vocabulary = secrets.dictionary(str(public_tokenizers.path("byte_bpe_50k.json")))
     words = ("das und ist nicht ein", "the of and to that is", "le la et les des")
     folder = "/root/testdata/sf0.001"
     extra = spark.createDataFrame([
@@ -41,7 +45,8 @@ def test_stages(spark, documents, tmp_path):
     before = {r.doc_id: r.text for r in kept["near_dedup"]}
     for r in kept["secret_scan"]:
         spans = secrets.base_spans(before[r.doc_id])
-        assert (r.text == before[r.doc_id]) == (not spans and not secrets.guess_spans(before[r.doc_id]))
+        guessed = secrets.guess_spans(before[r.doc_id], words=vocabulary)
+        assert (r.text == before[r.doc_id]) == (not spans and not guessed)
         assert not secrets.base_spans(r.text) and r.n_chars == len(r.text)
     # repeated, left out, never changed
     texts = {r.doc_id: r.text for r in kept["secret_scan"]}
@@ -61,7 +66,7 @@ def test_stages(spark, documents, tmp_path):
 def test_columns_named_like_an_operators_pass_through(spark, documents):
     names = ("size", "source_size", "Target", "copies", "score", "lang_pred")
     docs = documents.withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in names})
-    for stage in (corpus_pipeline.language_id, corpus_pipeline.mix_sources):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, "")
         assert out.columns == docs.columns
         rows = out.collect()
@@ -70,6 +75,29 @@ def test_columns_named_like_an_operators_pass_through(spark, documents):
         assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain)
 
 
+def test_texts_of_no_learned_language_go_and_clean_ones_stay(spark, documents):
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    junk = {-1: "".join(draw.choice(letters) for _ in range(400)),
+            -2: " ".join("".join(draw.choice(letters[:26]) for _ in range(7)) for _ in range(60)),
+            -3: "".join(chr(draw.randint(0x4e00, 0x9fff)) for _ in range(100)),
+            -4: "".join(chr(draw.randint(33, 126)) for _ in range(400))}
+    short = {-5: "Ab.", -6: "x"}  # too little to tell
+    extra = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in {**junk, **short}.items()], documents.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, documents.unionByName(extra), "").collect()}
+    assert not kept & set(junk)
+    clean = {r.doc_id for r in documents.where(F.col("lang").isNotNull() & F.col("text").rlike("[A-Za-z]")).collect()}
+    assert clean <= kept
+
+
+def test_nothing_but_the_result_is_left(spark, documents, tmp_path):
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    base = Path(shared_path(spark, "tables").replace("file:", ""))
+    before = set(base.iterdir()) if base.exists() else set()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert (set(base.iterdir()) if base.exists() else set()) == before
+
+
 def test_stages_of_an_empty_table(spark, empty, tmp_path):
     docs = empty
     for name, stage in corpus_pipeline.STAGES:

@@ -2,6 +2,7 @@
 
 import re
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +89,73 @@ def test_words_that_only_end_like_a_name_open_no_context():
         assert S.guess_spans(text) == []
 
 
+@pytest.fixture(scope="module")
+def words():
+    return S.dictionary(str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+#: Lines of code, settings and prose in which a credential word introduces no secret.
+HARMLESS = """secret: documentation
+token: authentication
+The secret: understanding
+password: production-database
+token: process.env.GITHUB_TOKEN
+password: ${DB_PASSWORD}
+password = os.environ["DB_PASSWORD"]
+password=$DB_PASSWORD
+token = get_secret("prod/api")
+token: {{ vault_token }}
+api_key = "<your api key>"
+secret = config.secret_value
+auth_token = self.session.token
+password: required
+password = getpass.getpass()
+token: "%(token)s"
+access_key = settings.ACCESS_KEY
+private key: management
+credentials: information
+secret = System.getenv(NAME)
+password: changeme2024
+token = tokenizer.tokenize(text)
+passphrase: qwertyuiop123
+password: development
+token: expression""".splitlines()
+
+SECRET = """password: xK9#pq!7Lw
+token = "eyJhbGciOi.JzdWIiOiIx.c2lnbmF0"
+DB_PASSWORD=hT4$kk2!mZpQ
+pwd: 'Vb7.Kd2-Xz9'
+api_key = sk-9fJ2kLm4Qx7RtBv1
+secret: $9xK2(mQ7)pLz
+auth_token: ghp_1A2b3C4d5E6f7G8h
+password = correct-horse-battery-staple
+private_key = Zm9vYmFyMTIzNDU2
+credentials: u8Jx!2qPzL0v
+token = kTyw[Q2z9#x""".splitlines()
+
+
+def test_words_and_references_are_no_secrets(words):
+    """False positives and misses on both lists: none."""
+    assert [x for x in HARMLESS if S.guess_spans(x, words=words)] == []
+    assert [x for x in SECRET if not S.guess_spans(x, words=words)] == []
+
+
+def test_the_vocabulary_only_makes_values_cheaper(words):
+    assert len(words.ranks) < 60_000 and S.dictionary(None) is S.FIXED
+    assert all(words.ranks[w] == r for w, r in S.RANK.items())
+    for value in ("documentation", "xK9#pq!7Lw", "production-database", "password2019", "", "é" * 9):
+        assert S.guess_cost(value, words) <= S.guess_cost(value)
+
+
+def test_the_vocabulary_through_spark(spark):
+    rows = [(i, x) for i, x in enumerate(HARMLESS + SECRET)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    for r in S.find_secrets(docs, vocabulary=path).collect():
+        assert any(s.kind == "guess" for s in r.secret_spans) == (r.doc_id >= len(HARMLESS)), r.text
+        assert [(s.start, S.KINDS.index(s.kind), s.end) for s in r.secret_spans if s.kind != "guess"] == plain_base(r.text)
+
+
 def test_redaction(edge, spark, empty):
     rows = [(1, "a password=b7db7aa4a5fcc78305 z", "en", "s", 30), (2, None, None, None, None)]
     docs = spark.createDataFrame(rows, edge.schema)
