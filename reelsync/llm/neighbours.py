@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by multi-index hashing (operator 9).
 
 **Codes.** Vectors are centred, rotated and cut to sign bits. The rotations are
-learned on a bounded sample (about ``SAMPLE`` vectors chosen by a hash of the
-id) by iterative quantization, which turns the principal axes so that taking
+learned on a bounded sample (about ``SAMPLE`` different vectors chosen by their
+hash, however often one repeats) by iterative quantization, which turns the principal axes so that taking
 signs loses least; several of them make up ``CODE_BITS`` bits. A row's code
 needs only these matrices, so every row is indexed.
 
@@ -140,9 +140,10 @@ def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
 
 
 def learn(rows: DataFrame, n: int, sample: int = SAMPLE, bits: int = CODE_BITS) -> Codes:
-    """Codes from about ``sample`` of the ``n`` rows, chosen by a hash of the id."""
+    """Codes from about ``sample`` of the ``n`` different vectors in ``rows``,
+    chosen by their hash."""
     share = min(1 << 20, -(-sample * (1 << 20) // n))
-    chosen = rows.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 20)) < share).select("v").collect()
+    chosen = rows.where(F.pmod(F.xxhash64("v", F.lit(9)), F.lit(1 << 20)) < share).select("v").collect()
     chosen = chosen or rows.select("v").limit(1).collect()
     return Codes(np.array([r.v for r in chosen]), bits)
 
@@ -201,11 +202,12 @@ def nearest(vectors: DataFrame, queries: F.Column, id: str = "vec_id", vector: s
     if size is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("v") == size["width"])
-    codes = spark.sparkContext.broadcast(learn(rows, size["count"]))  # a few matrices
     index = checkpoint(entries(rows, k))
+    different = index.count()
+    codes = spark.sparkContext.broadcast(learn(index, different))  # a few matrices
     asked = usable(vectors.where(queries), id, vector).where(F.size("v") == size["width"]).dropDuplicates()
     asked = checkpoint(asked.withColumn("query", F.monotonically_increasing_id()))
-    blocks = -(-index.count() // block)
+    blocks = -(-different // block)
     groups = max(1, -(-asked.count() // group))
     deal = lambda key, n, seed: F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

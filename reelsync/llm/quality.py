@@ -91,8 +91,8 @@ def text_features(docs: DataFrame, text: str = "text", name: str = "features",
 
 
 def labelled_sample(labels: DataFrame, id: str, label: str, per_class: int) -> DataFrame:
-    """About ``per_class`` labelled ids of each class, chosen by a hash."""
-    rows = only(labels, id, label).where(F.col(label).isin(0, 1) & F.col(id).isNotNull())
+    """About ``per_class`` different labelled ids of each class, chosen by a hash."""
+    rows = only(labels, id, label).where(F.col(label).isin(0, 1) & F.col(id).isNotNull()).distinct()
     share = F.lit(0)
     for row in rows.groupBy(label).count().collect():  # two rows at most
         part = min(HASH_RANGE, -(-per_class * HASH_RANGE // row["count"]))
@@ -143,14 +143,20 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """Learn from the labelled rows of ``labels`` (``id``, ``label``).
 
     The sampled ids are bounded by ``per_class`` and broadcast, so the
-    documents are read in place and only the sample's features move.
+    documents are read in place and only the sample's features move: one row per
+    id and label, the least features of an id with several documents, combined
+    inside each task first. An id that holds a third of all rows is one row.
     """
     counts = {r[label]: r["count"] for r in only(labels, id, label)
               .where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
     chosen = labelled_sample(labels, id, label, per_class).withColumnsRenamed({id: "_id", label: "_label"})
     rows = only(docs, id, text)
-    joined = rows.join(F.broadcast(chosen), rows[id] == F.col("_id")).select("_label", F.col(text).alias("text"))
-    got = [(r[0], r[1]) for r in text_features(joined, drop=("text",)).collect()]
+    joined = rows.join(F.broadcast(chosen), rows[id] == F.col("_id")).select("_id", "_label", F.col(text).alias("text"))
+    found = text_features(joined, drop=("text",)).toDF("_id", "_label", "features")
+    one = found.groupBy("_id", "_label").agg(F.min("features").alias("features"))
+    # in the order of ids: the pairs drawn do not depend on the order of rows
+    got = sorted(((r[0], r[1]), r[2]) for r in one.collect())
+    got = [(label_, x) for (_, label_), x in got]
     x = np.array([f for _, f in got], float).reshape(-1, len(FEATURES))
     y = np.array([v for v, _ in got], int)
     return Ranking(x, y, counts.get(0, 0) / max(1, sum(counts.values())))

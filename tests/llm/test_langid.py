@@ -100,8 +100,8 @@ def test_code_lengths_as_a_column(spark, documents):
     learn = documents.select("doc_id", "text", "lang")
     extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 !")], "doc_id long, text string")
     docs = documents.select("doc_id", "text").unionByName(extra)
-    plain = {r.doc_id: r for r in langid.identify(docs, learn).collect()}
-    for r in langid.identify(docs, learn, bits="bits").collect():
+    plain = {r.doc_id: r for r in L.identify(docs, learn).collect()}
+    for r in L.identify(docs, learn, bits="bits").collect():
         assert (r.lang_pred, r.score) == (plain[r.doc_id].lang_pred, plain[r.doc_id].score)
-        assert (r.bits is None) == (r.lang_pred == langid.UNDETERMINED)
+        assert (r.bits is None) == (r.lang_pred == L.UNDETERMINED)
         assert r.bits is None or 0 < r.bits < 8.5 * len(r.text.encode()) + 64

@@ -93,3 +93,13 @@ def test_blocks_and_groups_do_not_change_exact_results(spark):
     for r in sorted(got, key=lambda r: r["rank"]):
         by.setdefault(r.query_id, []).append(r.vec_id)
     assert by == {q: [i for i, _ in near] for q, near in want.items()}
+
+
+def test_a_vector_that_holds_a_third_of_all_rows_is_one_of_the_sample(spark):
+    draw = np.random.default_rng(3)
+    rows = [(int(i), [float(v) for v in draw.normal(size=4)]) for i in range(200)]
+    rows += [(1_000, rows[0][1])] * 100 + [(i, rows[0][1]) for i in range(2_000, 2_100)]
+    frame = N.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")
+    different = N.entries(frame, 10)
+    assert different.count() == 200
+    assert N.learn(different, 200).turn.shape == N.learn(different.repartition(3), 200).turn.shape

@@ -1,9 +1,12 @@
 """Operator 8: held-out accuracy, the fit, edge rows."""
 
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from reelsync.llm import quality as Q
+from reelsync.llm.queries import op8_quality
 
 
 def test_held_out_accuracy(spark):
@@ -51,3 +54,34 @@ def test_edge_rows(edge, empty, spark):
     assert Q.score(empty, ranking).collect() == []
     assert Q.features("") == [0.0] * len(Q.FEATURES) == Q.features(" \n")
     assert all(np.isfinite(Q.features("x" * 3_000_000)))
+
+
+def test_the_query_equals_a_plain_computation(spark):
+    """Folds, labels, fit and scores, row by row without Spark's part."""
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in docs}
+    learn = [i for i in sorted(docs) if not held[i] and labels.get(i) in (0, 1)]
+    y = np.array([labels[i] for i in learn])
+    order = np.lexsort((y, learn))
+    x = np.array([Q.features(docs[i]) if docs[i] is not None else Q.features("") for i in learn])
+    ranking = Q.Ranking(x[order], y[order], float((y == 0).mean()))
+    got = op8_quality(spark, folder).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        want = float(ranking.score(np.array([Q.features(docs[r.doc_id] or "")]))[0])
+        assert r.held_out == held[r.doc_id] and abs(r.score - want) < 1e-9
+        assert r.predicted == int(r.score >= 0.5)
+
+
+def test_an_id_that_holds_a_third_of_all_rows_is_one_row_of_the_sample(spark):
+    n = 3_000
+    docs = spark.range(n).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+                                 F.concat(F.lit("some words of text "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    chosen = Q.labelled_sample(labels, "doc_id", "quality", 100)
+    assert chosen.count() == chosen.distinct().count() < 400
+    whole = Q.fit(docs, labels, per_class=n)
+    again = Q.fit(docs.repartition(7), labels.repartition(5), per_class=n)
+    assert np.array_equal(whole.weights, again.weights) and whole.cut == again.cut
