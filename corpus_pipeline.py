@@ -27,8 +27,8 @@ from reelsync.llm.shared import scratch
 from reelsync.session import remove_path, shared_path
 
 MIN_SCORE = 0.3  # least probability of the predicted language; a short clean text has little evidence
-MAX_RATE = 4.0   # bits a byte, at most, under the predicted language; its own prose takes 2 to 3, noise 6 and more
-SLACK = 64.0     # and bits beside that, for what a short text holds of names and numbers
+MAX_RATE = 5.0   # bits a byte, at most, under the predicted language; its own prose takes 2 to 3, noise 6 and more
+SLACK = 128.0    # and bits beside that, for what a short text holds of names and numbers
 
 
 def apart(docs: DataFrame, *needed: str) -> DataFrame:
