@@ -16,12 +16,15 @@ from ..schemas import DOCUMENT
 from ..session import shared_path
 from ..sources.film import FilmTables
 from ..sources.fixtures import film_tables, person_changes
+from ..sources.position_stream import position_stream
 from ..sources.tables import stream_table
 from ..streaming.batch_counts import BatchCounts
 from ..streaming.streams import after_position, affected_documents_stream, run_to_end, upsert_stream
 from ..operators.state import save_positions
 from ..schemas import HIGH_WATER
-from .change_queries import FILM_POSITION, FILMS_BY_PERSON_SQL, GENRE_POSITION, PERSON_POSITION
+from . import oracle_views as V
+from .change_queries import (FILM_POS_SQL, FILM_POSITION, FILMS_BY_PERSON_SQL, GENRE_POS_SQL, GENRE_POSITION,
+                             PERSON_POS_SQL, PERSON_POSITION)
 from .document_queries import FILM_DOCUMENTS_SQL, documents_as_text
 from .load import SyncPaths, catch_up, full_load, incremental_pass, remove_entities
 from .registry import register
@@ -54,6 +57,36 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.read()
 
 
+STREAM_POSITIONS_SQL = V.with_views("film_work", "person", "genre") + "\nUNION ALL ".join(
+    f"SELECT '{e}' AS entity, CAST(id AS VARCHAR) AS id FROM {e} WHERE modified > {position}"
+    for e, position in (("film_work", FILM_POS_SQL), ("person", PERSON_POS_SQL), ("genre", GENRE_POS_SQL)))
+
+
+@register("stream_positions", STREAM_POSITIONS_SQL)
+def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R-1 / R-3 / P-4: the changes of every entity after its position, read as
+    streams whose offset is a position, in two runs of one query: the first ends
+    at a time between, the second goes on from the checkpoint. No change is read
+    twice or left out."""
+    base = shared_path(spark, "stream_positions", unique=True)
+    tables = film_tables(spark, sf_dir).as_dict()
+    bounds = {"film_work": (FILM_POSITION, FILM_POSITION + dt.timedelta(days=20)),
+              "person": (PERSON_POSITION, PERSON_POSITION + dt.timedelta(hours=1)),
+              "genre": (GENRE_POSITION, GENRE_POSITION + dt.timedelta(days=20))}
+    for entity in bounds:
+        tables[entity].select("id", "modified").write.parquet(f"{base}/{entity}")
+    for ends in (True, False):
+        feed = None
+        for entity, (after, until) in bounds.items():
+            options = {"after": after.isoformat(), **({"until": until.isoformat()} if ends else {})}
+            one = position_stream(spark, f"{base}/{entity}", tables[entity].select("id", "modified").schema, **options)
+            one = one.select(F.lit(entity).alias("entity"), F.col("id").cast("string").alias("id"))
+            feed = one if feed is None else feed.unionByName(one)
+        run_to_end(feed.writeStream.format("parquet").option("path", f"{base}/changes")
+                   .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    return spark.read.schema("entity string, id string").parquet(f"{base}/changes")
+
+
 STREAM_AFFECTED_SQL = ("SELECT d.* FROM (" + FILM_DOCUMENTS_SQL + ") d WHERE d.id IN (SELECT "
                        "CAST(f.id AS VARCHAR) FROM (" + FILMS_BY_PERSON_SQL + ") f)")
 
