@@ -19,3 +19,13 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def rows_of(obs: Observation) -> int:
     """The count after the action ran (blocks until the metric arrives)."""
     return int(obs.get.get("rows", 0))
+
+
+#: Rows of keys that are broadcast by their known number. A planner does not know
+#: the size of a written frame, and would shuffle the large side of a join.
+FEW = 500_000
+
+
+def broadcast_few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, marked for a broadcast where its number of ``rows`` is small."""
+    return F.broadcast(df) if rows <= FEW else df

@@ -13,7 +13,8 @@ its bytes follow the batch and not the table. A read lays the changes over the
 base, the newest (or the greatest version columns) per key; buckets without
 changes are read as they are. A bucket whose changes pass ``SHARE`` of its base
 gets a new base in the same commit, so a row is rewritten once per that many
-changes; one with more than ``LAYERS`` small layers gets them merged into one,
+changes (where an update always replaces its row, the rows just written become
+the base, and only those they leave are written beside them); one with more than ``LAYERS`` small layers gets them merged into one,
 without reading the base. ``rebucket`` writes a grown table in more buckets.
 ``delete`` lays tombstones over the base, rows that say that their key is gone.
 
@@ -39,6 +40,7 @@ from pyspark.sql import types as T
 from ..schemas import check_strict
 from ..session import checkpoint_frame, list_names, remove_path
 from . import versions as V
+from .counts import broadcast_few, counted, rows_of
 from .versions import BUCKET, ConcurrentWrite, Version
 
 __all__ = ["ConcurrentWrite", "bulk_records", "current_version", "delete", "ensure_target", "latest_per_key", "merge_latest",
@@ -72,13 +74,14 @@ def dedupe_updates(updates: DataFrame, key: list[str],
 
 def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
                  version_cols: list[str] | None = None,
-                 assume_unique: bool = False) -> DataFrame:
+                 assume_unique: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """S-5: the target with ``updates`` applied by key.
 
     Without ``version_cols`` an update replaces the stored row (a keyed index
     operation). With them the newer version wins and a tie goes to the update.
     Only target rows whose key is updated take part in the contest; the rest
-    pass through an anti join.
+    pass through an anti join. ``keys`` are those of ``updates`` (may repeat),
+    where the caller has them without the work that finds the updates.
     """
     upd = dedupe_updates(updates, key, version_cols, assume_unique)
     if target is None:
@@ -86,7 +89,7 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list[str],
     target = target.select(*upd.columns)
     # An incremental batch updates few keys of a large table: where their
     # measured size allows it, adaptive execution broadcasts them.
-    keys = upd.select(*[F.col(k).alias(f"__u_{k}") for k in key])
+    keys = (upd if keys is None else keys).select(*[F.col(k).alias(f"__u_{k}") for k in key])
     cond = [target[k] == keys[f"__u_{k}"] for k in key]
     untouched = target.join(keys, cond, "left_anti")
     if not version_cols:
@@ -110,6 +113,15 @@ def _read(spark: SparkSession, schema: T.StructType, folders: list[str]) -> Data
 def _changes(spark: SparkSession, path: str, version: Version, buckets: list[int]) -> DataFrame:
     """The last change of each key in the layers above the bases of ``buckets``,
     with ``GONE``."""
+    rows, layers = _layers(spark, path, version, buckets)
+    if layers == 1:  # a layer has one row per key
+        return rows.drop(SEQUENCE)
+    return latest_per_key(rows, version.key, [*version.order, SEQUENCE]).drop(SEQUENCE)
+
+
+def _layers(spark: SparkSession, path: str, version: Version, buckets: list[int]) -> tuple[DataFrame, int]:
+    """All rows of the layers above the bases of ``buckets``, with ``GONE`` and
+    ``SEQUENCE``, and the number of these layers."""
     schema = T.StructType([*version.struct().fields, T.StructField(GONE, T.BooleanType())])
     by_age: dict[int, list[str]] = {}
     for b in buckets:
@@ -117,10 +129,7 @@ def _changes(spark: SparkSession, path: str, version: Version, buckets: list[int
             by_age.setdefault(number, []).append(V.bucket_path(path, folder, b))
     parts = [_read(spark, schema, folders).withColumn(SEQUENCE, F.lit(number))
              for number, folders in sorted(by_age.items())]
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
-    if len(parts) == 1:  # a layer has one row per key
-        return rows.drop(SEQUENCE)
-    return latest_per_key(rows, version.key, [*version.order, SEQUENCE]).drop(SEQUENCE)
+    return reduce(lambda a, b: a.unionByName(b), parts), len(parts)
 
 
 def _resolved(spark: SparkSession, path: str, version: Version, buckets: list[int]) -> DataFrame:
@@ -131,7 +140,9 @@ def _resolved(spark: SparkSession, path: str, version: Version, buckets: list[in
     if not changed:
         return _read(spark, version.struct(), bases(plain))
     held = _read(spark, version.struct(), bases(changed)).withColumn(GONE, F.lit(None).cast("boolean"))
-    merged = merge_latest(held, _changes(spark, path, version, changed), version.key, version.order, assume_unique=True)
+    # the keys straight from the layers: a scan of these columns, no contest
+    merged = merge_latest(held, _changes(spark, path, version, changed), version.key, version.order, assume_unique=True,
+                          keys=_layers(spark, path, version, changed)[0])
     merged = merged.where(F.col(GONE).isNull()).drop(GONE)
     return _read(spark, version.struct(), bases(plain)).unionByName(merged) if plain else merged
 
@@ -160,13 +171,13 @@ def _place(key: list[str], buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
 
 
-def _write(rows: DataFrame, path: str, folder: str, key: list[str], buckets: int) -> dict[int, int]:
+def _write(rows: DataFrame, path: str, folder: str, key: list[str], buckets: int, mode: str = "error") -> dict[int, int]:
     """Write ``rows`` by bucket; returns each written bucket's number of rows
     (from the new files' footers)."""
     spark, target = rows.sparkSession, f"{path}/data/{folder}"
     # rebalanced by bucket: few files per bucket, and a large bucket is split
     (rows.withColumn(BUCKET, _place(key, buckets)).hint("rebalance", BUCKET)
-     .write.partitionBy(BUCKET).parquet(target))
+     .write.mode(mode).partitionBy(BUCKET).parquet(target))
     read = T.StructType([*rows.schema.fields, T.StructField(BUCKET, T.IntegerType())])
     return {r[0]: r[1] for r in spark.read.schema(read).parquet(target).groupBy(BUCKET).count().collect()}
 
@@ -215,6 +226,23 @@ def delete(keys: DataFrame, path: str, keep: int = KEEP, share: float = SHARE, l
     return _commit(rows, path, state, keep, share, layers, create=False)
 
 
+def _left(spark: SparkSession, path: str, state: Version, buckets: list[int]) -> DataFrame:
+    """The rows of ``buckets`` below their last layer whose keys it does not have."""
+    below = state.with_layers([old[:-1] if b in buckets else old for b, old in enumerate(state.layers)])
+    sent = _read(spark, state.struct(), [V.bucket_path(path, state.layers[b][-1][0], b) for b in buckets])
+    held, key = _resolved(spark, path, below, buckets), state.key
+    keys = sent.select(*[F.col(k).alias(f"__u_{k}") for k in key])
+    new = sum(state.layers[b][-1][1] for b in buckets)
+    if new <= 0.5 * sum(layer[1] for b in buckets for layer in below.layers[b]):
+        return held.join(keys, [held[k] == keys[f"__u_{k}"] for k in key], "left_anti")
+    # most rows are replaced: only keys are shuffled to find the others
+    stay = held.select(*[F.col(k).alias(f"__h_{k}") for k in key])
+    stay, found = counted(stay.join(keys, [stay[f"__h_{k}"] == keys[f"__u_{k}"] for k in key], "left_anti"), "rows left")
+    stay = checkpoint_frame(stay)
+    stay = broadcast_few(stay, rows_of(found))
+    return held.join(stay, [held[k].eqNullSafe(stay[f"__h_{k}"]) for k in key], "left_semi")
+
+
 def _commit(rows: DataFrame, path: str, state: Version, keep: int, share: float, layers: int, create: bool) -> int:
     """Write ``rows`` (one per key) as the next version's changes and publish it."""
     spark, known = rows.sparkSession, state.number > 0
@@ -230,6 +258,11 @@ def _commit(rows: DataFrame, path: str, state: Version, keep: int, share: float,
         over = {b: sum(layer[1] for layer in state.layers[b][1:]) for b in sent}
         grown = [b for b in sent if over[b] > share * state.layers[b][0][1]]
         many = [b for b in sent if b not in grown and len(state.layers[b]) > layers + 1]
+        if grown and not state.order and GONE not in rows.columns:
+            total = _write(_left(spark, path, state, grown), path, folders[0], key, len(state.layers), "append")
+            state = state.with_layers([[[folders[0], total[b], state.number]] if b in grown else old
+                                       for b, old in enumerate(state.layers)])
+            grown = []
         for chosen, find, below in ((grown, _resolved, 0), (many, _changes, 1)):
             if not chosen:
                 continue

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import changes as C
 from ..operators import state as S
-from ..operators.counts import counted, rows_of
+from ..operators.counts import broadcast_few, counted, rows_of
 from ..operators.documents import build_documents
 from ..operators.quality import prune_links
 from ..operators.sinks import current_version, delete, upsert
@@ -150,7 +150,9 @@ def remove_entities(tables: FilmTables, removed: dict[str, DataFrame], paths: Sy
     pruned = tables.replace(**{**kept, **prune_links(kept)})
     others = {e: ids for e, ids in removed.items() if e != "film_work"}
     if others:
-        touched = checkpoint_frame(C.affected_films(tables, others, index))
+        touched, found = counted(C.affected_films(tables, others, index), "films")
+        touched = checkpoint_frame(touched)
+        touched = broadcast_few(touched, rows_of(found))
         upsert(build_documents(pruned, touched), paths.documents, ["id"], schema=DOCUMENT, assume_unique=True)
     if "film_work" in removed:
         delete(removed["film_work"].select(F.col("id").cast("string").alias("id")), paths.documents)
@@ -189,7 +191,9 @@ def incremental_pass(tables: FilmTables, paths: SyncPaths,
     version, documents = current_version(spark, paths.documents), 0
     if changed:
         # written once: the set restricts the films and both link tables
-        ids = checkpoint_frame(C.affected_films(tables, changed, index))
+        ids, found = counted(C.affected_films(tables, changed, index), "films")
+        ids = checkpoint_frame(ids)
+        ids = broadcast_few(ids, rows_of(found))
         docs, sent = counted(build_documents(tables, ids), "documents")
         version = upsert(docs, paths.documents, ["id"], schema=DOCUMENT, assume_unique=True)
         documents = rows_of(sent)

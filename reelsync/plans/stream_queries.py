@@ -15,7 +15,8 @@ from ..operators.sinks import ensure_target, parquet_upsert_sink, read_current,
 from ..schemas import DOCUMENT
 from ..session import shared_path
 from ..sources.film import FilmTables
-from ..sources.fixtures import film_tables, person_changes
+from ..sources.fixtures import DEALT, film_tables, person_changes
+from ..sources.layout import bucketed
 from ..sources.position_stream import position_stream
 from ..sources.tables import stream_table
 from ..streaming.batch_counts import BatchCounts
@@ -150,13 +151,13 @@ def backlog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-1 / O-4: as ``incremental_documents``, but the changes since the
     positions are worked off in four passes (more where persons lag behind)."""
     base = shared_path(spark, "backlog_documents", unique=True)
-    tables = film_tables(spark, sf_dir)
     paths = SyncPaths(f"{base}/documents", f"{base}/positions")
-    full_load(older_tables(tables), paths, pass_id=0)
-    rows = [("film_work", FILM_POSITION, 1), ("person", PERSON_POSITION, 1), ("genre", GENRE_POSITION, 1)]
-    save_positions(spark.createDataFrame(rows, HIGH_WATER), paths.positions)
-    pending = C.changed_since(tables.film_work, FILM_POSITION).count()
-    catch_up(tables, paths, max_changes=max(100, -(-pending // 4)))
+    with bucketed(film_tables(spark, sf_dir), DEALT) as tables:
+        full_load(older_tables(tables), paths, pass_id=0)
+        rows = [("film_work", FILM_POSITION, 1), ("person", PERSON_POSITION, 1), ("genre", GENRE_POSITION, 1)]
+        save_positions(spark.createDataFrame(rows, HIGH_WATER), paths.positions)
+        pending = C.changed_since(tables.film_work, FILM_POSITION).count()
+        catch_up(tables, paths, max_changes=max(100, -(-pending // 4)))
     return documents_as_text(read_current(spark, paths.documents, DOCUMENT))
 
 
