@@ -6,7 +6,7 @@ Both lists of tokens cut the same bytes; two tokens are *linked* where their
 byte ranges overlap, and the offsets where both cut divide them into *groups*.
 
 **Cuts.** The libraries' own spans are the coarse cuts: A's are offsets of
-characters, B's are the byte spans of its proto. Where several tokens share a
+characters, B's are byte spans. Where several tokens share a
 character (A cuts a multibyte character, B falls back to bytes) the spans say
 only where that character lies, and the tokens' decoded bytes refine it.
 
@@ -33,8 +33,11 @@ the text are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from contextlib import contextmanager
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -78,12 +81,13 @@ class Aligner:
         self.size_b = size
         self.bytes_a = {c: b for b, c in enumerate(W.byte_alphabet())}
         pieces = [self.b.id_to_piece(i) for i in range(size)]
-        self.is_byte = [self.b.is_byte(i) for i in range(size)]
-        self.bytes_b = [bytes([int(p[3:-1], 16)]) if one else p.replace(SPACE, " ").encode()
-                        for p, one in zip(pieces, self.is_byte)]
+        self.is_byte = {i for i in range(size) if self.b.is_byte(i)}
+        self.bytes_b = [bytes([int(p[3:-1], 16)]) if i in self.is_byte else p.replace(SPACE, " ").encode()
+                        for i, p in enumerate(pieces)]
         # pieces with a space behind other characters, or a line feed, could join two chunks
         self.whole = any(SPACE in p.lstrip(SPACE) or "\n" in p for p in pieces)
-        self.names = np.array([str(i) for i in range(max(size, self.a.get_vocab_size()))], object)
+        # ids as text, with the mark that can follow each
+        self.names = {mark: np.array([f"{i}{mark}" for i in range(max(size, self.a.get_vocab_size()))], object) for mark in ",|;\n"}
         self.young: dict[str, Chunk | None] = {}
         self.old: dict[str, Chunk | None] = {}
 
@@ -102,11 +106,12 @@ class Aligner:
     def cuts_b(self, found, added: int) -> tuple[list[int], list[int]]:
         """Ids of B's tokens, and the byte offsets where they end, counting
         ``added`` bytes of a space before the text."""
-        ids, ends, here = [], [], 0
-        for p in found.pieces:
-            i = p.id
-            here = here + 1 if self.is_byte[i] else p.end + added
-            ids.append(i)
+        ids, spans = found["ids"], found["offsets"]
+        if self.is_byte.isdisjoint(ids):
+            return ids, [end + added for _, end in spans]
+        ends, here = [], 0
+        for i, (_, end) in zip(ids, spans):
+            here = here + 1 if i in self.is_byte else end + added
             ends.append(here)
         return ids, ends
 
@@ -115,14 +120,15 @@ class Aligner:
         laid end to end and their cuts compared at once."""
         led = [" " + t if s else t for t, s in zip(texts, spaces)]
         of_a = self.a.encode_batch(led, add_special_tokens=False)
-        of_b = self.b.encode(texts, return_type="proto") if texts else []
-        a, ends_a, b, ends_b, lengths = [], [], [], [], []
+        of_b = self.b.encode(texts, return_type="offset_mapping", return_bytes=True) if texts else []
+        a, ends_a, b, ends_b, lengths, bytes_b = [], [], [], [], [], self.bytes_b
         for text, space, found_a, found_b in zip(led, spaces, of_a, of_b):
-            cuts_a, (ids_b, cuts_b) = self.cuts_a(text, found_a), self.cuts_b(found_b, int(space))
+            cuts_a = self.cuts_a(text, found_a)
+            ids_b, cuts_b = self.cuts_b(found_b, int(space))
             if not space:  # B's own space is no part of this chunk
                 del ids_b[0], cuts_b[0]
             raw = text.encode()
-            if cuts_a[-1] != len(raw) or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
+            if cuts_a[-1] != len(raw) or b"".join([bytes_b[i] for i in ids_b]) != raw:
                 lengths.append((0, 0, 0))
                 continue
             a += found_a.ids
@@ -140,11 +146,17 @@ class Aligner:
         pairs = a[np.searchsorted(ends_a, cuts)] * self.size_b + b[np.searchsorted(ends_b, cuts)]
         n_links, n_groups = (np.diff(np.searchsorted(x, np.append(0, ends), "right")) for x in (cuts, both))
         group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
-        after_a = np.where(both[group_a] == ends_a, "|", ",").astype(object) if len(a) else ends_a.astype(object)
-        last_b = np.where(np.isin(ends_b, ends), "\n", ";")
-        after_b = np.where(both[group_b] == ends_b, last_b, ",").astype(object) if len(b) else ends_b.astype(object)
-        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-        groups = iter("".join(np.concatenate([self.names[a] + after_a, self.names[b] + after_b])[order]).split("\n"))
+        named_a, named_b = self.names[","][a], self.names[","][b]
+        if len(a):
+            last_a, last_b = both[group_a] == ends_a, both[group_b] == ends_b
+            named_a[last_a], named_b[last_b] = self.names["|"][a[last_a]], self.names[";"][b[last_b]]
+            final = np.searchsorted(ends_b, ends[size > 0])  # the last token of each chunk
+            named_b[final] = self.names["\n"][b[final]]
+        # the tokens of A of a group stand before those of B: each behind what came before it
+        named = np.empty(len(a) + len(b), object)
+        named[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = named_a
+        named[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = named_b
+        groups = iter("".join(named.tolist()).split("\n"))
         packed, at = pairs.tobytes(), np.cumsum(n_links) * 8
         return [(x, y, g, n, next(groups), packed[e - 8 * n:e]) if x else None
                 for x, y, g, n, e in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), at.tolist())]
@@ -163,20 +175,24 @@ class Aligner:
     def align(self, rows: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray]]:
         """Per text: numbers of A tokens, B tokens, groups and links, the groups
         as text, and the packed pair of every link."""
-        split = [self.split(t) if t else [] for t in rows]
-        held = {}
-        for name in set().union(*split):
-            found = self.young.get(name, 0)
-            held[name] = self.old.get(name, 0) if found == 0 else found
-        missing = [n for n, found in held.items() if found == 0]
-        held.update(zip(missing, self.chunks(missing, [n[0] != "\n" for n in missing])))
+        with _uncollected():
+            return self._align([self.split(t) if t else [] for t in rows])
+
+    def _align(self, split: list[list[str]]) -> list[tuple[int, int, int, int, str, np.ndarray]]:
+        wanted, young, old = set().union(*split), self.young, self.old
+        held = {n: young[n] for n in wanted & young.keys()}
+        wanted.difference_update(held)
+        fresh = {n: old[n] for n in wanted & old.keys()}
+        missing = list(wanted.difference(fresh))
+        fresh.update(zip(missing, self.chunks(missing, [n[0] != "\n" for n in missing])))
         # a space stands before a text's first chunk, whatever it begins with
         firsts = [names[0] for names in split if names and names[0][0] == "\n"]
         heads = iter(self.chunks(firsts, [True] * len(firsts)))
-        self._keep(held)
+        self._keep(fresh)
+        held.update(fresh)
         out = []
         for names in split:
-            found = [held[n] for n in names]
+            found = [*map(held.__getitem__, names)]
             if names and names[0][0] == "\n":
                 found[0] = next(heads)
             if found and None not in found:
@@ -186,18 +202,32 @@ class Aligner:
                 out.append((0, 0, 0, 0, "", np.empty(0, np.int64)))
         return out
 
-    def _keep(self, held: dict[str, Chunk | None]) -> None:
-        """The batch's chunks become the youngest; a full generation ages."""
-        self.young.update({n: c for n, c in held.items() if len(n) <= LONGEST})
+    def _keep(self, fresh: dict[str, Chunk | None]) -> None:
+        """The batch's chunks that were not among the youngest join them; a full
+        generation ages."""
+        self.young.update({n: c for n, c in fresh.items() if len(n) <= LONGEST})
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
 
 
+@contextmanager
+def _uncollected():
+    """A batch without the collector of cycles: it makes none, and the searches
+    through its many small tuples took an eighth of the time."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _byte_offsets(text: str) -> list[int] | range:
     """Byte offset of each character, and of the end."""
     if text.isascii():
         return range(len(text) + 1)
-    return np.cumsum([0, *[len(c.encode()) for c in text]]).tolist()
+    return list(accumulate(map(len, map(str.encode, text)), initial=0))
 
 
 _WORKER: dict[tuple[str, str], Aligner] = {}
