@@ -25,10 +25,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint_frame, ensure_checkpoint_dir
+from .counts import broadcast_few, counted, rows_of
 
 RID = "__rid"
 #: Links of a chain of conflicts (one round each) beyond which keep-first raises.
@@ -76,11 +77,13 @@ def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = Non
             .select(*[F.col("m")[c].alias(c) for c in cols]))
 
 
-def tag_conflicts(df: DataFrame, keys: list[list[str]]) -> DataFrame:
-    """``df`` with ``__conflict``: whether another row shares one of its keys.
+def tag_conflicts(df: DataFrame, keys: list[list[str]]) -> DataFrame | None:
+    """``df`` with ``__conflict``: whether another row shares one of its keys
+    (``None``: no key repeats).
 
-    Only key columns are counted, after a map-side partial count; the keys
-    that repeat are few, and every row meets them in one join per key.
+    Only key columns are counted, after a map-side partial count. The keys that
+    repeat are written down first, so that rows are joined to them only where
+    there are any, and not shuffled for it where they are few.
     """
     flags = []
     for i, key in enumerate(keys):
@@ -88,8 +91,15 @@ def tag_conflicts(df: DataFrame, keys: list[list[str]]) -> DataFrame:
         groups = df.where(~_has_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
         repeated = groups.where(F.col("__n") > 1).select(
             *[F.col(k).alias(f"{prefix}{k}") for k in key], F.lit(True).alias(f"{prefix}hit"))
+        repeated, found = counted(repeated, f"repeated keys {i}")
+        repeated = checkpoint_frame(repeated)
+        if not rows_of(found):
+            continue
+        repeated = broadcast_few(repeated, rows_of(found))
         df = df.join(repeated, _key_eq(df, repeated, key, prefix), "left").drop(*[f"{prefix}{k}" for k in key])
         flags.append(F.col(f"{prefix}hit").isNotNull())
+    if not flags:
+        return None
     return (df.withColumn("__conflict", reduce(lambda a, b: a | b, flags))
             .drop(*[f"__d{i}_hit" for i in range(len(keys))]))
 
@@ -153,10 +163,10 @@ def keep_first_keys(df: DataFrame, keys: list[list[str]],
         return keep_first(df, keys[0], order_cols)
     ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
-    seen = Observation("rows that share a key")
-    tagged = tag_conflicts(df, keys).observe(seen, F.count_if("__conflict").alias("rows")).checkpoint()
-    if not seen.get.get("rows", 0):  # no row has a rival: nothing to rank
-        return tagged.select(*cols)
+    tagged = tag_conflicts(df, keys)
+    if tagged is None:  # no row has a rival: nothing to rank, nothing to write
+        return df
+    tagged = tagged.checkpoint()
     alone = tagged.where(~F.col("__conflict")).select(*cols)
     ranked = rank_rows(tagged.where("__conflict").select(*cols), order_cols)
     key_cols = list(dict.fromkeys(c for key in keys for c in key))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from reelsync.operators import sinks
 from reelsync.operators import versions as V
+from reelsync.operators.dedupe import keep_first_keys
 from reelsync.operators.documents import build_documents, person_branch
 from reelsync.plans.stream_queries import backlog_documents
 from reelsync.sources.fixtures import DEALT, film_tables
@@ -66,3 +69,15 @@ def test_a_backlog_leaves_no_tables(spark):
     want = {r["id"] for r in film_tables(spark, SF_SMALL).film_work.select("id").collect()}
     assert {int(r["id"]) for r in backlog_documents(spark, SF_SMALL).collect()} == want
     assert {r.tableName for r in spark.sql("SHOW TABLES").collect()} == before
+
+
+def test_rows_without_rivals_are_not_written_down(spark, monkeypatch):
+    written, checkpoint = [], type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda df, *a: (written.append(df.count()), checkpoint(df, *a))[1])
+    df = spark.range(500).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    assert keep_first_keys(df, [["id"], ["name"]]).count() == 500
+    assert written == [0, 0]  # the keys that repeat
+    more = df.unionByName(spark.createDataFrame([(7, "x600"), (600, "n8"), (None, "n9")], "id long, name string"))
+    got = keep_first_keys(more, [["id"], ["name"]])  # 7 and n8 are taken, n9 goes to the row that comes first
+    assert got.count() == 500 and got.where("id = 600 or name = 'x600'").count() == 0
+    assert got.where("name = 'n9'").first()["id"] is None
