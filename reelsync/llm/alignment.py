@@ -15,7 +15,8 @@ between two characters that are not white space, nor over the place before a
 single line feed between such characters (``Aligner`` checks B's pieces for
 that), so a text is aligned chunk by chunk between such places. A worker keeps
 the alignments of recent chunks in a bounded cache, and encodes what a batch of
-rows misses at once.
+rows misses in runs of bounded size, as the libraries' results take far more
+memory than the texts.
 
 **Counts.** A pair's count is the number of documents that hold it linked.
 Counts are summed by Spark from one row per document and pair. The most
@@ -36,6 +37,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from itertools import accumulate
 
@@ -52,13 +54,15 @@ from .shared import stored
 
 CACHE = 300_000     # chunks of a generation that a worker keeps
 LONGEST = 48        # characters of a chunk that is kept
+RUN = 1 << 17       # characters of chunks that the libraries encode at once
+ROWS = 128          # rows whose chunks a worker holds at once
 FREQUENT = 1 << 19  # pairs whose counts are broadcast, at most
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 BESIDE = re.compile(r"\s\s")
 SPACE = "▁"         # fixed value: sentencepiece's mark of a space
 
 #: A chunk's alignment: the numbers of A tokens, B tokens, groups and links, the
-#: groups as text, and the linked pairs packed into longs; None: bytes differ.
+#: groups as text, and the linked pairs packed into numbers; None: bytes differ.
 Chunk = tuple[int, int, int, int, str, bytes]
 
 
@@ -79,6 +83,8 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         size = self.b.get_piece_size()
         self.size_b = size
+        # a packed pair takes four bytes where the vocabularies allow it
+        self.packed = np.uint32 if self.a.get_vocab_size() * size <= 1 << 32 else np.int64
         self.bytes_a = {c: b for b, c in enumerate(W.byte_alphabet())}
         pieces = [self.b.id_to_piece(i) for i in range(size)]
         self.is_byte = {i for i in range(size) if self.b.is_byte(i)}
@@ -157,8 +163,9 @@ class Aligner:
         named[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = named_a
         named[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = named_b
         groups = iter("".join(named.tolist()).split("\n"))
-        packed, at = pairs.tobytes(), np.cumsum(n_links) * 8
-        return [(x, y, g, n, next(groups), packed[e - 8 * n:e]) if x else None
+        packed, width = pairs.astype(self.packed).tobytes(), np.dtype(self.packed).itemsize
+        at = np.cumsum(n_links) * width
+        return [(x, y, g, n, next(groups), packed[e - width * n:e]) if x else None
                 for x, y, g, n, e in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), at.tolist())]
 
     def split(self, text: str) -> list[str]:
@@ -183,11 +190,11 @@ class Aligner:
         held = {n: young[n] for n in wanted & young.keys()}
         wanted.difference_update(held)
         fresh = {n: old[n] for n in wanted & old.keys()}
-        missing = list(wanted.difference(fresh))
-        fresh.update(zip(missing, self.chunks(missing, [n[0] != "\n" for n in missing])))
+        for run in runs(wanted.difference(fresh)):
+            fresh.update(zip(run, self.chunks(run, [n[0] != "\n" for n in run])))
         # a space stands before a text's first chunk, whatever it begins with
         firsts = [names[0] for names in split if names and names[0][0] == "\n"]
-        heads = iter(self.chunks(firsts, [True] * len(firsts)))
+        heads = (c for run in runs(firsts) for c in self.chunks(run, [True] * len(run)))
         self._keep(fresh)
         held.update(fresh)
         out = []
@@ -197,9 +204,9 @@ class Aligner:
                 found[0] = next(heads)
             if found and None not in found:
                 *counts, groups, pairs = zip(*found)
-                out.append((*map(sum, counts), ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)))
+                out.append((*map(sum, counts), ";".join(groups), np.frombuffer(b"".join(pairs), self.packed)))
             else:
-                out.append((0, 0, 0, 0, "", np.empty(0, np.int64)))
+                out.append((0, 0, 0, 0, "", np.empty(0, self.packed)))
         return out
 
     def _keep(self, fresh: dict[str, Chunk | None]) -> None:
@@ -223,6 +230,20 @@ def _uncollected():
             gc.enable()
 
 
+def runs(names: Iterable[str]) -> Iterator[list[str]]:
+    """The names in lists of about ``RUN`` characters (a longer name ends its
+    list): what the libraries return of a chunk takes far more than its text."""
+    run, size = [], 0
+    for name in names:
+        run.append(name)
+        size += len(name)
+        if size >= RUN:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def _byte_offsets(text: str) -> list[int] | range:
     """Byte offset of each character, and of the end."""
     if text.isascii():
@@ -241,6 +262,11 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return _WORKER[path_a, path_b]
 
 
+def _release() -> None:
+    """A worker that goes on to other work gives up its tokenizers and chunks."""
+    _WORKER.clear()
+
+
 def _lists(rows: list[np.ndarray], kind=np.int32) -> pa.ListArray:
     flat = np.concatenate(rows) if rows else np.empty(0)
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), pa.array(flat.astype(kind)))
@@ -265,7 +291,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, id: str = "doc_id", text: s
 
     counts = [StructField(n, LongType()) for n in ("n_a", "n_b", "n_groups", "n_links")]
     lists = [StructField(n, ArrayType(IntegerType())) for n in ("pair_a", "pair_b", "times")]
-    return with_columns(only(docs, id, text), factory, [*counts, StructField("groups", StringType()), *lists], drop=(text,))
+    return with_columns(only(docs, id, text), factory, [*counts, StructField("groups", StringType()), *lists], drop=(text,),
+                        slice_rows=ROWS)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -302,6 +329,7 @@ def scored(aligned: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     held = spark.sparkContext.broadcast((key[order], n[order], best[order].astype(bool)))
 
     def factory():
+        _release()
         keys, counts_, bests = held.value
 
         def work(batch):

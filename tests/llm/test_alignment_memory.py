@@ -1,0 +1,54 @@
+"""Operator 13: what a worker holds at once."""
+
+import random
+
+import numpy as np
+import pytest
+
+from reelsync.llm import alignment as A
+
+from .test_alignment import PATHS, same
+
+
+def words(n, seed):
+    draw = random.Random(seed)
+    return ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzé漢", k=draw.randint(1, 12))) for _ in range(n)]
+
+
+def test_the_libraries_get_bounded_runs(monkeypatch):
+    """A batch of many new words is not encoded as a whole."""
+    aligner, sizes = A.Aligner(*PATHS), []
+    chunks = aligner.chunks
+    monkeypatch.setattr(aligner, "chunks", lambda names, spaces: (sizes.append(sum(map(len, names))), chunks(names, spaces))[1])
+    # few words of a text in common; texts that begin with a line feed are encoded apart
+    rows = [" ".join(words(2_000, k)) for k in range(50)] + ["\n" + " ".join(words(30, -k)) for k in range(1, 4)]
+    aligner.align(rows)
+    assert sum(sizes) > 4 << 17 and max(sizes) <= (1 << 17) + 12
+
+
+def test_runs_change_no_result(monkeypatch):
+    monkeypatch.setattr(A, "RUN", 40, raising=False)
+    rows = [lead + " ".join(words(30, k)) + "\n" + "x" * (90 * (k % 2)) for k, lead in enumerate(("", "\n", " ", "\nfirst line ") * 6)]
+    aligner = A.Aligner(*PATHS)
+    same(aligner, *rows, *rows[:3])
+    assert list(A.runs([])) == [] and [n for run in A.runs(rows) for n in run] == rows
+
+
+@pytest.mark.parametrize("packed", [np.uint32, np.int64])
+def test_pairs_of_either_width(packed):
+    """Four bytes a pair for these vocabularies, eight for larger ones."""
+    aligner = A.Aligner(*PATHS)
+    assert aligner.packed is np.uint32
+    aligner.packed = packed
+    same(aligner, "plain words, café 𝒳 \U0001F600\n\nnext​line", "a\n b", "\nfirst", "", "▁", "plain words again")
+
+
+def test_batches_are_short_and_the_cache_ends_with_its_work(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(A, "with_columns", lambda *a, take=A.with_columns, **k: (taken.append(k.get("slice_rows", 512)), take(*a, **k))[1])
+    docs = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    A.align(docs, *PATHS)
+    assert taken == [A.ROWS] and A.ROWS <= 128
+    A._aligner(*PATHS)
+    A._release()
+    assert not A._WORKER
